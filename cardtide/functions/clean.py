@@ -109,10 +109,11 @@ def cents_exact(c: Column) -> Column:
 def cents_double(c: Column) -> Column:
     """Money text to whole cents through a double, halves rounded toward plus infinity.
 
-    Texts that are no finite number give NULL.
+    Texts that are no finite number, or whose cents do not fit 64 bits, give NULL.
     """
-    s = jtrim(_without(c, '"$,'))
-    return F.floor(s.try_cast("double") * 100.0 + 0.5).try_cast("bigint")
+    dollars = jtrim(_without(c, '"$,')).try_cast("double")
+    fits = F.abs(dollars) < F.lit(2.0**63 / 100)
+    return F.when(fits, F.floor(dollars * 100.0 + 0.5))
 
 
 def amount_double(c: Column) -> Column:

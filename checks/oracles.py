@@ -408,12 +408,14 @@ ORACLES: dict[str, str] = {
     "scan_toggle": _sel(_TOGGLED, "SELECT * FROM src"),
     "scan_even_quotes": _sel(_EVEN, "SELECT * FROM src"),
     "scan_naive": _sel(_NAIVE, "SELECT * FROM src"),
-    "clean_rules": _sel(_TL, """SELECT city, client IS NULL AS no_client, state5 AS state, coalesce(state,'-') AS us_state, coalesce(country,'-') AS country,
- state_u AS state_or_unknown, us AS state_or_empty, mcc_l AS mcc_lenient, coalesce(mcc_s,'-') AS mcc_strict, txn_type, coalesce(period,'-') AS period,
- lower(uu) IN ('1','true','t','y','yes') AS truthy, on_c AS online_phrase, on_m AS online_phrase_or_word, on_k AS online_contains,
- err_m AS error_no_error, err_c AS error_any_text, err_r AS error_none_na, err_k AS error_null_na, cents IS NULL AS no_cents, ts IS NULL AS no_ts,
- count(*) AS n, cast(sum(coalesce(cents,0)) AS bigint) AS cents_exact, cast(sum(coalesce(cents,0)) AS bigint) AS cents_double, count(amt) AS amounts_double
- FROM (SELECT * REPLACE (CASE WHEN amount LIKE '%,%' THEN NULL ELSE amt END AS amt) FROM t) GROUP BY ALL"""),
+    "clean_places": _sel(_TL, """SELECT city, state5 AS state, coalesce(state,'-') AS us_state, coalesce(country,'-') AS country,
+ state_u AS state_or_unknown, us AS state_or_empty, count(*) AS n FROM t GROUP BY ALL"""),
+    "clean_channels": _sel(_TL, """SELECT txn_type, lower(uu) IN ('1','true','t','y','yes') AS truthy, on_c AS online_phrase, on_m AS online_phrase_or_word, on_k AS online_contains,
+ err_m AS error_no_error, err_c AS error_any_text, err_r AS error_none_na, err_k AS error_null_na, mcc_l AS mcc_lenient, coalesce(mcc_s,'-') AS mcc_strict,
+ count(*) AS n FROM t GROUP BY ALL"""),
+    "clean_values": _sel(_TL, """SELECT coalesce(period,'-') AS period, ts IS NULL AS no_ts, client IS NULL AS no_client, count(*) AS n, count(cents) AS amounts,
+ cast(sum(coalesce(cents,0)) AS bigint) AS cents_exact, cast(sum(coalesce(cents,0)) AS bigint) AS cents_double,
+ count(CASE WHEN amount NOT LIKE '%,%' THEN amt END) AS amounts_double FROM t GROUP BY ALL"""),
     "amount_by_city_from_lines": _sel(_amount(_TL, "city", "city"), "SELECT * FROM agg"),
     "amount_by_client_from_lines": _sel(_amount(_TE, "client", "client_id"), "SELECT * FROM agg"),
     "client_risk_from_lines": _sel(_risk(_TN), f"SELECT {_RISK_COLUMNS} FROM risks"),

@@ -88,31 +88,49 @@ def _merchant_states(df: DataFrame) -> DataFrame:
     return merchants.merchant_health_by_state(df, rules.MERCHANT)
 
 
-def clean_rules(df: DataFrame) -> DataFrame:
-    """Rows per combination of cleaned values, over all cleaning rules."""
-    col = F.col
-    return df.groupBy(
-        clean.norm_city(col("merchant_city")).alias("city"),
-        F.coalesce(clean.norm_client(col("client_id")), F.lit("-")).isin("-").alias("no_client"),
-        clean.norm_state(col("merchant_state"), col("merchant_city")).alias("state"),
-        F.coalesce(clean.us_state(col("merchant_state")), F.lit("-")).alias("us_state"),
-        F.coalesce(clean.country(col("merchant_state")), F.lit("-")).alias("country"),
-        clean.nz_unknown(clean.trim_quotes(col("merchant_state"))).alias("state_or_unknown"),
-        clean.nz_empty(col("merchant_state")).alias("state_or_empty"),
-        clean.mcc_lenient(col("mcc")).alias("mcc_lenient"),
-        F.coalesce(clean.mcc_strict(col("mcc")), F.lit("-")).alias("mcc_strict"),
-        clean.txn_type(col("use_chip")).alias("txn_type"),
-        F.coalesce(clean.day_period(col("date")), F.lit("-")).alias("period"),
-        clean.truthy(col("use_chip")).alias("truthy"),
-        *[clean.is_online(col("use_chip"), r).alias(f"online_{r}") for r in ("phrase", "phrase_or_word", "contains")],
-        *[clean.has_error(col("errors"), r).alias(f"error_{r}") for r in ("no_error", "any_text", "none_na", "null_na")],
-        clean.cents_exact(col("amount")).isNull().alias("no_cents"),
-        clean.parse_ts(clean.jtrim(col("date"))).isNull().alias("no_ts"),
-    ).agg(
+def clean_places(df: DataFrame) -> DataFrame:
+    """Rows per cleaned city, state and country under every place rule."""
+    city_text, state_text = F.col("merchant_city"), F.col("merchant_state")
+    return totals.count_by_rule(df, ["merchant_city", "merchant_state"], {
+        "city": clean.norm_city(city_text),
+        "state": clean.norm_state(state_text, city_text),
+        "us_state": F.coalesce(clean.us_state(state_text), F.lit("-")),
+        "country": F.coalesce(clean.country(state_text), F.lit("-")),
+        "state_or_unknown": clean.nz_unknown(clean.trim_quotes(state_text)),
+        "state_or_empty": clean.nz_empty(state_text),
+    }, "n")
+
+
+def clean_channels(df: DataFrame) -> DataFrame:
+    """Rows per transaction type, online flag, error flag and category code under every rule."""
+    chip, errors, mcc = F.col("use_chip"), F.col("errors"), F.col("mcc")
+    return totals.count_by_rule(df, ["use_chip", "errors", "mcc"], {
+        "txn_type": clean.txn_type(chip),
+        "truthy": clean.truthy(chip),
+        **{f"online_{r}": clean.is_online(chip, r) for r in ("phrase", "phrase_or_word", "contains")},
+        **{f"error_{r}": clean.has_error(errors, r) for r in ("no_error", "any_text", "none_na", "null_na")},
+        "mcc_lenient": clean.mcc_lenient(mcc),
+        "mcc_strict": F.coalesce(clean.mcc_strict(mcc), F.lit("-")),
+    }, "n")
+
+
+def clean_values(df: DataFrame) -> DataFrame:
+    """Amounts under the three money rules, per part of the day and readability of the date."""
+    rows = df.select(
+        F.coalesce(clean.day_period(F.col("date")), F.lit("-")).alias("period"),
+        clean.parse_ts(clean.jtrim(F.col("date"))).isNull().alias("no_ts"),
+        clean.norm_client(F.col("client_id")).isNull().alias("no_client"),
+        clean.cents_exact(F.col("amount")).alias("cents_exact"),
+        clean.cents_double(F.col("amount")).alias("cents_double"),
+        clean.amount_double(F.col("amount")).alias("amount_double"),
+    )
+    zero = F.lit(0).cast("bigint")
+    return rows.groupBy("period", "no_ts", "no_client").agg(
         F.count("*").alias("n"),
-        F.sum(F.coalesce(clean.cents_exact(col("amount")), F.lit(0))).alias("cents_exact"),
-        F.sum(F.coalesce(clean.cents_double(col("amount")), F.lit(0))).alias("cents_double"),
-        F.count(clean.amount_double(col("amount"))).alias("amounts_double"),
+        F.count("cents_exact").alias("amounts"),
+        F.coalesce(F.sum("cents_exact"), zero).alias("cents_exact"),
+        F.coalesce(F.sum("cents_double"), zero).alias("cents_double"),
+        F.count("amount_double").alias("amounts_double"),
     )
 
 
@@ -144,7 +162,9 @@ QUERIES: dict[str, Query] = {
     "scan_toggle": _on_lines(_parse("toggle")),
     "scan_even_quotes": _on_lines(_parse("even_quotes")),
     "scan_naive": _on_lines(_parse("naive")),
-    "clean_rules": _on_lines(_parse("toggle"), clean_rules),
+    "clean_places": _on_lines(_parse("toggle"), clean_places),
+    "clean_channels": _on_lines(_parse("toggle"), clean_channels),
+    "clean_values": _on_lines(_parse("toggle"), clean_values),
     "amount_by_city_from_lines": _on_lines(_parse("toggle"), totals.amount_by_city),
     "amount_by_client_from_lines": _on_lines(_parse("even_quotes"), totals.amount_by_client),
     "client_risk_from_lines": _on_lines(_parse("naive"), _risks),
