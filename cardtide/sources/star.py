@@ -28,36 +28,46 @@ def _two_digits(c: Column) -> Column:
     return F.lpad(_text(c), 2, "0")
 
 
-def _expressions() -> dict[str, Column]:
+def _expressions(names: tuple[str, ...]) -> list[Column]:
+    """The named transaction columns over the joined tables; only these are built."""
     col = F.col
-    cents = F.round(col("l_extendedprice") * 100).cast("bigint") % 60000
-    online = col("st") == ""
-    negative = (col("l_returnflag") == "R") & (col("l_linenumber") % 5 == 0)
-    return {
-        "id": _text(col("l_orderkey") * 10 + col("l_linenumber")),
-        "date": F.concat(
+
+    def cents() -> Column:
+        return F.round(col("l_extendedprice") * 100).cast("bigint") % 60000
+
+    def online() -> Column:
+        return col("st") == ""
+
+    def refunded() -> Column:
+        return (col("l_returnflag") == "R") & (col("l_linenumber") % 5 == 0)
+
+    rules = {
+        "id": lambda: _text(col("l_orderkey") * 10 + col("l_linenumber")),
+        "date": lambda: F.concat(
             _text(col("l_shipdate").cast("date")), F.lit(" "),
             _two_digits((col("l_orderkey") * 7 + col("l_linenumber") * 5) % 24), F.lit(":"),
             _two_digits((col("l_partkey") * 13) % 60), F.lit(":00"),
         ),
-        "client_id": _text(col("o_custkey")),
-        "card_id": _text(col("o_custkey") * 10 + col("l_orderkey") % (1 + col("o_custkey") % 5)),
-        "amount": F.concat(
-            F.lit("$"), F.when(negative, "-").otherwise(""),
-            _text(F.floor(cents / 100)), F.lit("."), _two_digits(cents % 100),
+        "client_id": lambda: _text(col("o_custkey")),
+        "card_id": lambda: _text(col("o_custkey") * 10 + col("l_orderkey") % (1 + col("o_custkey") % 5)),
+        "amount": lambda: F.concat(
+            F.lit("$"), F.when(refunded(), "-").otherwise(""),
+            _text(F.floor(cents() / 100)), F.lit("."), _two_digits(cents() % 100),
         ),
-        "use_chip": F.when(online, "Online Transaction")
+        "use_chip": lambda: F.when(online(), "Online Transaction")
         .when(col("l_linestatus") == "O", "Chip Transaction")
         .otherwise("Swipe Transaction"),
-        "merchant_id": _text(col("l_suppkey")),
-        "merchant_city": F.when(online, "ONLINE").otherwise(F.concat(F.lit("City "), _text(col("l_suppkey") % 7))),
-        "merchant_state": col("st"),
-        "zip": _text(col("l_suppkey") % 1000),
-        "mcc": F.split_part(F.lit(_CODES), F.lit(","), (col("l_partkey") % 11 + 1).cast("int")),
-        "errors": F.when((col("l_returnflag") == "R") & (col("l_partkey") % 4 == 0), "Insufficient Balance")
+        "merchant_id": lambda: _text(col("l_suppkey")),
+        "merchant_city": lambda: F.when(online(), "ONLINE").otherwise(
+            F.concat(F.lit("City "), _text(col("l_suppkey") % 7))),
+        "merchant_state": lambda: col("st"),
+        "zip": lambda: _text(col("l_suppkey") % 1000),
+        "mcc": lambda: F.split_part(F.lit(_CODES), F.lit(","), (col("l_partkey") % 11 + 1).cast("int")),
+        "errors": lambda: F.when((col("l_returnflag") == "R") & (col("l_partkey") % 4 == 0), "Insufficient Balance")
         .when((col("l_returnflag") == "A") & (col("l_partkey") % 29 == 0), "Bad PIN,Technical Glitch")
         .otherwise(""),
     }
+    return [rules[name]().alias(name) for name in names]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
@@ -88,8 +98,7 @@ def _facts(spark: SparkSession, sf_dir: str, needed: set[str]) -> DataFrame:
 def card_transactions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The requested transaction columns (default: all 12), one row per line item."""
     names = columns or fixed.COLUMNS
-    expressions = _expressions()
-    return _facts(spark, sf_dir, set(names)).select(*[expressions[n].alias(n) for n in names])
+    return _facts(spark, sf_dir, set(names)).select(*_expressions(names))
 
 
 def card_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,30 +108,26 @@ def card_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     field, gained one, or carry a blank, textual or oddly written value. Error texts with a
     comma are quoted.
     """
-    e = _expressions()
-    part = F.col("l_partkey") % 10
-    line = F.col("l_linenumber")
-    pick = lambda n, r: (line == n) & (part == r)
-    noisy = dict(e)
-    noisy["amount"] = F.when(pick(1, 0), "abc").when(pick(1, 1), '"$1,234.56"').when(pick(1, 2), "").otherwise(e["amount"])
-    noisy["client_id"] = F.when(pick(2, 0), "NULL").when(pick(2, 1), " ").otherwise(e["client_id"])
-    noisy["merchant_city"] = F.when(pick(3, 0), "n/a").when(pick(3, 1), "").otherwise(e["merchant_city"])
-    noisy["merchant_state"] = F.when(pick(3, 2), "pr").when(pick(3, 3), "online").otherwise(e["merchant_state"])
-    noisy["use_chip"] = F.when(pick(4, 0), "y").when(pick(4, 1), "0").when(pick(4, 2), "tap").otherwise(e["use_chip"])
-    noisy["date"] = F.when(pick(4, 3), "2001-02-30 18:00:00").when(pick(4, 4), "soon").otherwise(e["date"])
-    noisy["errors"] = (
-        F.when(pick(5, 0), "N/A").when(pick(5, 1), "no_error")
-        .when(e["errors"].contains(","), F.concat(F.lit('"'), e["errors"], F.lit('"')))
-        .otherwise(e["errors"])
-    )
     # Three plain steps instead of one nested expression, which would be too large to compile.
     facts = _facts(spark, sf_dir, _FROM_ORDERS | _FROM_SUPPLIER)
-    fields = facts.select("l_linenumber", "l_partkey", *[noisy[n].alias(n) for n in fixed.COLUMNS])
+    typed = facts.select("l_linenumber", "l_partkey", *_expressions(fixed.COLUMNS))
+    hit = lambda number, remainder: (F.col("l_linenumber") == number) & (F.col("l_partkey") % 10 == remainder)
+    errors = F.col("errors")
+    fields = typed.withColumns({
+        "amount": F.when(hit(1, 0), "abc").when(hit(1, 1), '"$1,234.56"').when(hit(1, 2), "").otherwise(F.col("amount")),
+        "client_id": F.when(hit(2, 0), "NULL").when(hit(2, 1), " ").otherwise(F.col("client_id")),
+        "merchant_city": F.when(hit(3, 0), "n/a").when(hit(3, 1), "").otherwise(F.col("merchant_city")),
+        "merchant_state": F.when(hit(3, 2), "pr").when(hit(3, 3), "online").otherwise(F.col("merchant_state")),
+        "use_chip": F.when(hit(4, 0), "y").when(hit(4, 1), "0").when(hit(4, 2), "tap").otherwise(F.col("use_chip")),
+        "date": F.when(hit(4, 3), "2001-02-30 18:00:00").when(hit(4, 4), "soon").otherwise(F.col("date")),
+        "errors": F.when(hit(5, 0), "N/A").when(hit(5, 1), "no_error")
+        .when(errors.contains(","), F.concat(F.lit('"'), errors, F.lit('"'))).otherwise(errors),
+    })
     whole = fields.withColumn("most", F.concat_ws(",", *fixed.COLUMNS[:-1]))
     value = (
-        F.when(pick(6, 0), ",".join(fixed.COLUMNS))
-        .when(pick(6, 1), F.col("most"))
-        .when(pick(6, 2), F.concat_ws(",", "most", "errors", F.lit("extra")))
+        F.when(hit(6, 0), ",".join(fixed.COLUMNS))
+        .when(hit(6, 1), F.col("most"))
+        .when(hit(6, 2), F.concat_ws(",", "most", "errors", F.lit("extra")))
         .otherwise(F.concat_ws(",", "most", "errors"))
     )
     # The generator keeps later filters from being pushed into (and repeating) the construction.
