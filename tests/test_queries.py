@@ -44,5 +44,4 @@ def test_scans_read_only_needed_columns(spark, small_dir):
 @pytest.mark.parametrize("name", ["merchant_health_by_state", "risk_report"])
 def test_rankings_and_counters_share_one_read(spark, small_dir, name):
     final = executed_plan(QUERIES[name](spark, small_dir)).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
     assert len(re.findall(r"FileScan parquet \[l_", final)) == 1
