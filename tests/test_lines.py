@@ -39,6 +39,16 @@ def test_quotes_by_dialect(frame):
     assert fields(frame, "toggle", 'a"b,c"d,e') == ["ab,cd", "e"]
 
 
+def test_even_quotes_is_the_look_ahead_rule(frame):
+    import re
+
+    rule = re.compile(r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    samples = ['a,"b,c",d', 'a,"b,c', '"a,b"",c,"d', '",",', 'x"y,z"w,"', '""', '"', ',,"', 'a"b"c"d,e,f']
+    df = frame(*samples)
+    got = {r.value: r.p for r in df.select("value", lines.split_even_quotes(F.col("value")).alias("p")).collect()}
+    assert got == {s: rule.split(s) for s in samples}
+
+
 def test_headers_anywhere_and_arity(frame):
     df = frame(HEADER, PLAIN, HEADER, '"id",x', SHORT, LONG, QUOTED)
     assert lines.parse_transactions(df).count() == 3
