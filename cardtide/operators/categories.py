@@ -45,6 +45,36 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int) -
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
+def totals_with_leaders(df: DataFrame, key: str, spread_by: str, order: list[str], fields: list[str],
+                        totals: dict[str, Column], k: int, keep: Column | None = None, salts: int = 256) -> DataFrame:
+    """``<key>, <totals>, leaders``: additive totals and the first ``k`` rows per key, in one pass.
+
+    A key may hold most rows, so each is split into ``salts`` parts by a hash of ``spread_by``. A
+    part yields its totals and its own leaders; parts are then merged per key, which sees at most
+    ``salts * k`` leaders. ``leaders`` are structs of the ``order`` columns (ascending) and the
+    ``fields``; rows failing ``keep`` count in the totals but never lead.
+    """
+    within = Window.partitionBy(key, "_salt").orderBy(*order)
+    leads = F.col("_place") <= k
+    leads = leads if keep is None else leads & keep
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    parts = salted.withColumn("_place", F.row_number().over(within)).groupBy(key, "_salt").agg(
+        *[total.alias(name) for name, total in totals.items()],
+        F.collect_list(F.when(leads, F.struct(*order, *fields))).alias("leaders"),
+    )
+    return parts.groupBy(key).agg(
+        *[F.sum(name).alias(name) for name in totals],
+        F.slice(F.array_sort(F.flatten(F.collect_list("leaders"))), 1, k).alias("leaders"),
+    )
+
+
+def numbered(leaders: str, fields: list[str]) -> Column:
+    """The leaders with their ``rank`` from 1 and only the given fields."""
+    return F.transform(leaders, lambda row, i: F.struct(
+        (i + 1).alias("rank"), *[row[name].alias(name) for name in fields]
+    ))
+
+
 def top_categories(counts: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
     """``<keys>, rank, mcc, label, tx``: most frequent categories, equal counts by code."""
     top = top_per_group(counts, keys, [F.desc("tx"), F.asc("mcc")], k)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import clean
-from .categories import top_per_group
+from .categories import numbered, top_per_group, totals_with_leaders
 
 BUCKETS = ("LOW", "MED", "HIGH")
 
@@ -52,23 +52,18 @@ def hotspots(classified: DataFrame, bucket: str, k: int, out: str) -> DataFrame:
 def state_rollup(classified: DataFrame, counts: dict[str, Column], bucket: str, k: int, out: str) -> DataFrame:
     """Counters and hotspots per state in one pass over the classified owners.
 
-    Owners are reduced per (state, city) first. The window that ranks cities and the final
-    aggregation share one exchange by state, which moves one row per city. ``hotspots`` is an
-    array of at most ``k`` structs (rank, city, count).
+    Owners are reduced per (state, city) first; cities are then ranked and added up in salted
+    parts of a state. ``hotspots`` is an array of at most ``k`` structs (rank, city, count).
     """
     per_city = classified.groupBy("state", "city").agg(
         F.count("*").alias("total"),
         *[F.count_if(test).alias(name) for name, test in counts.items()],
-        F.count_if((F.col(bucket) == "HIGH") & (F.col("city") != "")).alias("_hot"),
-    )
-    order = Window.partitionBy("state").orderBy(F.desc("_hot"), F.asc("city"))
-    ranked = per_city.withColumn("_rank", F.row_number().over(order))
-    spot = F.struct(F.col("_rank").alias("rank"), "city", F.col("_hot").alias(out))
-    return ranked.groupBy("state").agg(
-        F.sum("total").alias("total"),
-        *[F.sum(name).alias(name) for name in counts],
-        F.array_sort(F.collect_list(F.when((F.col("_rank") <= k) & (F.col("_hot") > 0), spot))).alias("hotspots"),
+        F.count_if((F.col(bucket) == "HIGH") & (F.col("city") != "")).alias(out),
     )
+    totals = {name: F.sum(name) for name in ("total", *counts)}
+    merged = totals_with_leaders(
+        per_city.withColumn("coldest", -F.col(out)), "state", "city", ["coldest", "city"], [out], totals, k, F.col(out) > 0)
+    return merged.select("state", *totals, numbered("leaders", ["city", out]).alias("hotspots"))
 
 
 def bucket_counts(bucket: str) -> dict[str, Column]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clean, fixed
-from .categories import top_per_group
+from .categories import numbered, top_per_group, totals_with_leaders
 
 
 _PLACE = ["client_id", "merchant_city", "mcc", "card_id"]
@@ -151,42 +151,25 @@ def top_risk_clients(risks: DataFrame, k: int = 10) -> DataFrame:
     return top.select("category", "rank", "client_id", "score", "tx", "total", "factors")
 
 
-def risk_report(risks: DataFrame, k: int = 10, salts: int = 256) -> DataFrame:
+def risk_report(risks: DataFrame, k: int = 10) -> DataFrame:
     """Clients, mean score, total and mean amount, mean transactions and top clients per category,
-    most severe category first.
-
-    A category may hold most clients, so each is split into ``salts`` parts by client hash. A part
-    yields its counters and its ``k`` leaders in one pass over the profiles; parts are then merged
-    per category, which sees at most ``salts * k`` leaders.
-    """
-    by_part = risks.withColumns({
-        "salt": F.pmod(F.xxhash64("client_id"), F.lit(salts)),
-        "worst": -F.col("score"),
-    })
-    within = Window.partitionBy("category", "salt").orderBy("worst", "client_id")
-    leader = F.struct("worst", "client_id", "score", "tx", "total", "factors")
-    parts = by_part.withColumn("place", F.row_number().over(within)).groupBy("category", "salt").agg(
-        F.count("*").alias("clients"),
-        F.sum("score").alias("score"),
-        F.sum(F.col("total").cast("decimal(28,2)")).alias("amount"),
-        F.sum("tx").alias("tx"),
-        F.collect_list(F.when(F.col("place") <= k, leader)).alias("leaders"),
-    )
-    merged = parts.groupBy("category").agg(
-        *[F.sum(c).alias(c) for c in ("clients", "score", "amount", "tx")],
-        F.slice(F.array_sort(F.flatten(F.collect_list("leaders"))), 1, k).alias("leaders"),
-    )
-    amount = F.col("amount").cast("double")
-    numbered = F.transform("leaders", lambda c, i: F.struct(
-        (i + 1).alias("rank"), c["client_id"].alias("client_id"), c["score"].alias("score"), c["tx"].alias("tx"),
-        c["total"].alias("total"), c["factors"].alias("factors"),
-    ))
+    most severe category first; one pass over the scored clients."""
+    ordered = risks.withColumn("worst", -F.col("score"))
+    totals = {
+        "clients": F.count("*"),
+        "points": F.sum("score"),
+        "dollars": F.sum(F.col("total").cast("decimal(28,2)")),
+        "transactions": F.sum("tx"),
+    }
+    fields = ["score", "tx", "total", "factors"]
+    merged = totals_with_leaders(ordered, "category", "client_id", ["worst", "client_id"], fields, totals, k)
+    amount = F.col("dollars").cast("double")
     report = merged.select(
         "category", "clients",
-        (F.col("score") / F.col("clients")).alias("avg_score"),
+        (F.col("points") / F.col("clients")).alias("avg_score"),
         amount.alias("total_amount"),
         (amount / F.col("clients")).alias("avg_amount"),
-        (F.col("tx") / F.col("clients")).alias("avg_tx"),
-        numbered.alias("top_clients"),
+        (F.col("transactions") / F.col("clients")).alias("avg_tx"),
+        numbered("leaders", ["client_id", *fields]).alias("top_clients"),
     )
     return report.orderBy(F.desc(clean.severity_rank(F.col("category"))))
