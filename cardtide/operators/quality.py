@@ -24,7 +24,7 @@ def _fields(lines: DataFrame, dialect: str) -> DataFrame:
 
 
 def _validity(dialect: str) -> dict[str, Column]:
-    """Analyses that split by this dialect, with the test a complete row must pass."""
+    """Analyses of this dialect, with the test a complete row must pass."""
     col = F.col
     if dialect == "even_quotes":
         return {

@@ -41,7 +41,7 @@ def test_every_analysis_writes_a_report(spark, csv, tmp_path, name):
 
 def test_report_texts(spark, csv, tmp_path):
     run(spark, "amount_by_city", csv, f"{tmp_path}/a", files=1)
-    assert report(f"{tmp_path}/a") == ["BEULAH\t420.00", "ONLINE\t383.50", "ROME\t396.50"] or len(report(f"{tmp_path}/a")) == 3
+    assert report(f"{tmp_path}/a") == ["BEULAH\t420.00", "ONLINE\t396.50", "ROME\t383.50"]
     run(spark, "city_statistics", csv, f"{tmp_path}/b", files=1)
     assert report(f"{tmp_path}/b")[0].startswith("BEULAH\tTransações: 14 | Total: $")
     run(spark, "category_by_time_period", csv, f"{tmp_path}/c", files=1)
