@@ -11,7 +11,8 @@ from checks.queries import QUERIES
 
 
 def test_contract(spark, small_dir):
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
     assert contract.entry(spark).count() > 0
 
 
