@@ -181,10 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Classifier |
     sample = labelled_sample(docs, labels, bound, in_fold)
 
     def read(batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"],
+        return pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
                              "at": [indicators(t) for t in batch["text"]]})
-    rows = map_batches(sample, read, "doc_id long, quality int, at array<int>").toPandas().sort_values("doc_id", kind="stable")
-    return train([np.asarray(a, dtype=np.int32) for a in rows["at"]], rows["quality"].to_numpy() == 1)
+    rows = map_batches(sample, read, "doc_id long, label int, at array<int>").toPandas().sort_values("doc_id", kind="stable")
+    return train([np.asarray(a, dtype=np.int32) for a in rows["at"]], rows["label"].to_numpy() == 1)
 
 
 def scored(docs: DataFrame, classifier: Classifier | None, *more: str) -> DataFrame:
@@ -207,3 +207,12 @@ def classify(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFra
     return scored(docs, fit(docs, labels, bound)).select(
         "doc_id", (crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def kept_documents(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
+    """The rows of ``docs`` predicted good, in their columns; all of them without a classifier."""
+    if classifier is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    score = F.pandas_udf(lambda texts: pd.Series([shared.value.score(t) for t in texts], dtype=float), "double")
+    return docs.where(score(F.coalesce("text", F.lit(""))) >= 0.5)

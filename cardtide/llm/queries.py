@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dom_marginals, license_scan, nbsvm, rule_forest, sanitise, sharding, token_store
+from . import decontaminate, dom_marginals, license_scan, mixing, nbsvm, partenum, rule_forest, sanitise, sharding, token_store
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query
     return query
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _tokens(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
@@ -50,8 +55,11 @@ QUERIES: dict[str, Query] = {
     "op2_personal_data": _on("documents", lambda d: sanitise.find_personal_data(d).drop("text_hash")),
     "op3_token_store": _on("documents", _tokens),
     "op4_rule_forest": _with_labels(lambda d, l: rule_forest.judge(d, rule_forest.fit(d, l))),
+    "op5_mixing": _with_labels(mixing.document_rates),
     "op6_dom_marginals": _on("pages", dom_marginals.extract),
+    "op7_partenum": _on("documents", partenum.jaccard_groups),
     "op8_sharding": _on("documents", sharding.assign_shards),
+    "op9_pigeonhole": _benchmark,
     "op10_nbsvm": _with_labels(nbsvm.classify),
 }
 
