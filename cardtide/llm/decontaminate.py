@@ -15,12 +15,12 @@ text are left out. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import documents, lower_ascii, map_batches
 
@@ -192,19 +192,34 @@ def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]
         yield sorted((r.item_id, r.text) for r in rows)
 
 
+def _searching(docs: DataFrame, block: list[tuple[int, str]], rate: float) -> Callable[[str], list[Match]]:
+    """A search for the items of a block; the searcher is built once per task."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+    built: list[Searcher] = []
+
+    def search(text: str) -> list[Match]:
+        if not built:
+            built.append(Searcher(shared.value, rate))
+        return built[0].search(normalized(text))
+    return search
+
+
+def _free_of(search: Callable[[str], list[Match]]) -> Callable[[Column], Column]:
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not search(t) for t in texts], dtype=bool)
+    return clean
+
+
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, item_id, distance, start, end, item_chars``: for every row and item the best match
     within the budget; places are in the normalized text."""
     found = None
     for block in _blocks(items, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        searchers: list[Searcher] = []
-
-        def find(batch: pd.DataFrame, shared=shared, searchers=searchers) -> pd.DataFrame:
-            if not searchers:
-                searchers.append(Searcher(shared.value, rate))
-            rows = [(doc_id, *m) for doc_id, text in zip(batch["doc_id"], batch["text"])
-                    for m in searchers[0].search(normalized(text))]
+        search = _searching(docs, block, rate)
+
+        def find(batch: pd.DataFrame, search=search) -> pd.DataFrame:
+            rows = [(doc_id, *m) for doc_id, text in zip(batch["doc_id"], batch["text"]) for m in search(text)]
             out = pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "start", "end", "item_chars"])
             out["doc_id"] = out["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None)
             return out
@@ -220,12 +235,5 @@ def clean_documents(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE,
     """
     kept = docs
     for block in _blocks(items, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        searchers: list[Searcher] = []
-
-        def clean(texts: pd.Series, shared=shared, searchers=searchers) -> pd.Series:
-            if not searchers:
-                searchers.append(Searcher(shared.value, rate))
-            return pd.Series([not searchers[0].search(normalized(t or "")) for t in texts], dtype=bool)
-        kept = kept.where(F.pandas_udf(clean, "boolean")(F.coalesce("text", F.lit(""))))
+        kept = kept.where(_free_of(_searching(docs, block, rate))(F.coalesce("text", F.lit(""))))
     return kept
