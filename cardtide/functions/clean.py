@@ -10,6 +10,8 @@ from pyspark.sql import Column, functions as F
 
 from . import fixed
 
+MAX_LONG = (1 << 63) - 1
+
 # Characters removed by a trim: everything up to and including the space (fixed value).
 _BLANKS = "".join(map(chr, range(0x21)))
 
@@ -101,19 +103,43 @@ def nz_empty(c: Column) -> Column:
 # --- money ------------------------------------------------------------------------------------
 
 def cents_exact(c: Column) -> Column:
-    """Money text to whole cents, rounded half up; NULL when it is no number or out of range."""
-    dollars = F.round(_without(jtrim(c), '"$ ,').try_cast("decimal(38,18)"), 2)
+    """Money text to whole cents, rounded half up once; NULL when it is no number or out of range.
+
+    Plain digits after the 18th decimal cannot change the rounding; they are cut off before the
+    cast, which would round them.
+    """
+    text = _without(jtrim(c), '"$ ,')
+    cut = F.when(F.length(text) > 19, F.regexp_replace(text, r"(\.[0-9]{18})[0-9]+\z", "$1")).otherwise(text)
+    dollars = F.round(cut.try_cast("decimal(38,18)"), 2)
     return (dollars * F.lit(100)).try_cast("bigint")
 
 
 def cents_double(c: Column) -> Column:
     """Money text to whole cents through a double, halves rounded toward plus infinity.
 
-    Texts that are no finite number, or whose cents do not fit 64 bits, give NULL.
+    Cents beyond 64 bits become the largest or smallest 64-bit number, NaN becomes 0; only texts
+    that are no number give NULL. Add them up with ``wide_sum``.
     """
     dollars = jtrim(_without(c, '"$,')).try_cast("double")
-    fits = F.abs(dollars) < F.lit(2.0**63 / 100)
-    return F.when(fits, F.floor(dollars * 100.0 + 0.5))
+    cents = dollars * 100.0
+    return (
+        F.when(F.isnan(cents), F.lit(0).cast("bigint"))
+        .when(cents >= F.lit(2.0**63), F.lit(MAX_LONG))
+        .when(cents <= F.lit(-(2.0**63)), F.lit(-MAX_LONG - 1))
+        .otherwise(F.floor(cents + 0.5))
+    )
+
+
+def wide_sum(cents: Column) -> Column:
+    """Sum of 64-bit cents that may be saturated, itself held to 64 bits.
+
+    Ordinary cents are added as 64-bit numbers; the few beyond 10 trillion dollars as decimals.
+    """
+    ordinary = F.abs(F.greatest(cents, F.lit(-MAX_LONG))) < F.lit(10**15)
+    plain = F.sum(F.when(ordinary, cents))
+    beyond = F.sum(F.when(~ordinary, cents.cast("decimal(20,0)")))
+    total = F.coalesce(plain.cast("decimal(38,0)"), beyond * 0) + F.coalesce(beyond, F.lit(0).cast("decimal(20,0)"))
+    return F.greatest(F.least(total, F.lit(MAX_LONG)), F.lit(-MAX_LONG - 1)).cast("bigint")
 
 
 def amount_double(c: Column) -> Column:
@@ -180,7 +206,7 @@ def day_period(c: Column) -> Column:
     return F.get(F.array(*map(F.lit, by_hour)), hour)
 
 
-def parse_ts(c: Column, seconds_optional: bool = True) -> Column:
+def parse_ts(c: Column) -> Column:
     """``yyyy-MM-dd HH:mm[:ss]`` to a zone-free timestamp; impossible dates give NULL.
 
     The text must already be trimmed. One-digit fields are accepted. Canonical 19-character
@@ -192,9 +218,7 @@ def parse_ts(c: Column, seconds_optional: bool = True) -> Column:
     date = F.split(F.rtrim(F.get(words, 0), F.lit("-")), "-")
     time = F.split(F.rtrim(F.get(words, 1), F.lit(":")), ":")
     part = lambda arr, i: F.get(arr, F.lit(i)).try_cast("int")
-    second = part(time, 2)
-    if seconds_optional:
-        second = F.when(F.size(time) > 2, second).otherwise(F.lit(0))
+    second = F.when(F.size(time) > 2, part(time, 2)).otherwise(F.lit(0))
     loose = F.when(
         second.between(0, 59),
         F.try_make_timestamp_ntz(part(date, 0), part(date, 1), part(date, 2), part(time, 0), part(time, 1), second),
@@ -202,6 +226,17 @@ def parse_ts(c: Column, seconds_optional: bool = True) -> Column:
     return F.when(canonical, t.try_cast("timestamp_ntz")).otherwise(loose)
 
 
+def parse_ts_prefix(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` at the start of a text to a zone-free timestamp; whatever follows is
+    ignored, as in ``2010-01-01 00:01:00.0``. Impossible dates give NULL."""
+    t = F.coalesce(c, F.lit(""))
+    canonical = t.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?![0-9])")
+    pattern = r"\A([0-9]+)-([0-9]+)-([0-9]+) ([0-9]+):([0-9]+):([0-9]+)"
+    part = lambda i: F.regexp_extract(t, pattern, i).try_cast("int")
+    loose = F.when(part(6).between(0, 59), F.try_make_timestamp_ntz(*[part(i) for i in range(1, 7)]))
+    return F.when(canonical, t.substr(1, 19).try_cast("timestamp_ntz")).otherwise(loose)
+
+
 def epoch_ms(ts: Column) -> Column:
     """Milliseconds since 1970-01-01 of a zone-free timestamp, read as UTC."""
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)

@@ -46,13 +46,16 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int) -
 
 
 def totals_with_leaders(df: DataFrame, key: str, spread_by: str, order: list[str], fields: list[str],
-                        totals: dict[str, Column], k: int, keep: Column | None = None, salts: int = 256) -> DataFrame:
+                        totals: dict[str, Column], k: int, keep: Column | None = None, salts: int = 256,
+                        gathered: dict[str, Column] | None = None) -> DataFrame:
     """``<key>, <totals>, leaders``: additive totals and the first ``k`` rows per key, in one pass.
 
     A key may hold most rows, so each is split into ``salts`` parts by a hash of ``spread_by``. A
     part yields its totals and its own leaders; parts are then merged per key, which sees at most
     ``salts * k`` leaders. ``leaders`` are structs of the ``order`` columns (ascending) and the
-    ``fields``; rows failing ``keep`` count in the totals but never lead.
+    ``fields``; rows failing ``keep`` count in the totals but never lead. ``gathered`` are further
+    aggregates that are applied to the parts and again to their results. What is gathered per key is
+    bounded by ``salts`` and the callers' ``k``, which are parameters and not a matter of the data.
     """
     within = Window.partitionBy(key, "_salt").orderBy(*order)
     leads = F.col("_place") <= k
@@ -61,10 +64,12 @@ def totals_with_leaders(df: DataFrame, key: str, spread_by: str, order: list[str
     parts = salted.withColumn("_place", F.row_number().over(within)).groupBy(key, "_salt").agg(
         *[total.alias(name) for name, total in totals.items()],
         F.collect_list(F.when(leads, F.struct(*order, *fields))).alias("leaders"),
+        *(gathered or {}).values(),
     )
     return parts.groupBy(key).agg(
         *[F.sum(name).alias(name) for name in totals],
         F.slice(F.array_sort(F.flatten(F.collect_list("leaders"))), 1, k).alias("leaders"),
+        *(gathered or {}).values(),
     )
 
 

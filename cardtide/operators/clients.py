@@ -16,26 +16,20 @@ def client_channel_profile(df: DataFrame) -> DataFrame:
     Rows without a client or a readable amount are dropped; a blank state or city is UNKNOWN.
     """
     rows = df.select(
-        "client_id", "merchant_state", "merchant_city",
+        clean.trim_quotes(F.col("client_id")).alias("client_id"),
+        clean.nz_unknown(clean.trim_quotes(F.col("merchant_state"))).alias("state"),
+        clean.nz_unknown(clean.trim_quotes(F.col("merchant_city"))).alias("city"),
         clean.cents_exact(F.col("amount")).alias("cents"),
         clean.is_online(F.col("use_chip"), "phrase").alias("is_online"),
         clean.has_error(F.col("errors"), "any_text").alias("is_error"),
     )
     readable = F.col("cents").isNotNull()
-    by_text = rows.groupBy("client_id", "merchant_state", "merchant_city").agg(
-        F.count("cents").alias("tx"),
-        F.count_if(readable & F.col("is_online")).alias("online"),
-        F.count_if(readable & F.col("is_error")).alias("errors"),
-        F.sum("cents").alias("sum_cents"),
-        F.max("cents").alias("max_cents"),
-    ).where("tx > 0")
-    places = by_text.select(
-        clean.trim_quotes(F.col("client_id")).alias("client_id"),
-        clean.nz_unknown(clean.trim_quotes(F.col("merchant_state"))).alias("state"),
-        clean.nz_unknown(clean.trim_quotes(F.col("merchant_city"))).alias("city"),
-        "tx", "online", "errors", "sum_cents", "max_cents",
-    ).where(F.col("client_id") != "")
-    profile = owner_profile(places, "client_id", ["online", "errors", "sum_cents"], ["max_cents"])
+    profile = owner_profile(rows, "client_id", readable, {
+        "online": F.count_if(readable & F.col("is_online")),
+        "errors": F.count_if(readable & F.col("is_error")),
+        "sum_cents": F.sum("cents"),
+        "max_cents": F.max("cents"),
+    })
     tx = F.col("tx")
     return profile.select(
         "client_id", "tx", "online", "errors", "sum_cents",

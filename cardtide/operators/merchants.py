@@ -7,37 +7,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import MerchantRules
 from ..functions import clean
 from .categories import top_per_group
-from .profiles import hotspots, owner_profile, state_rollup, with_shares
+from .profiles import Leading, hotspots, owner_profile, state_rollup, with_shares
 
 
 def merchant_profile(df: DataFrame) -> DataFrame:
     """One row per merchant: transactions, sum, mean and largest amount in cents (at least 0),
     error and online counts and rates, predominant state and city.
 
-    Unreadable amounts are skipped. A blank state or city takes part in the vote; merchants whose
+    Unreadable amounts are skipped; amounts and sums beyond 64 bits of cents are held to 64 bits, and
+    their rows count like others. A blank state or city takes part in the vote; merchants whose
     predominant state is blank are dropped.
     """
     rows = df.select(
-        "merchant_id", "merchant_state", "merchant_city",
+        clean.nz_empty(F.col("merchant_id")).alias("merchant_id"),
+        clean.nz_empty(F.col("merchant_state")).alias("state"),
+        clean.nz_empty(F.col("merchant_city")).alias("city"),
         clean.cents_double(F.col("amount")).alias("cents"),
         clean.is_online(F.col("use_chip"), "phrase_or_word").alias("is_online"),
         clean.has_error(F.col("errors"), "none_na").alias("is_error"),
     )
     readable = F.col("cents").isNotNull()
-    by_text = rows.groupBy("merchant_id", "merchant_state", "merchant_city").agg(
-        F.count("cents").alias("tx"),
-        F.sum("cents").alias("sum_cents"),
-        F.max("cents").alias("max_cents"),
-        F.count_if(readable & F.col("is_error")).alias("errors"),
-        F.count_if(readable & F.col("is_online")).alias("online"),
-    ).where("tx > 0")
-    places = by_text.select(
-        clean.nz_empty(F.col("merchant_id")).alias("merchant_id"),
-        clean.nz_empty(F.col("merchant_state")).alias("state"),
-        clean.nz_empty(F.col("merchant_city")).alias("city"),
-        "tx", "sum_cents", "max_cents", "errors", "online",
-    ).where(F.col("merchant_id") != "")
-    profile = owner_profile(places, "merchant_id", ["sum_cents", "errors", "online"], ["max_cents"])
+    profile = owner_profile(rows, "merchant_id", readable, {
+        "sum_cents": clean.wide_sum(F.col("cents")),
+        "max_cents": F.max("cents"),
+        "errors": F.count_if(readable & F.col("is_error")),
+        "online": F.count_if(readable & F.col("is_online")),
+    })
     tx = F.col("tx")
     return profile.where(F.col("state") != "").select(
         "merchant_id", "tx", "sum_cents",
@@ -98,17 +93,11 @@ def merchant_hotspots(classified: DataFrame, k: int = 5) -> DataFrame:
 def merchant_health_by_state(classified: DataFrame, rules: MerchantRules = MerchantRules()) -> DataFrame:
     """Health and risk counters with shares, hotspot cities and largest merchants per state.
 
-    States with fewer than ``min_state_merchants`` merchants are left out. The ranking of
-    merchants and the counters both read the classified profiles with the same columns, so Spark
-    computes the profiles once and reuses their exchange.
+    States with fewer than ``min_state_merchants`` merchants are left out. Counters and leading
+    merchants travel through the same salted passes, so the profiles are computed once.
     """
     counts = {f"health_{h.lower()}": F.col("health") == h for h in "ABC"}
     counts |= {f"risk_{r.lower()}": F.col("risk") == r for r in ("LOW", "MED", "HIGH")}
-    rollup = state_rollup(classified, counts, "risk", 5, "merchants")
-    rollup = with_shares(rollup.where(F.col("total") >= rules.min_state_merchants), list(counts))
-    entry = F.struct("rank", "merchant_id", "sum_cents", "health", "risk")
-    leaders = (
-        top_merchants_by_state(classified, rules.top_merchants)
-        .groupBy("state").agg(F.array_sort(F.collect_list(entry)).alias("top_merchants"))
-    )
-    return rollup.join(leaders, "state", "left")
+    leading = Leading("top_merchants", "merchant_id", "sum_cents", ["merchant_id", "sum_cents", "health", "risk"], rules.top_merchants)
+    rollup = state_rollup(classified, counts, "risk", 5, "merchants", leading)
+    return with_shares(rollup.where(F.col("total") >= rules.min_state_merchants), list(counts))

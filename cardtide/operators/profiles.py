@@ -1,40 +1,37 @@
 """Building blocks of the client and merchant profiles.
 
-A profile is built in two steps. First, transactions are reduced per (owner, state, city) raw
-texts; this key spreads an owner holding a large share of all rows over many tasks and is reduced
-on the map side. The result has one row per place an owner was seen at, so the second step can
-safely bring an owner together in one task: it is partitioned by owner once, and the two windows
-and the final aggregation all run on that partitioning.
+A profile is one aggregation by owner: its partial results merge, so an owner with a large share of
+all rows is reduced on the map side, and one exchange brings the partial results together. Its
+state is bounded by the distinct states and cities the owner was seen at.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import clean
 from .categories import numbered, top_per_group, totals_with_leaders
 
 BUCKETS = ("LOW", "MED", "HIGH")
+#: Parts a state is split into while its owners are reduced.
+SALTS = 256
 
 
-def owner_profile(places: DataFrame, owner: str, sums: list[str], maxima: list[str]) -> DataFrame:
-    """One row per owner: summed and maximal measures, predominant ``state`` and ``city``.
+def owner_profile(rows: DataFrame, owner: str, counted: Column, measures: dict[str, Column]) -> DataFrame:
+    """One row per owner: ``tx`` (rows for which ``counted`` holds), the measures, and the
+    predominant ``state`` and ``city`` of those rows, the smallest on ties.
 
-    ``places`` has the owner, ``state``, ``city``, ``tx`` and the measures, with cleaned keys; it
-    may hold a place more than once. The predominant value is the one with most transactions,
-    the smallest on ties.
+    ``rows`` has the cleaned owner, state and city. Owners without a counted row or a name are left out.
     """
-    at_owner = places.repartition(owner)
-    weight = lambda c: F.sum("tx").over(Window.partitionBy(owner, c))
-    weighed = at_owner.withColumn("_state_tx", weight("state")).withColumn("_city_tx", weight("city"))
-    first = lambda c, w: F.min_by(c, F.struct(-F.col(w), F.col(c))).alias(c)
-    return weighed.groupBy(owner).agg(
-        F.sum("tx").alias("tx"),
-        *[F.sum(c).alias(c) for c in sums],
-        *[F.max(c).alias(c) for c in maxima],
-        first("state", "_state_tx"),
-        first("city", "_city_tx"),
+    predominant = lambda c: F.mode(F.when(counted, F.col(c)), True).alias(c)
+    profile = rows.groupBy(owner).agg(
+        F.count_if(counted).alias("tx"),
+        *[measure.alias(name) for name, measure in measures.items()],
+        predominant("state"), predominant("city"),
     )
+    return profile.where((F.col("tx") > 0) & (F.col(owner) != ""))
 
 
 def high_cities(classified: DataFrame, bucket: str, out: str) -> DataFrame:
@@ -49,21 +46,55 @@ def hotspots(classified: DataFrame, bucket: str, k: int, out: str) -> DataFrame:
     return top_per_group(cities, ["state"], [F.desc(out), F.asc("city")], k).select("state", "rank", "city", out)
 
 
-def state_rollup(classified: DataFrame, counts: dict[str, Column], bucket: str, k: int, out: str) -> DataFrame:
-    """Counters and hotspots per state in one pass over the classified owners.
+class Leading(NamedTuple):
+    """The ``k`` owners with the largest ``value`` per state, as an array ``name`` of structs of
+    ``fields`` with their ``rank``; equal values by owner. ``k`` bounds what is gathered: at most
+    ``SALTS * k`` structs per state and step."""
+    name: str
+    owner: str
+    value: str
+    fields: list[str]
+    k: int
+
+    def entry(self) -> Column:
+        return F.struct((-F.col(self.value)).alias("_order"), *self.fields)
+
+    def merged(self, column: str) -> Column:
+        return F.slice(F.array_sort(F.flatten(F.collect_list(column))), 1, self.k).alias(self.name)
+
+
+def state_rollup(classified: DataFrame, counts: dict[str, Column], bucket: str, k: int, out: str,
+                 leading: Leading | None = None) -> DataFrame:
+    """Counters and hotspots per state, and leading owners where asked for, in one pass over the
+    classified owners.
 
     Owners are reduced per (state, city) first; cities are then ranked and added up in salted
-    parts of a state. ``hotspots`` is an array of at most ``k`` structs (rank, city, count).
+    parts of a state. ``hotspots`` is an array of at most ``k`` structs (rank, city, count). With
+    ``leading``, owners go through salted parts of their own before they are reduced per city, and
+    each part hands on its first owners only.
     """
-    per_city = classified.groupBy("state", "city").agg(
-        F.count("*").alias("total"),
-        *[F.count_if(test).alias(name) for name, test in counts.items()],
-        F.count_if((F.col(bucket) == "HIGH") & (F.col("city") != "")).alias(out),
-    )
+    measures = {
+        "total": F.count("*"),
+        **{name: F.count_if(test) for name, test in counts.items()},
+        out: F.count_if((F.col(bucket) == "HIGH") & (F.col("city") != "")),
+    }
+    extra = {}
+    if leading is None:
+        per_city = classified.groupBy("state", "city").agg(*[m.alias(n) for n, m in measures.items()])
+    else:
+        within = Window.partitionBy("state", "_salt").orderBy(F.desc(leading.value), leading.owner)
+        salted = classified.withColumn("_salt", F.pmod(F.xxhash64(leading.owner), F.lit(SALTS)))
+        first = F.when(F.row_number().over(within) <= leading.k, leading.entry())
+        parts = salted.withColumn("_first", first).groupBy("state", "_salt", "city").agg(
+            *[m.alias(n) for n, m in measures.items()], F.collect_list("_first").alias("_firsts"))
+        per_city = parts.groupBy("state", "city").agg(*[F.sum(n).alias(n) for n in measures], leading.merged("_firsts"))
+        extra[leading.name] = leading.merged(leading.name)
     totals = {name: F.sum(name) for name in ("total", *counts)}
     merged = totals_with_leaders(
-        per_city.withColumn("coldest", -F.col(out)), "state", "city", ["coldest", "city"], [out], totals, k, F.col(out) > 0)
-    return merged.select("state", *totals, numbered("leaders", ["city", out]).alias("hotspots"))
+        per_city.withColumn("coldest", -F.col(out)), "state", "city", ["coldest", "city"], [out], totals, k, F.col(out) > 0,
+        salts=SALTS, gathered=extra)
+    found = [] if leading is None else [numbered(leading.name, leading.fields).alias(leading.name)]
+    return merged.select("state", *totals, numbered("leaders", ["city", out]).alias("hotspots"), *found)
 
 
 def bucket_counts(bucket: str) -> dict[str, Column]:

@@ -143,7 +143,7 @@ def quality_risk(lines: DataFrame) -> DataFrame:
     body = drop_header(lines, "id_prefix").select(DIALECTS["naive"](value).alias("parts"))
     complete = F.when(F.size("parts") >= len(fixed.COLUMNS), F.col("parts"))
     rows = name_fields(body.select(complete.alias("parts")))
-    profiles = with_score(client_risk_profile(rows, F.sum("rows").alias("rows")))
+    profiles = with_score(client_risk_profile(rows, F.count("*").alias("rows")))
     client, n = F.col("client_id"), F.col("rows")
     named = client != ""
     zero = F.lit(0).cast("bigint")

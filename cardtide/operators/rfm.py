@@ -12,10 +12,10 @@ from .profiles import bucket_counts, hotspots, owner_profile, state_rollup, with
 
 
 def _reference_day(rules: RfmRules) -> Column:
-    """The reference date, or today where none is given."""
+    """The reference date, or today in UTC where none is given."""
     if re.fullmatch(r"\d{4}-\d{2}-\d{2}", rules.reference_date or ""):
         return F.lit(rules.reference_date).cast("date")
-    return F.current_date()
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("date")
 
 
 def rfm_client(df: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
@@ -25,23 +25,18 @@ def rfm_client(df: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
     Rows need a client, a valid timestamp and a readable amount.
     """
     rows = df.select(
-        "client_id", "merchant_state", "merchant_city",
+        clean.trim_quotes(F.col("client_id")).alias("client_id"),
+        clean.nz_unknown(clean.trim_quotes(F.col("merchant_state"))).alias("state"),
+        clean.nz_unknown(clean.trim_quotes(F.col("merchant_city"))).alias("city"),
         clean.parse_ts(clean.trim_quotes(F.col("date"))).alias("ts"),
         clean.cents_exact(F.col("amount")).alias("cents"),
     )
     valid = F.col("ts").isNotNull() & F.col("cents").isNotNull()
-    by_text = rows.groupBy("client_id", "merchant_state", "merchant_city").agg(
-        F.count_if(valid).alias("tx"),
-        F.sum(F.when(valid, F.col("cents"))).alias("sum_cents"),
-        F.max(F.when(valid, F.col("ts"))).alias("last_ts"),
-    ).where("tx > 0")
-    places = by_text.select(
-        clean.trim_quotes(F.col("client_id")).alias("client_id"),
-        clean.nz_unknown(clean.trim_quotes(F.col("merchant_state"))).alias("state"),
-        clean.nz_unknown(clean.trim_quotes(F.col("merchant_city"))).alias("city"),
-        "tx", "sum_cents", "last_ts",
-    ).where(F.col("client_id") != "")
-    profile = owner_profile(places, "client_id", ["sum_cents"], ["last_ts"])
+    cents = F.when(valid, F.col("cents"))
+    profile = owner_profile(rows, "client_id", valid, {
+        "sum_cents": F.sum(cents),
+        "last_ts": F.max(F.when(valid, F.col("ts"))),
+    })
     recency = F.date_diff(_reference_day(rules), F.col("last_ts").cast("date"))
     return profile.select(
         "client_id", "last_ts",

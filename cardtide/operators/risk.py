@@ -8,67 +8,65 @@ from ..functions import clean, fixed
 from .categories import numbered, top_per_group, totals_with_leaders
 
 
-_PLACE = ["client_id", "merchant_city", "mcc", "card_id"]
+# Amounts below this are added up as decimals, exactly; the few others as doubles.
+_EXACT_BELOW = 1e18
 
 
-def risk_places(df: DataFrame) -> DataFrame:
-    """Measures per client, city, category and card, as raw texts.
+def risk_rows(df: DataFrame) -> DataFrame:
+    """The values that the profile reads of each transaction.
 
-    A row is valid when its timestamp and amount can be read; ``rows`` counts all rows, ``tx`` the
-    valid ones. Sums are decimals, so they do not depend on the order partitions are added up in.
+    A row is valid when its timestamp and amount can be read; any amount that is a number counts.
     """
+    text = lambda c: F.coalesce(clean.jtrim(F.col(c)), F.lit(""))
     rows = df.select(
-        *_PLACE,
-        clean.parse_ts(clean.jtrim(F.col("date")), seconds_optional=False).alias("ts"),
-        clean.amount_double(F.col("amount")).try_cast("decimal(28,10)").alias("amount"),
+        clean.jtrim(F.col("client_id")).alias("client_id"),
+        text("merchant_city").alias("city"), text("mcc").alias("code"), text("card_id").alias("card"),
+        clean.parse_ts_prefix(clean.jtrim(F.col("date"))).alias("ts"),
+        clean.amount_double(F.col("amount")).alias("amount"),
         clean.is_online(F.col("use_chip"), "contains").alias("is_online"),
         clean.has_error(F.col("errors"), "null_na").alias("is_error"),
     )
-    valid = F.col("ts").isNotNull() & F.col("amount").isNotNull()
-    return rows.groupBy(*_PLACE).agg(
-        F.count("*").alias("rows"),
-        F.count_if(valid).alias("tx"),
-        F.sum(F.when(valid, F.abs("amount"))).alias("amount"),
-        F.min(F.when(valid, F.col("ts"))).alias("first"),
-        F.max(F.when(valid, F.col("ts"))).alias("last"),
-        F.count_if(valid & F.col("is_online")).alias("online"),
-        F.count_if(valid & ~F.col("is_online")).alias("swipe"),
-        F.count_if(valid & F.col("is_error")).alias("errors"),
-        F.count_if(valid & (F.col("amount") < 0)).alias("chargebacks"),
-    )
+    return rows.withColumns({
+        "valid": F.col("ts").isNotNull() & F.col("amount").isNotNull(),
+        "exact": F.when(F.abs("amount") < _EXACT_BELOW, F.abs("amount")).try_cast("decimal(28,10)"),
+    })
 
 
 def client_risk_profile(df: DataFrame, *extra: Column) -> DataFrame:
     """One row per client id, also for clients without any valid row (all counters 0).
 
     ``total`` (of absolute amounts) and ``avg`` are rounded half up to two decimals; the scoring
-    reads them that way. Rows are reduced per place first; the three exact distinct counts then
-    expand the reduced rows only, and Spark spreads them over (client, value) keys before it
-    brings a client together. ``extra`` are further aggregates over the places.
+    reads them that way. Sums are decimals, so they do not depend on the order partitions are added
+    up in. Cities and codes are bounded by their dimensions and gathered as sets; cards are not, so
+    they are counted over (client, card) keys, which also spreads a client holding most rows, before
+    a second exchange brings the client together. ``extra`` are further aggregates over the rows.
     """
-    text = lambda c: F.coalesce(clean.jtrim(F.col(c)), F.lit(""))
-    seen = F.col("tx") > 0
-    places = risk_places(df).withColumns({
-        "client_id": clean.jtrim(F.col("client_id")),
-        "city": F.when(seen & ~text("merchant_city").isin("", fixed.ONLINE), text("merchant_city")),
-        "code": F.when(seen & (text("mcc") != ""), text("mcc")),
-        "card": F.when(seen, text("card_id")),
-    })
-    profile = places.groupBy("client_id").agg(
-        *[F.sum(c).alias(c) for c in ("tx", "amount", "online", "swipe", "errors", "chargebacks")],
-        F.count_distinct("city").alias("cities"),
-        F.count_distinct("code").alias("mccs"),
-        F.count_distinct("card").alias("cards"),
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
+    valid = F.col("valid")
+    distinct = lambda c, *blanks: F.size(F.collect_set(F.when(valid & ~F.col(c).isin(*blanks), F.col(c)))).cast("bigint").alias(out[c])
+    out = {"city": "cities", "code": "mccs"}
+    profile = risk_rows(df).groupBy("client_id").agg(
+        F.count_if(valid).alias("tx"),
+        F.sum(F.when(valid, F.col("exact"))).alias("exact"),
+        F.sum(F.when(valid & F.col("exact").isNull(), F.abs("amount"))).alias("huge"),
+        F.min(F.when(valid, F.col("ts"))).alias("first"),
+        F.max(F.when(valid, F.col("ts"))).alias("last"),
+        F.count_if(valid & F.col("is_online")).alias("online"),
+        F.count_if(valid & ~F.col("is_online")).alias("swipe"),
+        F.count_if(valid & F.col("is_error")).alias("errors"),
+        F.count_if(valid & (F.col("amount") < 0)).alias("chargebacks"),
+        distinct("city", "", fixed.ONLINE),
+        distinct("code", ""),
+        F.count_distinct(F.when(valid, F.col("card"))).alias("cards"),
         *extra,
     )
-    amount = F.coalesce("amount", F.lit(0).cast("decimal(38,10)"))
-    mean = F.when(F.col("tx") > 0, F.round(amount / F.col("tx"), 2)).otherwise(F.lit(0))
+    exact, tx, huge = F.coalesce("exact", F.lit(0).cast("decimal(38,10)")), F.col("tx"), F.col("huge")
+    rounded = lambda value: F.round(value, 2).cast("double")
+    total = F.when(huge.isNull(), rounded(exact)).otherwise(exact.cast("double") + huge)
+    mean = F.when(tx == 0, F.lit(0.0)).when(huge.isNull(), rounded(exact / F.nullif(tx, F.lit(0))))
     return profile.select(
         "client_id", "tx",
-        F.round(amount, 2).cast("double").alias("total"),
-        mean.cast("double").alias("avg"),
+        total.alias("total"),
+        mean.otherwise((exact.cast("double") + huge) / F.nullif(tx, F.lit(0))).alias("avg"),
         "cities", "mccs", "cards",
         clean.epoch_ms(F.col("first")).alias("first_ts"),
         clean.epoch_ms(F.col("last")).alias("last_ts"),
@@ -82,35 +80,35 @@ def _steps() -> list[list[tuple[Column, int, Column]]]:
     col, some = F.col, F.col("tx") > 0
     error_pct = F.when(some, col("errors") * 100.0 / col("tx"))
     online_pct = F.when(some, col("online") * 100.0 / col("tx"))
-    named = lambda name, value, unit="": F.concat(F.lit(f"{name}["), value.cast("string"), F.lit(f"{unit}]"))
-    shown = lambda name, pattern, value: F.format_string(f"{name}[{pattern}]", value)
+    large = lambda limit: (col("avg") > limit) & ~F.isnan("avg")
+    shown = F.format_string
     return [
         [
-            (col("cities") > 5, 15, named("HIGH_MOBILITY", col("cities"), "_cities")),
-            (col("cities") > 3, 8, named("MEDIUM_MOBILITY", col("cities"), "_cities")),
+            (col("cities") > 5, 15, shown("HIGH_MOBILITY[%d_cities]", col("cities"))),
+            (col("cities") > 3, 8, shown("MEDIUM_MOBILITY[%d_cities]", col("cities"))),
         ],
         [
-            (col("mccs") > 10, 12, named("DIVERSE_MCC", col("mccs"), "_categories")),
-            (col("mccs") > 6, 6, named("VARIED_MCC", col("mccs"), "_categories")),
+            (col("mccs") > 10, 12, shown("DIVERSE_MCC[%d_categories]", col("mccs"))),
+            (col("mccs") > 6, 6, shown("VARIED_MCC[%d_categories]", col("mccs"))),
         ],
         [
-            (col("cards") > 3, 20, named("MULTIPLE_CARDS", col("cards"), "_cards")),
-            (col("cards") > 1, 8, named("DUAL_CARDS", col("cards"), "_cards")),
+            (col("cards") > 3, 20, shown("MULTIPLE_CARDS[%d_cards]", col("cards"))),
+            (col("cards") > 1, 8, shown("DUAL_CARDS[%d_cards]", col("cards"))),
         ],
         [
-            (error_pct > 20, 25, shown("HIGH_ERROR_RATE", "%.1f%%", error_pct)),
-            (error_pct > 10, 12, shown("MEDIUM_ERROR_RATE", "%.1f%%", error_pct)),
+            (error_pct > 20, 25, shown("HIGH_ERROR_RATE[%.1f%%]", error_pct)),
+            (error_pct > 10, 12, shown("MEDIUM_ERROR_RATE[%.1f%%]", error_pct)),
         ],
         [
-            (col("chargebacks") > 3, 25, named("FREQUENT_CHARGEBACKS", col("chargebacks"))),
-            (col("chargebacks") > 0, 10, named("CHARGEBACKS", col("chargebacks"))),
+            (col("chargebacks") > 3, 25, shown("FREQUENT_CHARGEBACKS[%d]", col("chargebacks"))),
+            (col("chargebacks") > 0, 10, shown("CHARGEBACKS[%d]", col("chargebacks"))),
         ],
         [
-            (col("avg") > 500, 15, shown("HIGH_AVG_AMOUNT", "%.2f", col("avg"))),
-            (col("avg") > 200, 7, shown("MEDIUM_AVG_AMOUNT", "%.2f", col("avg"))),
+            (large(500), 15, shown("HIGH_AVG_AMOUNT[%.2f]", col("avg"))),
+            (large(200), 7, shown("MEDIUM_AVG_AMOUNT[%.2f]", col("avg"))),
         ],
         [
-            ((online_pct > 80) | (online_pct < 20), 10, shown("UNBALANCED_CHANNELS", "%.0f%%_online", online_pct)),
+            ((online_pct > 80) | (online_pct < 20), 10, shown("UNBALANCED_CHANNELS[%.0f%%_online]", online_pct)),
         ],
     ]
 
@@ -151,19 +149,20 @@ def top_risk_clients(risks: DataFrame, k: int = 10) -> DataFrame:
     return top.select("category", "rank", "client_id", "score", "tx", "total", "factors")
 
 
-def risk_report(risks: DataFrame, k: int = 10) -> DataFrame:
+def risk_report(risks: DataFrame, k: int = 10, salts: int = 256) -> DataFrame:
     """Clients, mean score, total and mean amount, mean transactions and top clients per category,
-    most severe category first; one pass over the scored clients."""
+    most severe category first; one pass over the scored clients, each category in ``salts`` parts."""
     ordered = risks.withColumn("worst", -F.col("score"))
     totals = {
         "clients": F.count("*"),
         "points": F.sum("score"),
-        "dollars": F.sum(F.col("total").cast("decimal(28,2)")),
+        "dollars": F.sum(F.when(F.abs("total") < _EXACT_BELOW, F.col("total")).try_cast("decimal(28,2)")),
+        "huge": F.sum(F.when(~(F.abs("total") < _EXACT_BELOW), F.col("total"))),
         "transactions": F.sum("tx"),
     }
     fields = ["score", "tx", "total", "factors"]
-    merged = totals_with_leaders(ordered, "category", "client_id", ["worst", "client_id"], fields, totals, k)
-    amount = F.col("dollars").cast("double")
+    merged = totals_with_leaders(ordered, "category", "client_id", ["worst", "client_id"], fields, totals, k, salts=salts)
+    amount = F.coalesce(F.col("dollars").cast("double"), F.lit(0.0)) + F.coalesce("huge", F.lit(0.0))
     report = merged.select(
         "category", "clients",
         (F.col("points") / F.col("clients")).alias("avg_score"),

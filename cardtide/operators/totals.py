@@ -1,7 +1,8 @@
 """Totals and counts by one key.
 
-Rows are reduced per raw key text first (map side, then one exchange), cleaned, and reduced once
-more; the second exchange moves only distinct texts.
+Where few texts occur (cities, states, types, codes), rows are reduced per raw text first (map side,
+then one exchange), cleaned, and reduced once more; the second exchange moves only distinct texts.
+Client ids are as many after cleaning as before, so they are cleaned first and exchanged once.
 """
 
 from __future__ import annotations
@@ -43,7 +44,10 @@ def amount_by_city(df: DataFrame) -> DataFrame:
 
 def amount_by_client(df: DataFrame) -> DataFrame:
     """``client_id, tx, total_cents, total``; rows without client or amount are dropped."""
-    return _sum_by(df, "client_id", "client_id", clean.norm_client)
+    rows = df.select(clean.norm_client(F.col("client_id")).alias("client_id"), clean.cents_exact(F.col("amount")).alias("cents"))
+    usable = F.when(F.col("client_id").isNotNull(), F.col("cents"))
+    totals = rows.groupBy("client_id").agg(F.count(usable).alias("tx"), F.sum(usable).alias("total_cents")).where("tx > 0")
+    return totals.withColumn("total", F.col("total_cents") / F.lit(100.0))
 
 
 def count_by_txn_type(df: DataFrame) -> DataFrame:

@@ -105,8 +105,8 @@ def result_table(spark: SparkSession, name: str, *inputs: str, properties: Prope
 
 
 def run(spark: SparkSession, name: str, inputs: str | list[str], output: str, *, files: int | None = None,
-        mode: str | None = None, properties: Properties | None = None, stage: str | None = None) -> DataFrame:
-    """Run an analysis and write its report; returns the result table.
+        mode: str | None = None, properties: Properties | None = None, stage: str | None = None) -> None:
+    """Run an analysis and write its report.
 
     An existing output is an error, except for the risk analysis, which replaces it; ``mode``
     overrides this.
@@ -115,4 +115,3 @@ def run(spark: SparkSession, name: str, inputs: str | list[str], output: str, *,
     inputs = [inputs] if isinstance(inputs, str) else inputs
     table = result_table(spark, name, *inputs, properties=properties, stage=stage)
     sink.write_report(routine.lines(table), output, files, mode or routine.mode, list(routine.order))
-    return table

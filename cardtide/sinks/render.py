@@ -7,10 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import clean
-
-# Sentinels shown for a client without any valid transaction (fixed values).
-_NO_FIRST, _NO_LAST = 9223372036854775807, -9223372036854775808
+from ..functions import clean, fixed
 
 
 def _lines(df: DataFrame, key: Column, text: Column, *order: str) -> DataFrame:
@@ -39,7 +36,7 @@ def render_count(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def render_city_statistics(df: DataFrame, compact: bool = False) -> DataFrame:
-    pattern = "%d\t%.2f\t%.2f" if compact else "Transações: %d | Total: $%.2f | Média: $%.2f"
+    pattern = fixed.REPORT_CITY_STATISTICS_COMPACT if compact else fixed.REPORT_CITY_STATISTICS
     dollars = [F.col(c) / F.lit(100.0) for c in ("total_cents", "avg_cents")]
     return _lines(df, F.col("city"), F.format_string(pattern, F.col("tx"), *dollars))
 
@@ -47,18 +44,17 @@ def render_city_statistics(df: DataFrame, compact: bool = False) -> DataFrame:
 def render_city_time_period(df: DataFrame, compact: bool = False) -> DataFrame:
     names = ("morning", "afternoon", "night")
     if compact:
-        text = F.format_string("%d\t%d\t%d\t%d\t%s", *[F.col(c) for c in (*names, "total", "peak")])
+        text = F.format_string(fixed.REPORT_CITY_TIME_PERIOD_COMPACT, *[F.col(c) for c in (*names, "total", "peak")])
     else:
-        pattern = "Manhã: %d (%.2f%%) | Tarde: %d (%.2f%%) | Noite: %d (%.2f%%) | Total: %d | Pico: %s"
         shares = [c for n in names for c in _share(n)]
-        text = F.format_string(pattern, *shares, F.col("total"), F.col("peak"))
+        text = F.format_string(fixed.REPORT_CITY_TIME_PERIOD, *shares, F.col("total"), F.col("peak"))
     return _lines(df, F.col("city"), text)
 
 
 def render_top_categories(top: DataFrame, keys: list[str], compact: bool = False) -> DataFrame:
     """One line per place: ``Top-1: 5812 (Restaurants) 10 | Top-2: ...``; a (city, period) place
     is shown as ``CITY [Manhã]``. Also keeps the key columns and the ``total`` for sorting."""
-    pattern = "%s:%d" if compact else "Top-%d: %s (%s) %d"
+    pattern = fixed.REPORT_TOP_CATEGORY_COMPACT if compact else fixed.REPORT_TOP_CATEGORY
     values = [F.col(c) for c in (("mcc", "tx") if compact else ("rank", "mcc", "label", "tx"))]
     entry = F.struct("rank", F.format_string(pattern, *values).alias("text"))
     lines = top.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("entries"), F.sum("tx").alias("total"))
@@ -70,61 +66,47 @@ def render_top_categories(top: DataFrame, keys: list[str], compact: bool = False
     return _lines(lines, F.col(keys[0]), text, *order, "total")
 
 
-_CLIENT_SHARES = "Clients: %d | Low: %d (%.2f%%) | Med: %d (%.2f%%) | High: %d (%.2f%%)"
-
-
 def _client_shares() -> Column:
-    return F.format_string(_CLIENT_SHARES, F.col("total"), *[c for n in ("low", "med", "high") for c in _share(n)])
+    return F.format_string(fixed.REPORT_CLIENT_SHARES, F.col("total"), *[c for n in ("low", "med", "high") for c in _share(n)])
 
 
 def render_client_risk(df: DataFrame) -> DataFrame:
-    spots = F.when(F.size("hotspots") > 0, F.concat(F.lit(" | Top Cities (High Risk): "), _spots("clients")))
+    spots = F.when(F.size("hotspots") > 0, F.concat(F.lit(fixed.REPORT_CLIENT_RISK_CITIES), _spots("clients")))
     return _lines(df, F.col("state"), F.concat(_client_shares(), F.coalesce(spots, F.lit(""))))
 
 
 def render_rfm(df: DataFrame) -> DataFrame:
-    return _lines(df, F.col("state"), F.concat(_client_shares(), F.lit(" | Top Cities (High): "), _spots("clients")))
+    return _lines(df, F.col("state"), F.concat(_client_shares(), F.lit(fixed.REPORT_RFM_CITIES), _spots("clients")))
 
 
 def render_merchant_health(df: DataFrame) -> DataFrame:
-    pattern = (
-        "Merchants: %d | Health A:%d (%.2f%%) | B:%d (%.2f%%) | C:%d (%.2f%%) | "
-        "Risk Low:%d (%.2f%%) | Med:%d (%.2f%%) | High:%d (%.2f%%) | Top Merchants: %s | High-Risk Hotspots: %s"
-    )
     names = ("health_a", "health_b", "health_c", "risk_low", "risk_med", "risk_high")
     leaders = _joined(
         "top_merchants", lambda m: F.concat(m["merchant_id"], F.lit(":$"), clean.fmt_money(m["sum_cents"], True))
     )
     shares = [c for n in names for c in _share(n)]
-    return _lines(df, F.col("state"), F.format_string(pattern, F.col("total"), *shares, leaders, _spots("merchants")))
+    return _lines(df, F.col("state"), F.format_string(fixed.REPORT_MERCHANT_HEALTH, F.col("total"), *shares, leaders, _spots("merchants")))
 
 
 def render_client_risk_profile(df: DataFrame) -> DataFrame:
-    pattern = "%d\t%.2f\t%.2f" + "\t%d" * 9
-    first = F.coalesce("first_ts", F.lit(_NO_FIRST))
-    last = F.coalesce("last_ts", F.lit(_NO_LAST))
+    first = F.coalesce("first_ts", F.lit(fixed.REPORT_NO_FIRST))
+    last = F.coalesce("last_ts", F.lit(fixed.REPORT_NO_LAST))
     before = [F.col(c) for c in ("tx", "total", "avg", "cities", "mccs", "cards")]
     after = [F.col(c) for c in ("online", "swipe", "errors", "chargebacks")]
-    return _lines(df, F.col("client_id"), F.format_string(pattern, *before, first, last, *after))
+    return _lines(df, F.col("client_id"), F.format_string(fixed.REPORT_CLIENT_RISK_PROFILE, *before, first, last, *after))
 
 
 def render_client_risk_score(df: DataFrame) -> DataFrame:
     values = [F.col("client_id"), F.col("score").cast("double"), F.col("factors"), F.col("tx"), F.col("total")]
-    return _lines(df, F.col("category"), F.format_string("%s\t%.2f\t%s\t%d\t%.2f", *values), "score")
+    return _lines(df, F.col("category"), F.format_string(fixed.REPORT_CLIENT_RISK_SCORE, *values), "score")
 
 
 def render_risk_report(df: DataFrame) -> DataFrame:
     """A block of lines per category, with its ``severity`` for sorting."""
-    head = (
-        "\n========== RISK CATEGORY: %s ==========\nTotal Clients: %d\nAverage Risk Score: %.2f\n"
-        "Total Amount: $%.2f\nAverage Amount per Client: $%.2f\nAverage Transactions per Client: %.1f\n"
-        "\n--- TOP 10 HIGHEST RISK CLIENTS ---\n"
-    )
     names = ("category", "clients", "avg_score", "total_amount", "avg_amount", "avg_tx")
-    entry = "%d. Client %s (Score: %.2f, Transactions: %d, Amount: $%.2f)\n   Factors: %s\n"
     clients = _joined("top_clients", lambda c: F.format_string(
-        entry, c["rank"], c["client_id"], c["score"].cast("double"), c["tx"], c["total"], c["factors"]
+        fixed.REPORT_RISK_CLIENT, c["rank"], c["client_id"], c["score"].cast("double"), c["tx"], c["total"], c["factors"]
     ), "")
-    text = F.concat(F.format_string(head, *[F.col(n) for n in names]), clients, F.lit("=" * 40 + "\n"))
+    text = F.concat(F.format_string(fixed.REPORT_RISK_HEAD, *[F.col(n) for n in names]), clients, F.lit(fixed.REPORT_RISK_END))
     severity = (-clean.severity_rank(F.col("category"))).alias("severity")
     return df.select(F.col("category").alias("key"), text.alias("text"), severity)

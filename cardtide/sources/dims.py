@@ -13,13 +13,13 @@ from ..functions.clean import jtrim
 def mcc_dim(spark: SparkSession, variant: str) -> DataFrame:
     """``mcc, label``: 108 long labels or 109 short ones."""
     at = {"long": 1, "short": 2}[variant]
-    rows = [(r[0], r[at]) for r in fixed.table_rows(fixed.MCC_TABLE) if r[at]]
+    rows = [(r[0], r[at]) for r in fixed.MCC_TABLE if r[at]]
     return spark.createDataFrame(pa.table({"mcc": [r[0] for r in rows], "label": [r[1] for r in rows]}))
 
 
 def state_dim(spark: SparkSession) -> DataFrame:
     """``state, state_name, region`` for the 51 codes."""
-    rows = fixed.table_rows(fixed.STATE_TABLE)
+    rows = fixed.STATE_TABLE
     names = ("state", "state_name", "region")
     return spark.createDataFrame(pa.table({n: [r[i] for r in rows] for i, n in enumerate(names)}))
 

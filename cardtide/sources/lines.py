@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import fixed
 from ..functions.clean import jtrim
 
-_MARK = "\u0001"  # stands for a field boundary while a quoted line is split
+# Stand for a field boundary, and begin an escape, while a quoted line is split.
+_MARK, _ESCAPE = "\u0001", "\u0002"
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -38,8 +39,13 @@ def drop_header(lines: DataFrame, mode: str = "id_field") -> DataFrame:
     return lines.where(~is_header(F.col("value"), mode))
 
 
-def _split_marked(line: Column, marked: int, glue: str) -> Column:
-    """Split at the commas in every second piece of the line cut at its quotes, from ``marked`` on."""
+def _replaced(c: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def _at_marks(line: Column, marked: int, glue: str) -> Column:
     pieces = F.transform(
         F.split(line, '"', -1),
         lambda piece, i: F.when(i % 2 == marked, F.translate(piece, ",", _MARK)).otherwise(piece),
@@ -47,6 +53,19 @@ def _split_marked(line: Column, marked: int, glue: str) -> Column:
     return F.split(F.array_join(pieces, glue), _MARK, -1)
 
 
+def _split_marked(line: Column, marked: int, glue: str) -> Column:
+    """Split at the commas in every second piece of the line cut at its quotes, from ``marked`` on.
+
+    A line that holds the boundary mark itself has it escaped before and restored after.
+    """
+    escaped = _replaced(line, (_ESCAPE, _ESCAPE + "b"), (_MARK, _ESCAPE + "a"))
+    restored = F.transform(
+        _at_marks(escaped, marked, glue),
+        lambda field: _replaced(field, (_ESCAPE + "a", _MARK), (_ESCAPE + "b", _ESCAPE)))
+    special = line.contains(_MARK) | line.contains(_ESCAPE)
+    return F.when(special, restored).otherwise(_at_marks(line, marked, glue))
+
+
 def _unless_plain(line: Column, quoted: Column) -> Column:
     """A line without quotes takes the plain split, whatever the dialect."""
     return F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", -1))
@@ -55,8 +74,7 @@ def _unless_plain(line: Column, quoted: Column) -> Column:
 def split_toggle(line: Column) -> Column:
     """Every quote switches quoting on or off and is removed; an unclosed one hides later commas.
 
-    A comma separates fields when an even number of quotes stands before it. (A quoted line must
-    not contain the control character U+0001, which stands for the separators meanwhile.)
+    A comma separates fields when an even number of quotes stands before it.
     """
     return _unless_plain(line, _split_marked(line, 0, ""))
 
@@ -106,17 +124,20 @@ def read_transactions(spark: SparkSession, *paths: str, dialect: str = "toggle")
     return parse_transactions(read_lines(spark, *paths), dialect)
 
 
-def read_house_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """House sales: status, price and city from a plain comma-separated file.
+def parse_house_lines(lines: DataFrame) -> DataFrame:
+    """House sales: status, price and city from plain comma-separated lines.
 
     Lines starting with ``brokered_by`` are headers; a row needs all three fields.
     """
-    lines = read_lines(spark, *paths).where(~F.col("value").startswith("brokered_by"))
     parts = F.split("value", ",", -1)
-    fields = lines.select(
+    fields = lines.where(~F.col("value").startswith("brokered_by")).select(
         F.upper(F.get(parts, F.lit(7))).alias("city"),
         F.upper(F.get(parts, F.lit(1))).alias("status"),
         F.get(parts, F.lit(2)).alias("price"),
     )
     present = [F.coalesce(F.col(c), F.lit("")) != "" for c in ("city", "status", "price")]
     return fields.where(present[0] & present[1] & present[2]).withColumn("price", F.col("price").try_cast("double"))
+
+
+def read_house_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    return parse_house_lines(read_lines(spark, *paths))

@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import fixed
 
 # Location per supplier nation and category per part (fixed values of the adapter).
-_LOCATIONS = "CA,NY,TX,FL,WA,OH,IL,GA,PA,MI,NC,NJ,VA,AZ,MA,TN,CO,MN,OR,DC,Canada,Mexico,Italy,,N/A"
-_CODES = "5812,5541,5411,4784,4900,5942,5814,4829,5311,9999,bad"
+_LOCATIONS = (
+    "CA", "NY", "TX", "FL", "WA", "OH", "IL", "GA", "PA", "MI", "NC", "NJ", "VA", "AZ", "MA", "TN", "CO", "MN", "OR", "DC",
+    "Canada", "Mexico", "Italy", "", "N/A",
+)
+_CODES = ("5812", "5541", "5411", "4784", "4900", "5942", "5814", "4829", "5311", "9999", "bad")
 
 _FROM_ORDERS = {"client_id", "card_id"}
 _FROM_SUPPLIER = {"use_chip", "merchant_city", "merchant_state"}
@@ -62,7 +65,7 @@ def _expressions(names: tuple[str, ...]) -> list[Column]:
             F.concat(F.lit("City "), _text(col("l_suppkey") % 7))),
         "merchant_state": lambda: col("st"),
         "zip": lambda: _text(col("l_suppkey") % 1000),
-        "mcc": lambda: F.split_part(F.lit(_CODES), F.lit(","), (col("l_partkey") % 11 + 1).cast("int")),
+        "mcc": lambda: F.get(F.array(*map(F.lit, _CODES)), (col("l_partkey") % 11).cast("int")),
         "errors": lambda: F.when((col("l_returnflag") == "R") & (col("l_partkey") % 4 == 0), "Insufficient Balance")
         .when((col("l_returnflag") == "A") & (col("l_partkey") % 29 == 0), "Bad PIN,Technical Glitch")
         .otherwise(""),
@@ -70,27 +73,19 @@ def _expressions(names: tuple[str, ...]) -> list[Column]:
     return [rules[name]().alias(name) for name in names]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """One table of the schema.
-
-    A table that arrives in fewer partitions than there are cores (a small file with a single row
-    group) is spread over the cores by the given columns; a large one is left as it is.
-    """
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and table.rdd.getNumPartitions() < cores:
-        table = table.repartition(cores, *spread_by)
-    return table
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table of the schema, partitioned as its files are."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _facts(spark: SparkSession, sf_dir: str, needed: set[str]) -> DataFrame:
-    facts = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    facts = read_table(spark, sf_dir, "lineitem")
     if needed & _FROM_ORDERS:
         orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         facts = facts.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if needed & _FROM_SUPPLIER:
-        location = F.split_part(F.lit(_LOCATIONS), F.lit(","), F.col("s_nationkey") + 1)
-        suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey", location.alias("st"))
+        location = F.get(F.array(*map(F.lit, _LOCATIONS)), F.col("s_nationkey"))
+        suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey", F.coalesce(location, F.lit("")).alias("st"))
         facts = facts.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     return facts
 
@@ -105,8 +100,8 @@ def card_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same transactions as raw text lines, with the usual dirt of such files.
 
     Among the lines of one line number, some are a repeated header, some have lost their last
-    field, gained one, or carry a blank, textual or oddly written value. Error texts with a
-    comma are quoted.
+    field, gained one, or carry a blank, textual or oddly written value, or text after the date.
+    Error texts with a comma are quoted.
     """
     # Three plain steps instead of one nested expression, which would be too large to compile.
     facts = _facts(spark, sf_dir, _FROM_ORDERS | _FROM_SUPPLIER)
@@ -119,7 +114,8 @@ def card_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "merchant_city": F.when(hit(3, 0), "n/a").when(hit(3, 1), "").otherwise(F.col("merchant_city")),
         "merchant_state": F.when(hit(3, 2), "pr").when(hit(3, 3), "online").otherwise(F.col("merchant_state")),
         "use_chip": F.when(hit(4, 0), "y").when(hit(4, 1), "0").when(hit(4, 2), "tap").otherwise(F.col("use_chip")),
-        "date": F.when(hit(4, 3), "2001-02-30 18:00:00").when(hit(4, 4), "soon").otherwise(F.col("date")),
+        "date": F.when(hit(4, 3), "2001-02-30 18:00:00").when(hit(4, 4), "soon")
+        .when(hit(4, 5), F.concat("date", F.lit(".0"))).when(hit(4, 6), F.concat("date", F.lit("Z"))).otherwise(F.col("date")),
         "errors": F.when(hit(5, 0), "N/A").when(hit(5, 1), "no_error")
         .when(errors.contains(","), F.concat(F.lit('"'), errors, F.lit('"'))).otherwise(errors),
     })
@@ -132,3 +128,17 @@ def card_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The generator keeps later filters from being pushed into (and repeating) the construction.
     return whole.select(F.explode(F.array(value)).alias("value"))
+
+
+def house_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as lines of house sales: type as city, brand as status, retail price as price.
+
+    Some lines are repeated headers, and some have lost a field's text.
+    """
+    hit = lambda remainder: F.col("p_partkey") % 40 == remainder
+    filled = lambda column, remainder: F.when(hit(remainder), "").otherwise(F.col(column).cast("string"))
+    fields = F.concat_ws(
+        ",", F.lit("agent"), filled("p_brand", 1), filled("p_retailprice", 2), F.lit("bed"), F.lit("bath"), F.lit("acre"),
+        F.lit("street"), filled("p_type", 3), F.lit("end"))
+    value = F.when(hit(0), "brokered_by,status,price,bed,bath,acre,street,city").otherwise(fields)
+    return read_table(spark, sf_dir, "part").select(value.alias("value"))

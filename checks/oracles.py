@@ -40,7 +40,7 @@ _NOISY = _TXN + """,
 noisy AS (
 SELECT CASE WHEN ln=6 AND pk=0 THEN 'header' WHEN ln=6 AND pk=1 THEN 'short' WHEN ln=6 AND pk=2 THEN 'extra' ELSE 'plain' END AS kind,
   ln, pk, id,
-  CASE WHEN ln=4 AND pk=3 THEN '2001-02-30 18:00:00' WHEN ln=4 AND pk=4 THEN 'soon' ELSE date END AS date,
+  CASE WHEN ln=4 AND pk=3 THEN '2001-02-30 18:00:00' WHEN ln=4 AND pk=4 THEN 'soon' WHEN ln=4 AND pk=5 THEN concat(date,'.0') WHEN ln=4 AND pk=6 THEN concat(date,'Z') ELSE date END AS date,
   CASE WHEN ln=2 AND pk=0 THEN 'NULL' WHEN ln=2 AND pk=1 THEN ' ' ELSE client_id END AS client_id,
   card_id,
   CASE WHEN ln=1 AND pk=0 THEN 'abc' WHEN ln=1 AND pk=1 THEN '$1,234.56' WHEN ln=1 AND pk=2 THEN '' ELSE amount END AS amount,
@@ -96,7 +96,8 @@ t AS (SELECT *,
    CASE WHEN hh BETWEEN 0 AND 11 THEN 'MORNING' WHEN hh BETWEEN 12 AND 17 THEN 'AFTERNOON' WHEN hh BETWEEN 18 AND 23 THEN 'NIGHT' END AS period,
    cast(round(dollars*100) AS bigint) AS cents,
    CASE WHEN amount LIKE '%"%' THEN NULL ELSE try_cast(replace(trim(amount),'$','') AS double) END AS amt,
-   try_cast(CASE WHEN date LIKE '%-%-% %:%' THEN date END AS timestamp) AS ts,
+   try_cast(CASE WHEN regexp_full_match(date,'[0-9]+-[0-9]+-[0-9]+ [0-9:]+') THEN date END AS timestamp) AS ts,
+   try_cast(regexp_extract(date,'^[0-9]+-[0-9]+-[0-9]+ [0-9]+:[0-9]+:[0-9]+') AS timestamp) AS ts_k,
    ee<>'' AND upper(trim(ee))<>'NO_ERROR' AS err_m, trim(errors)<>'' AS err_c,
    upper(trim(ee)) NOT IN ('','NONE','N/A') AS err_r, trim(errors) NOT IN ('','N/A') AND lower(trim(errors))<>'null' AS err_k,
    uu='ONLINE TRANSACTION' AS on_c, uu IN ('ONLINE TRANSACTION','ONLINE') AS on_m, contains(use_chip,'Online') AS on_k
@@ -114,10 +115,10 @@ def _values(rows: list[tuple[str, ...]], names: str) -> str:
     return f"(VALUES {','.join(quoted)}) AS v({names})"
 
 
-_MCC_ROWS = fixed.table_rows(fixed.MCC_TABLE)
+_MCC_ROWS = fixed.MCC_TABLE
 _LONG = _values([(r[0], r[1]) for r in _MCC_ROWS if r[1]], "code,label")
 _SHORT = _values([(r[0], r[2]) for r in _MCC_ROWS], "code,label")
-_STATES = _values(fixed.table_rows(fixed.STATE_TABLE), "code,name,region")
+_STATES = _values(fixed.STATE_TABLE, "code,name,region")
 
 
 def _pct(x: str, total: str) -> str:
@@ -179,6 +180,7 @@ def _top(chain: str, keys: str) -> str:
   LEFT JOIN {_SHORT} ON code=mcc WHERE rank<=3)"""
 
 
+_TOP_TEXT = "string_agg(concat('Top-',rank,': ',mcc,' (',label,') ',tx),' | ' ORDER BY rank)"
 _PERIOD_ORDER = "CASE period WHEN 'MORNING' THEN 1 WHEN 'AFTERNOON' THEN 2 ELSE 3 END"
 _PERIOD_LABEL = "concat(city,' [',CASE period WHEN 'MORNING' THEN 'Manhã' WHEN 'AFTERNOON' THEN 'Tarde' ELSE 'Noite' END,']')"
 
@@ -301,12 +303,12 @@ def _risk(chain: str) -> str:
     points = "+".join(f"CASE WHEN {a} THEN {p} WHEN {b} THEN {q} ELSE 0 END" for a, p, _, b, q, _ in factors)
     texts = ",".join(f"CASE WHEN {a} THEN {x} WHEN {b} THEN {y} END" for a, _, x, b, _, y in factors)
     return chain + f""",
-ok AS (SELECT trim(client_id) AS cid, ts IS NOT NULL AND amt IS NOT NULL AS valid, * FROM t),
+ok AS (SELECT trim(client_id) AS cid, ts_k IS NOT NULL AND amt IS NOT NULL AS valid, * FROM t),
 rc AS (SELECT cid AS client_id, count(*) AS n, count(*) FILTER (valid) AS tx,
    coalesce(cast(sum(cast(round(abs(amt)*100) AS bigint)) FILTER (valid) AS bigint),0) AS tc,
    count(DISTINCT trim(merchant_city)) FILTER (valid AND trim(merchant_city) NOT IN ('','ONLINE')) AS cities,
    count(DISTINCT um) FILTER (valid AND um<>'') AS mccs, count(DISTINCT trim(card_id)) FILTER (valid) AS cards,
-   epoch_ms(min(ts) FILTER (valid)) AS first_ts, epoch_ms(max(ts) FILTER (valid)) AS last_ts,
+   epoch_ms(min(ts_k) FILTER (valid)) AS first_ts, epoch_ms(max(ts_k) FILTER (valid)) AS last_ts,
    count(*) FILTER (valid AND on_k) AS online, count(*) FILTER (valid AND NOT on_k) AS swipe,
    count(*) FILTER (valid AND err_k) AS errors, count(*) FILTER (valid AND amt<0) AS chargebacks FROM ok GROUP BY 1),
 rp AS (SELECT *, CASE WHEN tx>0 THEN (2*tc+tx)//(2*tx) ELSE 0 END AS avg_c, tc/100.0::DOUBLE AS total FROM rc),
@@ -316,6 +318,7 @@ risks AS (SELECT client_id, CASE WHEN score>=86 THEN 'CRITICAL' WHEN score>=61 T
 
 
 _RISK = _risk(_T)
+_PROFILE_COLUMNS = "client_id, tx, total, avg_c/100.0::DOUBLE AS avg, cities, mccs, cards, first_ts, last_ts, online, swipe, errors, chargebacks"
 _RISK_COLUMNS = "client_id, category, cast(score AS int) AS score, factors, tx, total"
 _TOP_RISK = _RISK + """, lead AS (SELECT category, cast(rank AS int) AS rank, client_id, score, tx, total, tc, factors FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, client_id) AS rank FROM risks) WHERE rank<=10),
@@ -450,7 +453,7 @@ ORACLES: dict[str, str] = {
     "classify_rfm": _sel(_RFM_C, "SELECT * FROM classed"),
     "rfm_by_state": _sel(_RFM_STATE, f"SELECT state, total, low, med, high, {_LMH}, {_spot_text('''concat(rank,'. ',city,': ',clients)''')} AS hotspots FROM roll"),
     "rfm_hotspots": _sel(_spots(_RFM_C, "bucket", _R.top_cities, "clients"), "SELECT * FROM spots"),
-    "client_risk_profile": _sel(_RISK, "SELECT client_id, tx, total, avg_c/100.0::DOUBLE AS avg, cities, mccs, cards, first_ts, last_ts, online, swipe, errors, chargebacks FROM rp"),
+    "client_risk_profile": _sel(_RISK, f"SELECT {_PROFILE_COLUMNS} FROM rp"),
     "risk_score": _sel(_RISK, f"SELECT {_RISK_COLUMNS} FROM risks"),
     "top_risk_clients": _sel(_TOP_RISK, "SELECT category, rank, client_id, cast(score AS int) AS score, tx, total, factors FROM lead"),
     "risk_report": _sel(_TOP_RISK, f"""SELECT category, clients, avg_score, total_amount, avg_amount, avg_tx,
@@ -458,6 +461,8 @@ ORACLES: dict[str, str] = {
     "word_count": """SELECT word, count(*) AS n FROM (
  SELECT regexp_replace(lower(w),'[^a-zA-Z0-9]','','g') AS word FROM (SELECT unnest(regexp_split_to_array(text,'\\s+')) AS w FROM documents)) WHERE word<>'' GROUP BY 1""",
     "avg_by_keys": "SELECT p_brand, p_type, count(*) AS n, round(avg(p_retailprice),6) AS avg_price FROM part WHERE p_brand<>'' AND p_type<>'' AND p_retailprice IS NOT NULL GROUP BY 1,2",
+    "avg_by_keys_from_lines": """SELECT upper(p_type) AS city, upper(p_brand) AS status, count(*) AS n, round(avg(p_retailprice),6) AS avg_price
+ FROM part WHERE p_partkey%40>3 AND p_type<>'' AND p_brand<>'' AND p_retailprice IS NOT NULL GROUP BY 1,2""",
     "summary_amount": _sel(_BY_CITY, f"SELECT count(*) AS keys, cast(sum(total_cents) AS bigint) AS grand_cents, {_ends('city', 'total_cents', 'highest', 'lowest')}, cast(sum(total_cents) AS bigint)//count(*) AS avg_cents FROM agg"),
     "summary_amount_client": _sel(_BY_CLIENT, f"""SELECT *, grand_cents//keys AS avg_cents, tx::DOUBLE/keys AS avg_tx, {_pct('highest_total_cents', 'grand_cents')} AS highest_pct,
  lowest_total_cents<0 AS has_refunds FROM (SELECT count(*) AS keys, cast(sum(total_cents) AS bigint) AS grand_cents, cast(sum(tx) AS bigint) AS tx, {_ends('client_id', 'total_cents', 'highest', 'lowest')} FROM agg)"""),
@@ -492,6 +497,10 @@ ORACLES: dict[str, str] = {
  (SELECT {_PERIOD_LABEL} FROM g ORDER BY categories DESC, city, {_PERIOD_ORDER} LIMIT 1) AS most_diverse, max(categories) AS most_categories, cast(sum(categories) AS bigint)::DOUBLE/count(*) AS avg_categories FROM g"""),
     "period_totals": _sel(_CITY_PERIOD, f"SELECT period, tx, {_pct('tx', '(SELECT cast(sum(tx) AS bigint) FROM cc)')} AS pct, cities FROM (SELECT period, cast(sum(tx) AS bigint) AS tx, count(DISTINCT city) AS cities FROM cc GROUP BY 1)"),
     "ranked_city_statistics": _sel(_CITY_STATS, "SELECT * FROM st ORDER BY tx DESC, total_cents DESC"),
+    "ranked_city_time_period": _sel(_PERIODS, "SELECT * FROM ctp ORDER BY total DESC, greatest(morning,afternoon,night) DESC"),
+    "ranked_top_categories": _sel(_top(_cat("city"), "city"), f"SELECT city AS key, city, {_TOP_TEXT} AS text, cast(sum(tx) AS bigint) AS total FROM top GROUP BY city ORDER BY total DESC"),
+    "ranked_client_risk_by_state": _sel(_CLIENT_STATE, f"SELECT state, total, low, med, high, {_LMH} FROM roll ORDER BY high::DOUBLE/total DESC"),
+    "ranked_client_risk_profile": _sel(_RISK, f"SELECT {_PROFILE_COLUMNS} FROM rp ORDER BY total DESC, tx DESC, client_id"),
     "ranked_client_risk": _sel(_RISK, f"SELECT {_RISK_COLUMNS} FROM risks ORDER BY score DESC, client_id"),
     "quality_toggle": _quality(_TL, {
         "amount_by_city": "cents IS NOT NULL", "chip_usage_count": "true", "city_statistics": "cents IS NOT NULL",
@@ -516,9 +525,15 @@ ORACLES: dict[str, str] = {
  SELECT (SELECT count(*) FROM noisy WHERE kind='short') AS invalid_records, cast(sum(n) AS bigint) AS valid_records, cast(sum(n-tx) AS bigint) AS parse_errors, count(*) AS profiles,
  count(*) FILTER (client_id='') AS blank_clients, count(*) FILTER (client_id<>'') AS classified, {_CATEGORY_COUNTS} FROM rp)"""),
     "report_amount_by_city": _sel(_BY_CITY, f"SELECT city AS key, {_money('total_cents')} AS text FROM agg"),
+    "report_amount_by_client": _sel(_BY_CLIENT, f"SELECT client_id AS key, {_money('total_cents')} AS text FROM agg"),
+    "report_type_counts": _sel(_BY_TYPE, "SELECT txn_type AS key, cast(tx AS string) AS text FROM agg"),
+    "report_error_counts": _sel(_BY_MCC, "SELECT mcc AS key, cast(errors AS string) AS text FROM agg"),
+    "report_state_counts": _sel(_BY_STATE, "SELECT state AS key, cast(tx AS string) AS text FROM agg"),
+    **{f"report_top_categories_by_{by}": _sel(_top(_cat(by), by), f"SELECT {by} AS key, {_TOP_TEXT} AS text FROM top GROUP BY {by}")
+       for by in ("city", "state", "country")},
     "report_city_statistics": _sel(_CITY_STATS, f"SELECT city AS key, concat('Transações: ',tx,' | Total: $',{_money('total_cents')},' | Média: $',{_money('avg_cents')}) AS text FROM st"),
     "report_city_time_period": _sel(_PERIODS, f"SELECT city AS key, concat('Manhã: ',morning,' (',{_pct2('morning', 'total')},') | Tarde: ',afternoon,' (',{_pct2('afternoon', 'total')},') | Noite: ',night,' (',{_pct2('night', 'total')},') | Total: ',total,' | Pico: ',peak) AS text FROM ctp"),
-    "report_top_categories_by_city_period": _sel(_top(_CITY_PERIOD, "city, period"), f"SELECT {_PERIOD_LABEL} AS key, string_agg(concat('Top-',rank,': ',mcc,' (',label,') ',tx),' | ' ORDER BY rank) AS text FROM top GROUP BY city, period"),
+    "report_top_categories_by_city_period": _sel(_top(_CITY_PERIOD, "city, period"), f"SELECT {_PERIOD_LABEL} AS key, {_TOP_TEXT} AS text FROM top GROUP BY city, period"),
     "report_client_risk": _sel(_CLIENT_STATE, f"""SELECT state AS key, concat('Clients: ',total,{_LMH_TEXT},CASE WHEN high_spots='' THEN '' ELSE concat(' | Top Cities (High Risk): ',high_spots) END) AS text
  FROM (SELECT *, {_spot_text("concat(city,': ',clients)")} AS high_spots FROM roll)"""),
     "report_merchant_health": _sel(_MERCHANT_STATE, f"""SELECT state AS key, concat('Merchants: ',total,' | Health A:',health_a,' (',{_pct2('health_a', 'total')},') | B:',health_b,' (',{_pct2('health_b', 'total')},') | C:',health_c,' (',{_pct2('health_c', 'total')},

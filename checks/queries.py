@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cardtide.functions import clean
 from cardtide.operators import categories, city, clients, keyed, merchants, quality, rfm, risk, summaries, totals, words
 from cardtide.sinks import render
-from cardtide.sources.lines import parse_transactions
-from cardtide.sources.star import card_lines, card_transactions, read_table
+from cardtide.sources.lines import parse_house_lines, parse_transactions
+from cardtide.sources.star import card_lines, card_transactions, house_lines, read_table
 
 from . import rules
 
@@ -140,8 +140,17 @@ def _house(spark: SparkSession, sf_dir: str) -> DataFrame:
         "avg_price", F.round("avg_price", 6))
 
 
+def _house_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = parse_house_lines(house_lines(spark, sf_dir))
+    return keyed.avg_by_keys(sales, ["city", "status"], "price", "avg_price").withColumn("avg_price", F.round("avg_price", 6))
+
+
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.word_count(read_table(spark, sf_dir, "documents", "doc_id"), "text")
+    return words.word_count(read_table(spark, sf_dir, "documents"), "text")
+
+
+def _ordered(order: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: summaries.ranked(df, order)
 
 
 def _report(df: DataFrame) -> DataFrame:
@@ -222,6 +231,7 @@ QUERIES: dict[str, Query] = {
     # text and composite keys
     "word_count": _words,
     "avg_by_keys": _house,
+    "avg_by_keys_from_lines": _house_from_lines,
     # run summaries
     "summary_amount": _on(_CITY_AMOUNT, totals.amount_by_city, summaries.summary_amount),
     "summary_amount_client": _on(("amount", "client_id"), totals.amount_by_client, summaries.summary_amount_client),
@@ -240,8 +250,15 @@ QUERIES: dict[str, Query] = {
     "summary_city_period": _on(_CITY_PERIOD, categories.city_period_category_counts, summaries.summary_city_period),
     "period_totals": _on(_CITY_PERIOD, categories.city_period_category_counts, summaries.period_totals),
     # declared orders
-    "ranked_city_statistics": _on(_CITY_AMOUNT, city.city_statistics, lambda d: summaries.ranked(d, "city_statistics")),
-    "ranked_client_risk": _on(_RISK, _risks, lambda d: summaries.ranked(d, "client_risk")),
+    "ranked_city_statistics": _on(_CITY_AMOUNT, city.city_statistics, _ordered("city_statistics")),
+    "ranked_city_time_period": _on(_PERIOD, city.city_time_period, _ordered("city_time_period")),
+    "ranked_top_categories": _on(
+        ("merchant_city", "mcc"), categories.top_categories_by_city,
+        lambda d: render.render_top_categories(d, ["city"]), _ordered("top_categories")),
+    "ranked_client_risk_by_state": _on(
+        _CLIENT, _classified_clients, clients.client_risk_by_state, lambda d: d.drop("hotspots"), _ordered("client_risk_by_state")),
+    "ranked_client_risk_profile": _on(_RISK, risk.client_risk_profile, _ordered("client_risk_profile")),
+    "ranked_client_risk": _on(_RISK, _risks, _ordered("client_risk")),
     # data quality
     "quality_toggle": _on_lines(lambda d: quality.quality(d, "toggle")),
     "quality_even_quotes": _on_lines(lambda d: quality.quality(d, "even_quotes")),
@@ -253,6 +270,19 @@ QUERIES: dict[str, Query] = {
     "quality_risk": _on_lines(quality.quality_risk),
     # report lines
     "report_amount_by_city": _on(_CITY_AMOUNT, totals.amount_by_city, lambda d: render.render_amount(d, "city"), _report),
+    "report_amount_by_client": _on(
+        ("amount", "client_id"), totals.amount_by_client, lambda d: render.render_amount(d, "client_id"), _report),
+    "report_type_counts": _on(
+        ("use_chip",), totals.count_by_txn_type, lambda d: render.render_count(d, "txn_type", "tx"), _report),
+    "report_error_counts": _on(
+        ("mcc", "errors"), totals.error_count_by_mcc, lambda d: render.render_count(d, "mcc", "errors"), _report),
+    "report_state_counts": _on(_STATE, totals.count_by_state, lambda d: render.render_count(d, "state", "tx"), _report),
+    **{
+        f"report_top_categories_by_{by}": _on(
+            (raw, "mcc"), _counts(by), lambda d, by=by: categories.top_categories(d, [by]),
+            lambda d, by=by: render.render_top_categories(d, [by]), _report)
+        for by, raw in _PLACE.items()
+    },
     "report_city_statistics": _on(_CITY_AMOUNT, city.city_statistics, render.render_city_statistics, _report),
     "report_city_time_period": _on(_PERIOD, city.city_time_period, render.render_city_time_period, _report),
     "report_top_categories_by_city_period": _on(

@@ -262,10 +262,52 @@ def test_results_do_not_depend_on_partitioning(transactions):
         assert as_set(df.repartition(1)) == as_set(df.repartition(7, "amount"))
 
 
-def test_a_hot_owner_is_spread_before_it_is_brought_together(transactions):
-    """Transactions are exchanged by (owner, state, city); only places are exchanged by owner."""
-    plan = clients.client_channel_profile(transactions({}))._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical Plan =="):]
-    exchanges = [line for line in physical.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 2
-    assert "merchant_state" in exchanges[1] and "merchant_city" in exchanges[1]
+def test_a_hot_owner_is_reduced_before_it_is_exchanged(spark):
+    """With all rows of one owner, the exchange moves one partial result per input partition."""
+    rows = spark.range(20_000, numPartitions=4).selectExpr(
+        "'7' client_id", "concat('$', id % 90, '.00') amount", "'Swipe' use_chip", "concat('c', id % 9) merchant_city",
+        "concat('s', id % 3) merchant_state", "'' errors")
+    profile = clients.client_channel_profile(rows)
+    assert [(r.tx, r.state, r.city) for r in profile.collect()] == [(20_000, "S0", "C0")]
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("ObjectHashAggregate") == 2 and "partial_mode" in final
+
+
+def test_huge_amounts_keep_their_rows(transactions):
+    df = transactions(dict(amount="1e20"), dict(amount="$-1.50"), dict(amount="NaN", client_id="n"), dict(amount="1e300", client_id="h"))
+    rows = table(risk.client_risk_profile(df), "client_id")
+    assert (rows["825"].tx, rows["825"].cards, rows["825"].chargebacks) == (2, 1, 1)
+    assert rows["825"].total == 1e20 and rows["825"].avg == 5e19
+    assert rows["h"].tx == rows["n"].tx == 1 and rows["h"].total == 1e300
+    scored = table(risk.risk_score(risk.client_risk_profile(df)), "client_id")
+    assert "HIGH_AVG_AMOUNT" in scored["825"].factors and "AVG_AMOUNT" not in scored["n"].factors
+    report = risk.risk_report(risk.risk_score(risk.client_risk_profile(df.where("amount <> 'NaN'"))))
+    assert sorted((r.clients, r.total_amount) for r in report.collect()) == [(1, 1e20), (1, 1e300)]
+
+
+def test_saturated_merchant_amounts(transactions):
+    df = transactions(dict(amount="1e30"), dict(amount="1e30"), dict(amount="$2.00"), dict(merchant_id="m", amount="-1e30"))
+    rows = table(merchants.merchant_profile(df), "merchant_id")
+    assert (rows["59935"].tx, rows["59935"].sum_cents, rows["59935"].max_cents) == (3, 2**63 - 1, 2**63 - 1)
+    assert (rows["M"].tx, rows["M"].sum_cents) == (1, -(2**63))
+
+
+def test_risk_timestamps_with_text_behind(transactions):
+    df = transactions(dict(date="2010-01-01 00:01:00.0"), dict(date="2010-01-02 00:01:00Z"), dict(date="2010-01-03 00:01"))
+    row = risk.client_risk_profile(df).first()
+    assert (row.tx, row.first_ts, row.last_ts) == (2, 1262304060000, 1262390460000)
+    assert rfm.rfm_client(df).first().frequency == 1
+
+
+def test_the_reference_day_is_utc(spark):
+    day = lambda: spark.range(1).select(rfm._reference_day(RfmRules(reference_date="")).alias("d")).first().d
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    days = []
+    try:
+        for name in ("UTC", "Pacific/Kiritimati", "Pacific/Pago_Pago"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            days.append(day())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(set(days)) == 1

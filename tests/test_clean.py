@@ -26,9 +26,10 @@ ALMOST_MAX = "$92233720368547758.07"
     (clean.cents_exact, {
         "$-77.00": -7700, "1e3": 100_000, ".5": 50, "5.": 500, "+7": 700, "": None, "abc": None, "($5.00)": None,
         "1" + "0" * 22: None, "-0.005": -1, "0.0049999999": 0, '"$1,234.567"': 123_457, "$ 1 2.30": 1230, None: None,
-        "NaN": None, "1.2.3": None, ALMOST_MAX: 9223372036854775807, "$92233720368547758.08": None}),
-    (clean.cents_double, {"-0.005": 0, "$1,234.56": 123_456, "$-77.00": -7700, "": None, "abc": None, "NaN": None,
-                          "0.005": 1, "1e30": None}),
+        "NaN": None, "1.2.3": None, "0.00499999999999999999999": 0, "0.00500000000000000000001": 1,
+        "-1.00499999999999999999999": -100, "$12.34999999999999999999999": 1235, ALMOST_MAX: 9223372036854775807, "$92233720368547758.08": None}),
+    (clean.cents_double, {"-0.005": 0, "$1,234.56": 123_456, "$-77.00": -7700, "": None, "abc": None,
+                          "0.005": 1, "1e30": 2**63 - 1, "-1e30": -(2**63), "NaN": 0}),
     (clean.amount_double, {"$5.25": 5.25, "$1,000.00": None, "-$3": -3.0, '"$1': None, "1e3": 1000.0}),
     (clean.txn_type, {
         "": "Unknown Transaction", None: "Unknown Transaction", "Swipe  transaction": "Swipe Transaction",
@@ -88,8 +89,13 @@ def test_timestamps(evaluate):
         "2010-01-01 00:01:00 UTC": at(2010, 1, 1, 0, 1), "soon": None, "": None, None: None, "2010-01-01 00:01:0Z": None,
     }
     assert dict(zip(cases, evaluate(clean.parse_ts, list(cases)))) == cases
-    strict = lambda c: clean.epoch_ms(clean.parse_ts(c, seconds_optional=False))
-    assert evaluate(strict, ["2010-01-01 00:01:00", "2010-01-01 00:01"]) == [1262304060000, None]
+    prefix = {
+        "2010-01-01 00:01:00": at(2010, 1, 1, 0, 1), "2010-01-01 00:01": None, "2010-01-01 00:01:00.0": at(2010, 1, 1, 0, 1),
+        "2010-01-01 00:01:00Z": at(2010, 1, 1, 0, 1), "2010-1-2 5:7:9 x": at(2010, 1, 2, 5, 7, 9), "2010-02-30 00:01:00": None,
+        "x2010-01-01 00:01:00": None, "2010-01-01 00:01:60": None, "": None, None: None,
+    }
+    assert dict(zip(prefix, evaluate(clean.parse_ts_prefix, list(prefix)))) == prefix
+    assert evaluate(lambda c: clean.epoch_ms(clean.parse_ts(c)), ["2010-01-01 00:01:00"]) == [1262304060000]
 
 
 def test_state_rule(spark):

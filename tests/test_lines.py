@@ -39,6 +39,15 @@ def test_quotes_by_dialect(frame):
     assert fields(frame, "toggle", 'a"b,c"d,e') == ["ab,cd", "e"]
 
 
+@pytest.mark.parametrize("line, toggled", [
+    ('a,"b\x01c",d', ["a", "b\x01c", "d"]), ('a\x01,"b,c",\x02', ["a\x01", "b,c", "\x02"]),
+    ('"\x02a\x01b\x02b",\x01', ["\x02a\x01b\x02b", "\x01"]), ("a\x01b,c", ["a\x01b", "c"]),
+])
+def test_control_characters_in_fields(frame, line, toggled):
+    assert fields(frame, "toggle", line) == toggled
+    assert [f.replace('"', "") for f in fields(frame, "even_quotes", line)] == toggled
+
+
 def test_even_quotes_is_the_look_ahead_rule(frame):
     import re
 

@@ -39,7 +39,60 @@ def test_scans_read_only_needed_columns(spark, small_dir):
     assert "orders.parquet" not in plan
     plan = QUERIES["mcc_lookup"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     columns = set(re.findall(r"(l_\w+):", plan))
-    assert columns == {"l_partkey", "l_orderkey", "l_linenumber"}  # the last two only spread a small file
+    assert columns == {"l_partkey"}
+
+
+@pytest.mark.parametrize("name", ["word_count", "mcc_lookup", "client_risk_profile", "amount_by_city_from_lines", "avg_by_keys"])
+def test_tables_are_read_as_they_are_partitioned(spark, small_dir, name):
+    plan = QUERIES[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" not in plan
+
+
+def exchanges(df):
+    """The partitioning keys of the plan's exchanges, broadcasts and reuses aside."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return re.findall(r"[^d]Exchange (?:hashpartitioning\(([^)]*)\)|(?:range|Single)\w*)", plan)
+
+
+@pytest.mark.parametrize("name, owner", [("client_channel_profile", "client_id"), ("merchant_profile", "merchant_id"), ("rfm_client", "client_id")])
+def test_owners_are_exchanged_once_without_a_window(spark, small_dir, name, owner):
+    df = QUERIES[name](spark, small_dir)
+    keys = exchanges(df)
+    assert sum(owner in k for k in keys) == 1
+    assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_risk_profile_has_two_exchanges_and_no_expand(spark, small_dir):
+    df = QUERIES["client_risk_profile"](spark, small_dir)
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sum("client_id" in k for k in exchanges(df)) == 2
+
+
+def test_client_totals_are_exchanged_once(spark, small_dir):
+    assert sum("client_id" in k for k in exchanges(QUERIES["amount_by_client"](spark, small_dir))) == 1
+
+
+def test_merchant_states_read_one_profile(spark, small_dir):
+    final = executed_plan(QUERIES["merchant_health_by_state"](spark, small_dir)).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(merchant_id", final)) == 1
+    assert len(re.findall(r"ObjectHashAggregate\(keys=\[merchant_id#\d+\], functions=\[(?!partial)[^\n]*mode\(", final)) == 1
+
+
+ORDERED = {
+    "ranked_city_statistics": lambda r: (-r.tx, -r.total_cents),
+    "ranked_city_time_period": lambda r: (-r.total, -max(r.morning, r.afternoon, r.night)),
+    "ranked_top_categories": lambda r: -r.total,
+    "ranked_client_risk_by_state": lambda r: -r.high / r.total,
+    "ranked_client_risk_profile": lambda r: (-r.total, -r.tx, r.client_id),
+    "ranked_client_risk": lambda r: (-r.score, r.client_id),
+    "report_risk": lambda r: ["CRITICAL", "HIGH", "MEDIUM", "LOW"].index(r.key),
+}
+
+
+@pytest.mark.parametrize("name", list(ORDERED))
+def test_rows_come_in_declared_order(spark, small_dir, name):
+    keys = [ORDERED[name](r) for r in QUERIES[name](spark, small_dir).collect()]
+    assert len(keys) > 1 and keys == sorted(keys)
 
 
 @pytest.mark.parametrize("name", ["merchant_health_by_state", "risk_report"])

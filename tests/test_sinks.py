@@ -31,9 +31,9 @@ def report(path):
 @pytest.mark.parametrize("name", sorted(ROUTINES))
 def test_every_analysis_writes_a_report(spark, csv, tmp_path, name):
     out = f"{tmp_path}/out"
-    result = run(spark, name, csv, out, files=1, properties={"min.uf.merchants": "1"})
+    assert run(spark, name, csv, out, files=1, properties={"min.uf.merchants": "1"}) is None
     written = report(out)
-    assert written and result.columns
+    assert written
     if name != "risk_analysis":
         keys = [line.split("\t")[0] for line in written]
         assert name == "category_by_time_period" or keys == sorted(keys)
@@ -76,12 +76,6 @@ def test_stage_gives_the_same_table(spark, csv, tmp_path):
         assert whole == staged
 
 
-def test_stage_folder_comes_from_the_session(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    path = files.stage_path(spark, "profile")
-    assert "/profile-" in path and (not root or path.startswith(root.rstrip("/")))
-
-
 def test_command_line(spark, csv, tmp_path):
     main(["rfm_by_state", csv, f"{tmp_path}/out", "--files", "1", "-D", "top.cities=1", "-D", "rfm.freq.high=1"])
     assert all(line.split("\t")[1].startswith("Clients: ") for line in report(f"{tmp_path}/out"))
