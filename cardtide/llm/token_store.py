@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -42,14 +43,13 @@ _ENTRY = np.dtype([("at", "<u4"), ("before", "<u4"), ("tokens", "<u4"), ("wide",
 # A space between two characters that are no space begins a new piece in the byte-level split, so a
 # text may be cut there and the ids of its parts joined.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_SPACE_NEAR = re.compile(r"\s ? |\s\s|^\s|\s$")
 
 
 class Encoder:
     """The tokenizer, with the ids of pieces between single spaces remembered.
 
-    A text that holds the text of an added token, or white space that could join two pieces, is cut
-    only where that is safe.
+    A text with white space beside a space, which could join two pieces, is cut only where that is
+    safe; one that holds the text of an added token is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -59,56 +59,64 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
         # A byte-level token is written with one character per byte.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
-
-    def _pieces(self, text: str) -> list[str]:
-        if any(a in text for a in self.added):
-            return [text]
-        first, *rest = text.split(" ") if not _SPACE_NEAR.search(text) else _CUT.split(text)
-        return [first, *(" " + piece for piece in rest)]
+        self.type = np.dtype("<u2" if len(self.lengths) <= 1 << 16 else "<u4")
+        #: Ids of pieces by their text behind the space; None where that text is no plain piece.
+        self.cache: dict[str, bytes | None] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as 32-bit integers."""
-        split = [self._pieces(t) for t in texts]
-        missing = list({p for pieces in split for p in pieces if p not in self.cache})
-        if len(self.cache) + len(missing) > CACHE_PIECES:
+        """Ids of each text, as unsigned integers."""
+        split = [t.split(" ") for t in texts]
+        heads = self._whole([parts[0] for parts in split])
+        tails = [parts[1:] for parts in split]
+        new = set(chain.from_iterable(tails)).difference(self.cache)
+        if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
-            missing = list({p for pieces in split for p in pieces})
-        self._learn(missing)
-        known = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(known, pieces)), dtype="<u4") for pieces in split]
-
+            new = set(chain.from_iterable(tails))
+        self._learn(list(new))
+        known, out = self.cache.__getitem__, []
+        for text, parts, head, tail in zip(texts, split, heads, tails):
+            plain = not tail or not (parts[0] == "" or parts[0][-1].isspace())
+            try:
+                data = b"".join(map(known, tail)) if plain and not any(a in text for a in self.added) else None
+            except TypeError:  # a piece that is None
+                data = None
+            out.append(self._apart(text) if data is None else np.concatenate([head, np.frombuffer(data, dtype=self.type)]))
+        return out
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.type) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _apart(self, text: str) -> np.ndarray:
+        """Ids of a text with unusual white space or added tokens, remembering nothing."""
+        if any(a in text for a in self.added):
+            return self._whole([text])[0]
+        first, *rest = _CUT.split(text)
+        return np.concatenate(self._whole([first, *(" " + piece for piece in rest)]))
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encodes new pieces: many that start with a space and end without one in a row, which is
-        cut again where the bytes of its tokens add up to a piece; the others one by one."""
-        rows, alone = [], []
-        joined = [p for p in pieces if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()
-                  and not any(a in p for a in self.added)]
-        if len(joined) < len(pieces):
-            held = set(joined)
-            alone = [p for p in pieces if p not in held]
-        rows = [joined[i:i + 1000] for i in range(0, len(joined), 1000)]
-        encoded = self.tokenizer.encode_batch_fast(["".join(r) for r in rows], add_special_tokens=False)
+        """Encodes new pieces, many in a row, and cuts the row where the bytes of its tokens add up to
+        a piece."""
+        plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
+        if len(plain) < len(pieces):
+            self.cache.update(dict.fromkeys(set(pieces).difference(plain)))
+        rows = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
+        encoded = self.tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False)
         for row, encoding in zip(rows, encoded):
-            ids = np.array(encoding.ids, dtype="<u4")
+            ids = np.array(encoding.ids, dtype=np.int64)
             ends = np.cumsum(self.lengths[ids])
-            wanted = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in row])
+            wanted = np.cumsum(np.fromiter(map(len, map(str.encode, row)), dtype=np.int64, count=len(row)) + 1)
             cuts = np.searchsorted(ends, wanted) + 1
             if len(ids) and cuts[-1] == len(ids) and np.array_equal(ends[cuts - 1], wanted):
-                data, start = ids.tobytes(), 0
-                for piece, cut in zip(row, (cuts * 4).tolist()):
-                    self.cache[piece] = data[start:cut]
-                    start = cut
+                data, size = ids.astype(self.type).tobytes(), self.type.itemsize
+                stops = (cuts * size).tolist()
+                self.cache.update(zip(row, [data[a:b] for a, b in zip([0, *stops], stops)]))
             else:
-                alone += row
-        for piece, encoding in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.cache[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
+                self.cache.update(zip(row, [ids.tobytes() for ids in self._whole([" " + p for p in row])]))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -123,8 +131,8 @@ def encoder(path: str) -> Encoder:
 
 def serialized(ids: np.ndarray) -> tuple[bytes, bool]:
     """Little-endian bytes of the ids, and whether they take 32 bits."""
-    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    return ids.astype("<u4" if wide else "<u2").tobytes(), wide
+    wide = ids.dtype.itemsize > 2 and bool(len(ids)) and int(ids.max()) > 0xFFFF
+    return ids.astype("<u4" if wide else "<u2", copy=False).tobytes(), wide
 
 
 class Dictionary(NamedTuple):
@@ -232,7 +240,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
                 rows = batch.iloc[start:start + BATCH_ROWS]
                 ids_of = encoder(tokenizer).encode(list(rows["text"]))
                 for doc_id, ids in zip(rows["doc_id"], ids_of):
-                    raw, wide = serialized(np.append(ids, np.uint32(end_id)))
+                    raw, wide = serialized(np.append(ids, ids.dtype.type(end_id)))
                     block.add(None if pd.isna(doc_id) else int(doc_id), press.compress(raw), len(ids) + 1, wide)
                     if block.size >= BLOCK_BYTES or block.tokens >= 1 << 30:
                         yield closed()
