@@ -26,7 +26,7 @@ from .common import Membership, documents, map_batches, stage
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that count as its context.
 WINDOW = 12
-MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
+MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.9, 0.97
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -92,7 +92,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def term_hash(term: str) -> int:
-    return np.uint64(xxhash.xxh3_64_intdigest(term.lower().encode("utf-8", "surrogatepass"))).astype(np.int64).item()
+    return np.uint64(xxhash.xxh3_64_intdigest(term.lower())).astype(np.int64).item()
 
 
 def context_terms(text: str, spans: list[Span]) -> set[tuple[int, int]]:
@@ -139,35 +139,81 @@ def base_findings(docs: DataFrame) -> DataFrame:
     return map_batches(_text_of(docs), find, _A)
 
 
-_B = "text_hash long, term long, start int, end int, kind string"
+_TERMS, _PLACES = "text_hash long, term long", "text_hash long, term long, start int, end int, kind string"
 
 
-def _occurrences(docs: DataFrame, wanted: Membership) -> DataFrame:
+def _hashes(text: str) -> np.ndarray:
+    words = _WORD.findall(text.lower())
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
+
+
+def _terms_of(texts: DataFrame, wanted: Membership) -> DataFrame:
+    """``text_hash, term``, once per row, for terms that may be wanted."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def find(batch: pd.DataFrame) -> pd.DataFrame:
+        keys, terms = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for key, text in zip(batch["text_hash"], batch["text"]):
+            hashes = _hashes(text)
+            hits = np.unique(hashes[shared.value(hashes)])
+            keys.append(np.full(len(hits), key, dtype=np.int64))
+            terms.append(hits)
+        return pd.DataFrame({"text_hash": np.concatenate(keys), "term": np.concatenate(terms)})
+    return map_batches(texts, find, _TERMS)
+
+
+def _places(texts: DataFrame, wanted: Membership) -> DataFrame:
     """Places of the terms that may be wanted, with the kind that would replace them."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def find(batch: pd.DataFrame) -> pd.DataFrame:
         rows, filter_ = [], shared.value
         for key, text in zip(batch["text_hash"], batch["text"]):
-            words = list(_WORD.finditer(text))
-            if not words:
+            if not filter_(_hashes(text)).any():
                 continue
-            lowered = [m.group().lower().encode("utf-8", "surrogatepass") for m in words]
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lowered), dtype=np.uint64, count=len(words)).view(np.int64)
-            for i in np.flatnonzero(filter_(hashes)):
-                word = words[i].group()
-                kind = "number" if word[0].isdigit() else "name" if word[0].isupper() else "word"
-                rows.append((key, int(hashes[i]), *words[i].span(), kind))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in _B.split(", ")])
-    return map_batches(_text_of(docs), find, _B)
+            for m in _WORD.finditer(text):
+                term = term_hash(m.group())
+                if filter_(np.array([term]))[0]:
+                    first = m.group()[0]
+                    rows.append((key, term, *m.span(), "number" if first.isdigit() else "name" if first.isupper() else "word"))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in _PLACES.split(", ")])
+    return map_batches(texts, find, _PLACES)
+
 
+#: Shares of the texts (one of so many, by hash) on which frequent candidates are ruled out before
+#: all texts are searched.
+PRUNING = (64, 8)
 
-def disclosing_terms(findings: DataFrame, term_counts: DataFrame, texts: int, support: int = MIN_SUPPORT) -> DataFrame:
+
+def _candidates(pairs: DataFrame, texts: int, support: int, generalise: float) -> DataFrame:
+    """``term, most``: terms with enough evidence beside an entity, and the number of texts beyond
+    which they could not reach the disclosure that counts."""
+    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
+    known = joint.join(_entities(pairs), "entity")
+    most = F.col("n_te") * F.pow(F.lit(float(max(texts, 2))) / F.col("n_e"), F.lit(1.0 - generalise))
+    return known.groupBy("term").agg(F.max(most + 1e-6).alias("most"))
+
+
+def _plausible(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates less those found in too many distinct texts already of a share of the table.
+
+    Exact: a share can only count fewer texts than the whole.
+    """
+    for share in PRUNING:
+        part = _text_of(docs).select("text_hash", "text").where(F.pmod("text_hash", F.lit(share)) == 0)
+        found = _terms_of(part, Membership.build(candidates, "term")).distinct().groupBy("term").agg(F.count("*").alias("n"))
+        candidates = stage(candidates.join(found, "term", "left").where("n is null or n <= most").select("term", "most"), "candidates")
+    return candidates
+
+
+def _entities(pairs: DataFrame) -> DataFrame:
+    return pairs.select("text_hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+
+
+def disclosing_terms(pairs: DataFrame, term_counts: DataFrame, texts: int, support: int = MIN_SUPPORT) -> DataFrame:
     """``term, disclosure``: the strongest disclosure of any entity, with enough evidence."""
-    pairs = _context_pairs(findings)
-    entities = pairs.select("text_hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-    known = joint.join(entities, "entity").join(term_counts, "term")
+    known = joint.join(_entities(pairs), "entity").join(term_counts, "term")
     ic = F.log(F.lit(float(max(texts, 2))) / F.col("n_e"))
     pmi = F.log(F.col("n_te") * F.lit(float(max(texts, 2))) / (F.col("n_t") * F.col("n_e")))
     return known.groupBy("term").agg(F.max(F.when(ic > 0, pmi / ic)).alias("disclosure"))
@@ -185,12 +231,12 @@ def find_personal_data(docs: DataFrame, support: int = MIN_SUPPORT, generalise:
     findings as ``kind:start:end``. Kinds of terms are ``term_name``, ``term_number``, ``term_word``
     (generalised) and ``term_removed``."""
     findings = stage(base_findings(docs), "pii")
-    candidates = _context_pairs(findings).groupBy("entity", "term").agg(F.count("*").alias("n")).where(
-        F.col("n") >= support).select("term").distinct()
-    places = stage(_occurrences(docs, Membership.build(candidates, "term")), "terms")
-    term_counts = places.select("text_hash", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    pairs = stage(_context_pairs(findings), "pairs")
     texts = findings.select("text_hash").distinct().count()
-    strong = disclosing_terms(findings, term_counts, texts, support).where(F.col("disclosure") >= generalise)
+    candidates = _plausible(docs, _candidates(pairs, texts, support, generalise))
+    places = stage(_places(_text_of(docs).select("text_hash", "text"), Membership.build(candidates, "term")), "terms")
+    term_counts = places.select("text_hash", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    strong = disclosing_terms(pairs, term_counts, texts, support).where(F.col("disclosure") >= generalise)
     named = F.when(F.col("disclosure") >= remove, "term_removed").otherwise(F.concat(F.lit("term_"), F.col("kind")))
     spans = (
         places.distinct().join(strong, "term").groupBy("text_hash")
