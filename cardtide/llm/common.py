@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -40,10 +41,12 @@ def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests in one process) a temporary folder is made and set.
+    Only where it is unset, in a session of one process as in tests, a temporary folder is made and set.
     """
     place = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         place = "file://" + tempfile.mkdtemp(prefix="cardtide-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")

@@ -156,14 +156,15 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """The documents with their text, one folder ``shard=<s>`` each, ordered by slot inside files.
+    """The documents in their columns, one folder ``shard=<s>`` each, in slot order inside files.
 
-    Rows of several documents with one id are told apart by their text.
+    Rows with equal id and text are written as often as they occur.
     """
-    placed = assign_shards(docs, shards).groupBy("doc_id", "text_crc32").agg(
-        F.min(F.struct("shard", "slot")).alias("at"))
-    joined = docs.withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).join(
-        placed, F.col("doc_id").eqNullSafe(placed["doc_id"]) & (F.col("text_crc32") == placed["text_crc32"]))
-    out = joined.select(*[docs[c] for c in docs.columns], F.col("at.shard").alias("shard"), F.col("at.slot").alias("slot"))
-    (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    placed = assign_shards(docs, shards).groupBy("doc_id", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("_at"))
+    places = placed.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "_at")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    joined = docs.withColumn("_own", crc).join(
+        places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_crc")))
+    out = joined.select(*docs.columns, F.col("_at.shard").alias("_shard"), F.col("_at.slot").alias("_slot"))
+    ordered = out.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot")
+    ordered.withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)

@@ -272,6 +272,14 @@ def test_shards_with_one_text_in_a_third_of_the_rows(llm):
     assert len(got) == 6000 and per_shard.max() - per_shard.min() <= 0.03 * per_shard.mean()
 
 
+def test_written_shards_hold_all_documents(llm, medium_dir, corpus, tmp_path):
+    docs = llm.read.parquet(f"{medium_dir}/documents.parquet")
+    sharding.write_shards(docs.select("doc_id", "text").unionAll(docs.select("doc_id", "text").limit(1)), f"{tmp_path}/s", 4)
+    back = llm.read.parquet(f"{tmp_path}/s").toPandas()
+    assert len(back) == 1001 and set(back.shard) == {0, 1, 2, 3}
+    assert dict(zip(back.doc_id, back.text)) == dict(zip(corpus.doc_id, corpus.text))
+
+
 # classifier
 
 def test_classifier_on_held_out_rows(llm, medium_dir):
