@@ -16,10 +16,10 @@ Candidates are verified on the whole sets. Large groups are joined by few pairs
 against one pivot of a bucket); then only pairs whose groups still differ are compared, so every
 link between different sets is either verified or implied by links that are.
 
-Sets are known by a 64-bit hash of their content. Ties and nulls: a text without words has an empty
-set and links with nothing, also not with other empty texts; a text with fewer words than n has its
-whole sequence as the one element; rows with equal sets are one group from the start; a null id takes
-part but never names a group. An empty table gives an empty result. Extra columns are ignored.
+Texts are known by a 64-bit hash. Ties and nulls: a text without words has an empty set and links with
+nothing, also not with other empty texts; a text with fewer words than n has its whole sequence as
+the one element; rows with equal texts are one group from the start; a null id takes part but never
+names a group. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ WIDTH, SIMILAR = 4, Fraction(85, 100)
 HEAVY = 12
 #: Rounds that join large groups by pivots before the remaining pairs are compared, and the share of
 #: the buckets each of these rounds uses.
-PIVOT_ROUNDS, PIVOT_SHARE = 3, 8
+PIVOT_ROUNDS, PIVOT_SHARE = 4, 8
 
 
 class Bands:
@@ -79,7 +79,7 @@ def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
 
 
 def fingerprint(shingles: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
+    return xxhash.xxh3_64_intdigest(shingles.tobytes())
 
 
 def signatures(shingles: np.ndarray, bands: Bands) -> list[tuple[int, int, np.ndarray]]:
@@ -91,7 +91,9 @@ def signatures(shingles: np.ndarray, bands: Bands) -> list[tuple[int, int, np.nd
     own, out = bands.band(size), []
     for tag in (own, own + 1):
         k, m, n = bands.parts(tag)
-        if not k:  # only equal sets could link here
+        if not k:  # only equal sets can link here
+            if tag == own:
+                out.append((tag, 0, mix(np.array([fingerprint(shingles)], dtype=np.uint64))))
             continue
         scattered = mix(shingles + np.uint64(tag * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         part = ((scattered >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
@@ -105,88 +107,84 @@ def signatures(shingles: np.ndarray, bands: Bands) -> list[tuple[int, int, np.nd
     return out
 
 
-_SETS = "doc_id long, text_key long, n_shingles long, fp long"
-
-
 def keyed_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, text``; texts are known by a 64-bit hash."""
     return documents(docs).withColumn("text_key", F.xxhash64("text"))
 
 
-def set_table(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, text_key, n_shingles, fp`` of every row; ``fp`` is null for an empty set."""
-    def read(batch: pd.DataFrame) -> pd.DataFrame:
-        sets = [shingle_set(t, width) for t in batch["text"]]
-        return pd.DataFrame({
-            "doc_id": batch["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None), "text_key": batch["text_key"],
-            "n_shingles": [len(s) for s in sets], "fp": pd.array([fingerprint(s) if len(s) else None for s in sets], dtype="Int64")
-            .to_numpy(dtype=object, na_value=None)})
-    return map_batches(keyed_documents(docs), read, _SETS)
-
-
-#: ``info`` holds the tag and the spare of a set under that tag: tag * 2^20 + spare + 1.
+#: ``info`` holds the tag and the spare of a set under that tag: tag * 2^20 + spare + 1. One more row
+#: per text carries the size of its set, as -1 - size.
 _SPARE = 1 << 20
-_SIGNATURES = "sig long, fp long, info int"
+_SIGNATURES = "sig long, key long, info int"
 
 
 def signature_table(docs: DataFrame, width: int, similar: Fraction) -> DataFrame:
-    """One row per signature. A task emits equal sets once, so exact copies hardly add up."""
+    """A row per signature and one with the size of the set. A task emits equal texts once, so exact
+    copies hardly add up."""
     def run(batches):
         bands, seen = Bands(similar), set()
         for batch in batches:
             for start in range(0, len(batch), BATCH_ROWS):
-                sigs, fps, infos = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-                for text in batch["text"].iloc[start:start + BATCH_ROWS]:
-                    shingles = shingle_set(text, width)
-                    fp = fingerprint(shingles)
-                    if fp in seen:
+                rows = batch.iloc[start:start + BATCH_ROWS]
+                sigs, keys, infos = [np.empty(0, np.uint64)], [], []
+                for key, text in zip(rows["text_key"].tolist(), rows["text"]):
+                    if key in seen:
                         continue
-                    seen.add(fp)
+                    seen.add(key)
+                    shingles = shingle_set(text, width)
+                    sigs.append(mix(np.array([key], dtype=np.int64).view(np.uint64)))
+                    keys.append(np.array([key], dtype=np.int64))
+                    infos.append(np.array([-1 - len(shingles)], dtype=np.int32))
                     for tag, spare, marks in signatures(shingles, bands):
                         sigs.append(marks)
-                        fps.append(np.full(len(marks), fp, dtype=np.int64))
+                        keys.append(np.full(len(marks), key, dtype=np.int64))
                         infos.append(np.full(len(marks), tag * _SPARE + spare + 1, dtype=np.int32))
-                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "fp": np.concatenate(fps), "info": np.concatenate(infos)})
-    return documents(docs).select("text").mapInPandas(run, _SIGNATURES)
-
-
-def buckets(docs: DataFrame, width: int, similar: Fraction) -> DataFrame:
-    """``sig, fp, info, spare, members, pivot`` of every signature that at least two sets share, for
-    sets that share enough of them to have a partner."""
-    rows = signature_table(docs, width, similar).repartition("sig").dropDuplicates(["sig", "fp"])
-    of_sig = Window.partitionBy("sig")
-    shared = rows.select("*", F.count("*").over(of_sig).alias("members")).where("members > 1")
+                if keys:
+                    yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "key": np.concatenate(keys), "info": np.concatenate(infos)})
+    return keyed_documents(docs).select("text_key", "text").mapInPandas(run, _SIGNATURES)
+
+
+def buckets(docs: DataFrame, width: int, similar: Fraction) -> tuple[DataFrame, DataFrame]:
+    """``(rows, sizes)``. Rows are ``sig, key, info, spare, members, pivot`` of every signature that at
+    least two texts share, for texts that share enough of them to have a partner; the pivot is the
+    member whose signatures are shared most. Sizes are ``key, n_shingles`` of every text."""
+    emitted = signature_table(docs, width, similar).repartition("sig").dropDuplicates(["sig", "key"])
+    of_sig, of_set = Window.partitionBy("sig"), Window.partitionBy("key", "info")
+    shared = stage(emitted.select("*", F.count("*").over(of_sig).alias("members")).where("members > 1 or info < 0"), "shared")
+    sizes = shared.where("info < 0").select("key", (-1 - F.col("info")).cast("long").alias("n_shingles"))
     # Similar sets share more signatures than either could leave out.
-    enough = F.count("*").over(Window.partitionBy("fp", "info")) > F.col("spare")
     spare = (F.pmod("info", F.lit(_SPARE)) - 1).alias("spare")
-    kept = stage(shared.drop("members"), "shared").select("*", spare).select("*", enough.alias("enough")).where("enough")
-    again = kept.drop("enough").select(
-        "*", F.count("*").over(of_sig).alias("members"), F.min("fp").over(of_sig).alias("pivot"))
-    return stage(again.where("members > 1"), "buckets")
+    judged = shared.where("info >= 0").select("*", spare).select(
+        "*", (F.count("*").over(of_set) > F.col("spare")).alias("enough"), F.sum("members").over(of_set).alias("weight"))
+    again = judged.where("enough").select(
+        "sig", "key", "info", "spare", F.count("*").over(of_sig).alias("members"),
+        F.max_by("key", F.struct("weight", "key")).over(of_sig).alias("pivot"))
+    return stage(again.where("members > 1"), "buckets"), sizes
 
 
-def sets_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``fp, shingles`` of the sets named in ``wanted``. Texts that cannot be among them are passed
+def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``key, shingles`` of the texts named in ``wanted``. Texts that cannot be among them are passed
     over by a filter of fixed size before their sets are computed again."""
-    keys = sets.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text_key").alias("text_key"))
-    filter_ = docs.sparkSession.sparkContext.broadcast(Membership.build(keys, "text_key"))
+    filter_ = docs.sparkSession.sparkContext.broadcast(Membership.build(wanted, "key"))
 
-    def read(batch: pd.DataFrame) -> pd.DataFrame:
-        hit = batch[filter_.value(batch["text_key"].to_numpy())]
-        found = [shingle_set(t, width) for t in hit["text"]]
-        return pd.DataFrame({"fp": [fingerprint(s) for s in found], "shingles": [s.view(np.int64) for s in found]})
-    rows = map_batches(keyed_documents(docs), read, "fp long, shingles array<long>")
-    return stage(rows.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
+    def read(batches):
+        seen = set()
+        for batch in batches:
+            hit = batch[filter_.value(batch["text_key"].to_numpy()) & ~batch["text_key"].isin(seen) & ~batch["text_key"].duplicated()]
+            seen.update(hit["text_key"].tolist())
+            for start in range(0, len(hit), BATCH_ROWS):
+                rows = hit.iloc[start:start + BATCH_ROWS]
+                yield pd.DataFrame({"key": rows["text_key"], "shingles": [shingle_set(t, width).view(np.int64) for t in rows["text"]]})
+    rows = keyed_documents(docs).select("text_key", "text").mapInPandas(read, "key long, shingles array<long>")
+    return stage(rows.join(wanted, "key", "left_semi").dropDuplicates(["key"]), "sets")
 
 
 def verified(pairs: DataFrame, shingles: DataFrame, similar: Fraction) -> DataFrame:
     """The ``a, b`` whose whole sets reach the similarity."""
-    one = shingles.select(F.col("fp").alias("a"), F.col("shingles").alias("sa"))
-    two = shingles.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"))
+    one = shingles.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    two = shingles.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
     num, den = similar.numerator, similar.denominator
-    sizes = shingles.select("fp", F.size("shingles").alias("n"))
-    near = pairs.join(sizes.withColumnsRenamed({"fp": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"fp": "b", "n": "nb"}), "b")
-    near = near.where(den * F.least("na", "nb") >= num * F.greatest("na", "nb")).select("a", "b")
-    both = near.join(two, "b").join(one, "a")
+    both = pairs.join(two, "b").join(one, "a").where(den * F.least(F.size("sa"), F.size("sb")) >= num * F.greatest(F.size("sa"), F.size("sb")))
     same = F.size(F.array_intersect("sa", "sb"))
     checked = both.select("a", "b", same.alias("same"), (F.size("sa") + F.size("sb")).alias("sum"))
     return checked.where(den * F.col("same") >= num * (F.col("sum") - F.col("same"))).select("a", "b")
@@ -232,43 +230,45 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 
 def _pivot_pairs(rows: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
-    """For each set the pivot it shares most buckets with, where their groups differ."""
+    """Pairs of a text and a pivot of one of its buckets, where their groups differ: in the first turn
+    the pivot it shares most buckets with, later every one, with pivots drawn anew."""
     part = rows.where(F.pmod(F.xxhash64("sig"), F.lit(PIVOT_SHARE)) == turn)
     if turn:
-        chosen = part.groupBy("sig").agg(F.min_by("fp", F.xxhash64("fp", F.lit(turn))).alias("pivot"))
+        chosen = part.groupBy("sig").agg(F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("pivot"))
         part = part.drop("pivot").join(chosen, "sig")
-    pairs = part.where("fp <> pivot").groupBy("fp", "pivot").agg(F.count("*").alias("n"))
-    cross = _grouped(labels, _grouped(labels, pairs, "fp", "ga"), "pivot", "gb").where("ga <> gb")
-    best = cross.groupBy("fp").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot"))
-    return best.select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
+    pairs = part.where("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("n"))
+    cross = _grouped(labels, _grouped(labels, pairs, "key", "ga"), "pivot", "gb").where("ga <> gb")
+    if not turn:
+        cross = cross.groupBy("key").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot"))
+    return cross.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
 
 
 def _open_pairs(rows: DataFrame, labels: DataFrame | None, heavy: int) -> DataFrame:
-    """All pairs of sets in different groups that share enough signatures to be similar."""
-    of_set = Window.partitionBy("fp", "info")
+    """All pairs of texts in different groups that share enough signatures to be similar."""
+    of_set = Window.partitionBy("key", "info")
     left = F.col("spare") - F.count_if(F.col("members") > heavy).over(of_set)
-    kept = rows.select("*", left.alias("left")).select("sig", "fp", "info", "members", F.greatest("left", F.lit(-1)).alias("left"))
+    kept = rows.select("sig", "key", "info", "spare", "members", F.greatest(left, F.lit(-1)).alias("left"))
     used = kept.where((F.col("members") <= heavy) | (F.col("left") < 0))
-    grouped = _grouped(labels, used, "fp", "g")
+    grouped = _grouped(labels, used, "key", "g")
     of_sig = Window.partitionBy("sig")
     mixed = grouped.select("*", F.min("g").over(of_sig).alias("low"), F.max("g").over(of_sig).alias("high")).where("low <> high")
-    mixed = stage(mixed.select("sig", "fp", "g", "left", F.shiftright("info", 20).alias("tag")), "open")
-    x = mixed.select("sig", "tag", F.col("fp").alias("a"), F.col("g").alias("ga"), F.col("left").alias("la"))
-    y = mixed.select("sig", F.col("fp").alias("b"), F.col("g").alias("gb"), F.col("left").alias("lb"))
-    met = x.join(y, "sig").where("a < b and ga <> gb")
-    # Under one tag both share more light signatures than either has left to spare.
-    counted = met.groupBy("a", "b", "tag").agg(F.count("*").alias("n"), F.max(F.greatest("la", "lb")).alias("spare"))
-    return counted.where("n > spare").select("a", "b").distinct()
+    mixed = stage(mixed.select("sig", "key", "g", "left", "spare", F.shiftright("info", 20).alias("tag")), "open")
+    side = lambda end: mixed.select("sig", *[F.col(c).alias(f"{c}_{end}") for c in ("key", "g", "left", "spare", "tag")])
+    met = side("a").join(side("b"), "sig").where("key_a < key_b and g_a <> g_b")
+    # Under one tag both share more signatures than either has left to spare: light ones where one of
+    # them has left out its heavy ones, all kinds where neither has.
+    counted = met.groupBy("key_a", "key_b", "tag_a").agg(
+        F.count("*").alias("n"),
+        F.max(F.when((F.col("left_a") < 0) & (F.col("left_b") < 0), F.greatest("spare_a", "spare_b"))
+              .otherwise(F.greatest("left_a", "left_b"))).alias("least"))
+    return counted.where("n > least").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, similar: Fraction = SIMILAR, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
-    """``(sets, groups)``: the set table, and ``node, label`` for all sets linked with another one.
-
-    Both are tables in the shared folder.
-    """
-    sets = stage(set_table(docs, width), "sets")
-    rows = buckets(docs, width, similar)
-    shingles = sets_of(docs, sets, rows.select("fp").distinct(), width)
+    """``(sizes, groups)``: ``key, n_shingles`` of all texts, and ``node, label`` for all texts linked
+    with another one. Both are tables in the shared folder."""
+    rows, sizes = buckets(docs, width, similar)
+    shingles = sets_of(docs, rows.select("key").distinct(), width)
     labels: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS):
         labels = _merged(labels, stage(verified(_pivot_pairs(rows, labels, turn), shingles, similar), "verified"))
@@ -276,30 +276,34 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similar: Fraction = SIMI
     labels = _merged(labels, links)
     if labels is None:
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
-    return sets, labels
+    return sizes, labels
 
 
 def jaccard_groups(docs: DataFrame, width: int = WIDTH, similar: Fraction = SIMILAR, heavy: int = HEAVY) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: the smallest id reachable by links."""
-    sets, labels = similar_groups(docs, width, similar, heavy)
-    smallest = sets.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("own"))
-    named = _grouped(labels, smallest, "fp", "g")
-    of_group = named.groupBy("g").agg(F.min("own").alias("component"))
-    per_set = stage(named.select("fp", "g").join(of_group, "g").select(F.col("fp").alias("f"), "component"), "components")
-    return sets.join(per_set, F.col("fp") == F.col("f"), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    sizes, labels = similar_groups(docs, width, similar, heavy)
+    ids = stage(keyed_documents(docs).select("doc_id", "text_key"), "ids")
+    smallest = ids.groupBy(F.col("text_key").alias("key")).agg(F.min("doc_id").alias("own"))
+    named = stage(_grouped(labels, smallest.join(sizes, "key"), "key", "g"), "named")
+    of_group = named.groupBy("g").agg(F.min("own").alias("component_id"))
+    per_text = stage(named.select("key", "n_shingles", "g").join(of_group, "g").select("key", "n_shingles", "component_id"), "components")
+    return ids.join(per_text, F.col("text_key") == F.col("key")).select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, width: int = WIDTH, similar: Fraction = SIMILAR) -> DataFrame:
     """One row of each group, in the columns of ``docs``: the one with the smallest id (null ids last),
     then the smallest text hash; of rows equal in both, any one. Rows with empty sets all stay."""
-    sets, labels = similar_groups(docs, width, similar)
+    sizes, labels = similar_groups(docs, width, similar)
+    ids = stage(keyed_documents(docs).select("doc_id", "text_key"), "ids")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    best = sets.where("fp is not null").groupBy("fp").agg(F.min(rank).alias("best"), F.count("*").alias("n"))
-    winners = _grouped(labels, best, "fp", "g").groupBy("g").agg(F.min("best").alias("best"), F.sum("n").alias("n")).where("n > 1")
-    members = _grouped(labels, sets.where("fp is not null").select("doc_id", "text_key", "fp"), "fp", "g")
-    in_groups = members.join(winners, "g").select(
-        "text_key", "doc_id", (rank == F.col("best")).alias("wins")).groupBy("text_key", "doc_id", "wins").agg(F.count("*").alias("n"))
+    best = ids.groupBy(F.col("text_key").alias("key")).agg(F.min(rank).alias("best"), F.count("*").alias("n"))
+    filled = best.join(sizes.where("n_shingles > 0").select("key"), "key")
+    named = stage(_grouped(labels, filled, "key", "g").select("key", "g", "best", "n"), "named")
+    winners = named.groupBy("g").agg(F.min("best").alias("winner"), F.sum("n").alias("n")).where("n > 1")
+    members = ids.join(named.select("key", "g").join(winners.select("g", "winner"), "g"), F.col("text_key") == F.col("key"))
+    in_groups = members.select("text_key", "doc_id", (rank == F.col("winner")).alias("wins")).groupBy(
+        "text_key", "doc_id", "wins").agg(F.count("*").alias("n"))
     # A row that wins alone needs no decision; the others are dropped, or kept once of several.
     decided = stage(in_groups.where("not wins or n > 1").select(
         F.col("text_key").alias("_key"), F.col("doc_id").alias("_id"), F.col("wins").alias("_wins")), "decided")
