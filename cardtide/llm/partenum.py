@@ -13,8 +13,9 @@ margin ``m`` lets a set leave out signatures and still meet every partner:
 - sharing fewer signatures than the margin guarantees rules a pair out without reading its sets.
 
 Candidates are verified on the whole sets. Large groups are joined by few pairs first (every set
-against one pivot of a bucket); then only pairs whose groups still differ are compared, so every
-link between different sets is either verified or implied by links that are.
+against pivots of its buckets); then only pairs whose groups still differ are compared: pairs met in
+light buckets one by one, stuck sets part by part inside tasks of bounded size. So every link between
+different sets is verified or implied by links that are.
 
 Texts are known by a 64-bit hash. Ties and nulls: a text without words has an empty set and links with
 nothing, also not with other empty texts; a text with fewer words than n has its whole sequence as
@@ -40,7 +41,10 @@ WIDTH, SIMILAR = 4, Fraction(85, 100)
 HEAVY = 12
 #: Rounds that join large groups by pivots before the remaining pairs are compared, and the share of
 #: the buckets each of these rounds uses.
-PIVOT_ROUNDS, PIVOT_SHARE = 4, 8
+PIVOT_ROUNDS, PIVOT_SHARE = 2, 8
+#: Sets that share common signatures are compared in parts of a cluster: about so many elements a part
+#: in up to PARTS parts, and at most so many in more.
+PART_ELEMENTS, PARTS, MAX_PART_ELEMENTS = 1 << 15, 24, 1 << 20
 
 
 class Bands:
@@ -243,25 +247,73 @@ def _pivot_pairs(rows: DataFrame, labels: DataFrame | None, turn: int) -> DataFr
     return cross.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
 
 
-def _open_pairs(rows: DataFrame, labels: DataFrame | None, heavy: int) -> DataFrame:
-    """All pairs of texts in different groups that share enough signatures to be similar."""
+def _open_rows(rows: DataFrame, labels: DataFrame | None, heavy: int) -> DataFrame:
+    """``sig, key, g, members, left, spare, tag`` of buckets that still hold several groups. ``left`` is
+    how many light signatures more a set could leave out; -1 for a stuck set, which keeps all."""
     of_set = Window.partitionBy("key", "info")
-    left = F.col("spare") - F.count_if(F.col("members") > heavy).over(of_set)
-    kept = rows.select("sig", "key", "info", "spare", "members", F.greatest(left, F.lit(-1)).alias("left"))
+    left = F.greatest(F.col("spare") - F.count_if(F.col("members") > heavy).over(of_set), F.lit(-1))
+    kept = rows.select("sig", "key", "members", left.alias("left"), F.shiftright("info", 20).alias("tag"))
     used = kept.where((F.col("members") <= heavy) | (F.col("left") < 0))
-    grouped = _grouped(labels, used, "key", "g")
     of_sig = Window.partitionBy("sig")
-    mixed = grouped.select("*", F.min("g").over(of_sig).alias("low"), F.max("g").over(of_sig).alias("high")).where("low <> high")
-    mixed = stage(mixed.select("sig", "key", "g", "left", "spare", F.shiftright("info", 20).alias("tag")), "open")
-    side = lambda end: mixed.select("sig", *[F.col(c).alias(f"{c}_{end}") for c in ("key", "g", "left", "spare", "tag")])
-    met = side("a").join(side("b"), "sig").where("key_a < key_b and g_a <> g_b")
-    # Under one tag both share more signatures than either has left to spare: light ones where one of
-    # them has left out its heavy ones, all kinds where neither has.
-    counted = met.groupBy("key_a", "key_b", "tag_a").agg(
-        F.count("*").alias("n"),
-        F.max(F.when((F.col("left_a") < 0) & (F.col("left_b") < 0), F.greatest("spare_a", "spare_b"))
-              .otherwise(F.greatest("left_a", "left_b"))).alias("least"))
-    return counted.where("n > least").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    mixed = _grouped(labels, used, "key", "g").select("*", F.min("g").over(of_sig).alias("low"), F.max("g").over(of_sig).alias("high"))
+    return stage(mixed.where("low <> high").drop("low", "high"), "open")
+
+
+def _light_pairs(open_rows: DataFrame, heavy: int) -> DataFrame:
+    """Pairs in different groups, at least one of them not stuck, that share enough light signatures.
+
+    A bucket has at most ``heavy`` members here.
+    """
+    light = open_rows.where(F.col("members") <= heavy)
+    side = lambda end: light.select("sig", *[F.col(c).alias(f"{c}_{end}") for c in ("key", "g", "left", "tag")])
+    met = side("a").join(side("b"), "sig").where("key_a < key_b and g_a <> g_b and (left_a >= 0 or left_b >= 0)")
+    counted = met.groupBy("key_a", "key_b", "tag_a").agg(F.count("*").alias("n"), F.max(F.greatest("left_a", "left_b")).alias("left"))
+    return counted.where("n > left").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+
+
+def linked_in_block(block: pd.DataFrame, similar: Fraction) -> pd.DataFrame:
+    """All links between rows of parts ``low`` and ``high`` (or within the one part) whose groups differ,
+    by counting common bits of the elements that occur more than once."""
+    sets, groups = block["shingles"].tolist(), block["g"].to_numpy()
+    first = block["part"].to_numpy() == block["low"].to_numpy()
+    second = block["part"].to_numpy() == block["high"].to_numpy()
+    keys, sizes = block["key"].to_numpy(), np.array([len(s) for s in sets])
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column, twice = np.where(often >= 2, np.cumsum(often >= 2) - 1, -1)[column], int((often >= 2).sum())
+    owner = np.repeat(np.arange(len(sets)), sizes)[column >= 0]
+    column = column[column >= 0]
+    bits = np.zeros((len(sets), twice // 64 + 1), dtype=np.uint64)
+    np.bitwise_or.at(bits, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    num, den = similar.numerator, similar.denominator
+    found = []
+    for i in np.flatnonzero(first):
+        fits = second & (groups != groups[i]) & (den * np.minimum(sizes, sizes[i]) >= num * np.maximum(sizes, sizes[i]))
+        if block["low"].iat[0] == block["high"].iat[0]:
+            fits[:i + 1] = False
+        others = np.flatnonzero(fits)
+        same = np.bitwise_count(bits[others] & bits[i]).sum(1, dtype=np.int64)
+        found += [(keys[i], keys[j]) for j in others[den * same >= num * (sizes[others] + sizes[i] - same)]]
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+
+def _stuck_links(open_rows: DataFrame, shingles: DataFrame, similar: Fraction) -> DataFrame:
+    """Links among stuck sets: those connected by buckets form a cluster, which is cut into parts of
+    bounded size; every two parts are compared in a task of their own. Only links leave it."""
+    stuck = open_rows.where("left < 0").select("sig", "key", "g")
+    star = stuck.select("key", "g", F.min("key").over(Window.partitionBy("sig")).alias("center"))
+    edges = stage(star.where("key <> center").select(F.col("key").alias("a"), F.col("center").alias("b")).distinct(), "stars")
+    if not edges.limit(1).count():
+        return edges
+    clusters = components(edges)
+    members = stuck.select("key", "g").distinct().join(clusters.select(F.col("node").alias("key"), F.col("label").alias("cluster")), "key")
+    sized = stage(members.join(shingles, "key"), "stuck")
+    total = F.sum(F.size("shingles"))
+    parts = F.greatest(F.least(F.ceil(total / PART_ELEMENTS), F.lit(PARTS)), F.ceil(total / MAX_PART_ELEMENTS)).cast("int")
+    counted = sized.groupBy("cluster").agg(parts.alias("parts"))
+    cut = sized.join(counted, "cluster").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    cells = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "cluster", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "key", "g", "shingles")
+    return cells.groupBy("cluster", "low", "high").applyInPandas(lambda block: linked_in_block(block, similar), "a long, b long")
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, similar: Fraction = SIMILAR, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
@@ -272,8 +324,9 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similar: Fraction = SIMI
     labels: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS):
         labels = _merged(labels, stage(verified(_pivot_pairs(rows, labels, turn), shingles, similar), "verified"))
-    links = stage(verified(_open_pairs(rows, labels, heavy), shingles, similar), "verified")
-    labels = _merged(labels, links)
+    rest = _open_rows(rows, labels, heavy)
+    labels = _merged(labels, stage(verified(_light_pairs(rest, heavy), shingles, similar), "verified").unionAll(
+        stage(_stuck_links(rest, shingles, similar), "stuck-links")))
     if labels is None:
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
     return sizes, labels

@@ -70,6 +70,22 @@ def test_groups_match_all_pairs(llm, width, similar, heavy):
     assert sorted(map(tuple, got), key=repr) == brute_groups(rows, width, *similar)
 
 
+def test_near_misses_in_common_buckets_are_all_compared(llm):
+    """Sets that share nearly everything and mostly stay below the threshold, around one common text."""
+    dice = random.Random(12)
+    base = [f"w{i}" for i in range(130)]
+    rows = []
+    for i in range(220):
+        words = list(base)
+        for _ in range(dice.choice([3, 4, 5, 6])):
+            words[dice.randrange(len(words))] = f"x{dice.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_groups(rows, 4, 85, 100)
+    assert 10 < len({c for _, _, c in want}) < 200
+    assert sorted(map(tuple, partenum.jaccard_groups(docs).collect()), key=repr) == want
+
+
 def test_signatures_meet_for_every_similar_pair():
     dice = np.random.default_rng(7)
     for similar in (partenum.Fraction(85, 100), partenum.Fraction(80, 100)):
