@@ -167,15 +167,16 @@ def _places(texts: DataFrame, wanted: Membership) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def find(batch: pd.DataFrame) -> pd.DataFrame:
-        rows, filter_ = [], shared.value
+        rows = []
         for key, text in zip(batch["text_hash"], batch["text"]):
-            if not filter_(_hashes(text)).any():
+            if not shared.value(_hashes(text)).any():
                 continue
-            for m in _WORD.finditer(text):
-                term = term_hash(m.group())
-                if filter_(np.array([term]))[0]:
-                    first = m.group()[0]
-                    rows.append((key, term, *m.span(), "number" if first.isdigit() else "name" if first.isupper() else "word"))
+            words = list(_WORD.finditer(text))
+            lowered = [m.group().lower() for m in words]
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lowered), dtype=np.uint64, count=len(words)).view(np.int64)
+            for i in np.flatnonzero(shared.value(hashes)):
+                first = words[i].group()[0]
+                rows.append((key, int(hashes[i]), *words[i].span(), "number" if first.isdigit() else "name" if first.isupper() else "word"))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _PLACES.split(", ")])
     return map_batches(texts, find, _PLACES)
 

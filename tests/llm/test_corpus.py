@@ -77,7 +77,7 @@ def test_near_misses_in_common_buckets_are_all_compared(llm):
     rows = []
     for i in range(220):
         words = list(base)
-        for _ in range(dice.choice([3, 4, 5, 6])):
+        for _ in range(dice.choice([2, 2, 2, 2, 3, 3])):
             words[dice.randrange(len(words))] = f"x{dice.randrange(10**6)}"
         rows.append((i, " ".join(words)))
     docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
