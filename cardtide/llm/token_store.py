@@ -15,10 +15,11 @@ ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -53,6 +54,7 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -65,27 +67,30 @@ class Encoder:
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
         self.type = np.dtype("<u2" if len(self.lengths) <= 1 << 16 else "<u4")
-        #: Ids of pieces by their text behind the space; None where that text is no plain piece.
+        #: Ids of pieces by their text behind the space, or behind a NUL for the first piece of a text;
+        #: None where that text is no plain piece.
         self.cache: dict[str, bytes | None] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned integers."""
         split = [t.split(" ") for t in texts]
-        heads = self._whole([parts[0] for parts in split])
-        tails = [parts[1:] for parts in split]
-        new = set(chain.from_iterable(tails)).difference(self.cache)
+        for parts in split:
+            parts[0] = "\0" + parts[0]
+        new = set(chain.from_iterable(split)).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache.clear()
-            new = set(chain.from_iterable(tails))
-        self._learn(list(new))
+            # The pieces met first are the frequent ones.
+            self.cache = dict(islice(self.cache.items(), CACHE_PIECES // 3))
+            new = set(chain.from_iterable(split)).difference(self.cache)
+        self._learn(new)
         known, out = self.cache.__getitem__, []
-        for text, parts, head, tail in zip(texts, split, heads, tails):
-            plain = not tail or not (parts[0] == "" or parts[0][-1].isspace())
+        for text, parts in zip(texts, split):
             try:
-                data = b"".join(map(known, tail)) if plain and not any(a in text for a in self.added) else None
+                ids = np.frombuffer(b"".join(map(known, parts)), dtype=self.type)
             except TypeError:  # a piece that is None
-                data = None
-            out.append(self._apart(text) if data is None else np.concatenate([head, np.frombuffer(data, dtype=self.type)]))
+                ids = self._apart(text)
+            if "\0" in text or any(map(text.__contains__, self.added)):
+                ids = self._apart(text)
+            out.append(ids)
         return out
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -98,12 +103,16 @@ class Encoder:
         first, *rest = _CUT.split(text)
         return np.concatenate(self._whole([first, *(" " + piece for piece in rest)]))
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: set[str]) -> None:
         """Encodes new pieces, many in a row, and cuts the row where the bytes of its tokens add up to
         a piece."""
-        plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
-        if len(plain) < len(pieces):
-            self.cache.update(dict.fromkeys(set(pieces).difference(plain)))
+        heads = [p for p in pieces if p[:1] == "\0"]
+        for p, ids in zip(heads, self._whole([p[1:] for p in heads])):
+            self.cache[p] = None if p == "\0" or p[-1].isspace() else ids.tobytes()
+        pieces = pieces.difference(heads)
+        odd = [p for p in pieces if not p or p[0].isspace() or p[-1].isspace()]
+        self.cache.update(dict.fromkeys(odd))
+        plain = list(pieces.difference(odd)) if odd else list(pieces)
         rows = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
         encoded = self.tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False)
         for row, encoding in zip(rows, encoded):
@@ -202,14 +211,15 @@ class BlockReader:
             raise ValueError("not a block of this dictionary")
         self.data, self.n = data, n
         self.index = np.frombuffer(data, dtype=_ENTRY, count=n + 1, offset=_HEADER.size)
-        self.frames = _HEADER.size + (n + 1) * _ENTRY.itemsize
+        frames = _HEADER.size + (n + 1) * _ENTRY.itemsize
+        self.places = (self.index["at"].astype(np.int64) + frames).tolist()
+        self.tokens, self.wide = self.index["tokens"].tolist(), self.index["wide"].tolist()
         self.decompressor = dictionary.decompressor()
 
     def document(self, i: int) -> np.ndarray:
-        entry = self.index[i]
-        frame = self.data[self.frames + int(entry["at"]):self.frames + int(self.index[i + 1]["at"])]
-        raw = self.decompressor.decompress(frame, max_output_size=int(entry["tokens"]) * 4 + 1)
-        return np.frombuffer(raw, dtype="<u4" if entry["wide"] else "<u2").astype("<u4")
+        frame = self.data[self.places[i]:self.places[i + 1]]
+        raw = self.decompressor.decompress(frame, max_output_size=self.tokens[i] * 4 + 1)
+        return np.frombuffer(raw, dtype="<u4" if self.wide[i] else "<u2").astype("<u4")
 
 
 _BLOCKS = "part int, block int, n_docs int, n_tokens long, doc_ids array<long>, data binary"
