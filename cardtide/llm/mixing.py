@@ -36,7 +36,7 @@ _DOMAIN_OF = "case when toxic = 1 then 2 when quality = 1 then 1 when quality =
 #: Target shares of all tokens, in the order of DOMAINS.
 WEIGHTS = (0.0, 0.96, 0.04)
 #: Labelled rows at most from which the classifier is fitted.
-SAMPLE = 12_000
+SAMPLE = 8_000
 #: Rounds at most, and the summed residual (of shares) at which they end earlier.
 ROUNDS, TOLERANCE = 60, 5e-4
 

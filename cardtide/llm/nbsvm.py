@@ -27,7 +27,7 @@ from .common import crc_fold, documents, map_batches, shingle_hashes, word_hashe
 from .rule_forest import labelled_sample
 
 #: Labelled rows at most from which the model is fitted.
-SAMPLE = 12_000
+SAMPLE = 8_000
 #: Rows whose ``crc32(doc_id) mod FOLDS`` is HELD_OUT never take part in learning.
 FOLDS, HELD_OUT = 3, 1
 BUCKETS = 1 << 17
