@@ -45,6 +45,7 @@ PIVOT_ROUNDS, PIVOT_SHARE = 2, 8
 #: Sets that share common signatures are compared in parts of a cluster: about so many elements a part
 #: in up to PARTS parts, and at most so many in more.
 PART_ELEMENTS, PARTS, MAX_PART_ELEMENTS = 1 << 15, 24, 1 << 20
+SALTS = 64
 
 
 class Bands:
@@ -309,8 +310,11 @@ def _stuck_links(open_rows: DataFrame, shingles: DataFrame, similar: Fraction) -
     sized = stage(members.join(shingles, "key"), "stuck")
     total = F.sum(F.size("shingles"))
     parts = F.greatest(F.least(F.ceil(total / PART_ELEMENTS), F.lit(PARTS)), F.ceil(total / MAX_PART_ELEMENTS)).cast("int")
-    counted = sized.groupBy("cluster").agg(parts.alias("parts"))
-    cut = sized.join(counted, "cluster").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    # A cluster may hold most stuck sets, so its sets are told the number of parts in salted shares.
+    counted = sized.groupBy("cluster").agg(parts.alias("parts")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    salted = sized.withColumn("salt", F.pmod(F.xxhash64("key", F.lit("salt")), F.lit(SALTS)))
+    cut = salted.join(counted, ["cluster", "salt"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     cells = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "cluster", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "key", "g", "shingles")
     return cells.groupBy("cluster", "low", "high").applyInPandas(lambda block: linked_in_block(block, similar), "a long, b long")
