@@ -15,6 +15,7 @@ ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -46,6 +47,26 @@ _ENTRY = np.dtype([("at", "<u4"), ("before", "<u4"), ("tokens", "<u4"), ("wide",
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _for_letters(path: str):
+    """A tokenizer of the library with the same model that cuts at spaces only, for rows of words of
+    letters, where the byte-level split does no more; None for other kinds of tokenizers."""
+    from tokenizers import Tokenizer, pre_tokenizers
+    from tokenizers.models import BPE
+
+    with open(path, encoding="utf-8") as file:
+        config = json.load(file)
+    model, split = config["model"], config["pre_tokenizer"] or {}
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not config["normalizer"]
+    if not usual or model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")):
+        return None
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    # Every row is new, so remembering words inside the library would only cost.
+    plain = Tokenizer(BPE(vocab=model["vocab"], merges=merges, cache_capacity=0))
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return plain
+
+
 class Encoder:
     """The tokenizer, with the ids of pieces between single spaces remembered.
 
@@ -58,6 +79,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = _for_letters(path) or self.tokenizer
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -112,9 +134,14 @@ class Encoder:
         pieces = pieces.difference(heads)
         odd = [p for p in pieces if not p or p[0].isspace() or p[-1].isspace()]
         self.cache.update(dict.fromkeys(odd))
-        plain = list(pieces.difference(odd)) if odd else list(pieces)
-        rows = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
-        encoded = self.tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False)
+        plain = pieces.difference(odd) if odd else pieces
+        words = list(filter(str.isalpha, plain))
+        self._learn_rows(self.letters, words)
+        self._learn_rows(self.tokenizer, list(plain.difference(words)))
+
+    def _learn_rows(self, tokenizer, pieces: list[str]) -> None:
+        rows = [pieces[i:i + 1000] for i in range(0, len(pieces), 1000)]
+        encoded = tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False)
         for row, encoding in zip(rows, encoded):
             ids = np.array(encoding.ids, dtype=np.int64)
             ends = np.cumsum(self.lengths[ids])
