@@ -7,8 +7,8 @@ elements, ``k`` following from the larger band. The feature domain is cut by a h
 content (subsets of one part: the second level of the scheme is trivial with this many parts). The
 margin ``m`` lets a set leave out signatures and still meet every partner:
 
-- up to ``m`` weak parts (fewer than two elements) are left out;
-- signatures shared by very many sets (heavy) are left out where weak and heavy parts together are
+- up to ``m`` empty parts are left out;
+- signatures shared by very many sets (heavy) are left out where empty and heavy parts together are
   at most ``m``; other sets ("stuck") keep them;
 - sharing fewer signatures than the margin guarantees rules a pair out without reading its sets.
 
@@ -68,7 +68,7 @@ class Bands:
 
     def parts(self, band: int) -> tuple[int, int, int]:
         k = int(2 * self.largest(band) * (1 - self.similar) / (1 + self.similar))
-        m = int(0.15 * (k + 1)) + 1
+        m = int(0.15 * (k + 1)) + 2
         return k, m, k + 1 + m
 
 
@@ -104,11 +104,10 @@ def signatures(shingles: np.ndarray, bands: Bands) -> list[tuple[int, int, np.nd
         part = ((scattered >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
         content = np.zeros(n, dtype=np.uint64)
         np.add.at(content, part, mix(scattered))
-        counts = np.bincount(part, minlength=n)
+        filled = np.bincount(part, minlength=n) > 0
         marks = mix(content + np.arange(n, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(tag))
-        strong = counts >= 2
-        weak = n - int(np.count_nonzero(strong))
-        out.append((tag, m - weak, marks[strong]) if weak <= m else (tag, -1, marks))
+        empty = n - int(np.count_nonzero(filled))
+        out.append((tag, m - empty, marks[filled]) if empty <= m else (tag, -1, marks))
     return out
 
 
