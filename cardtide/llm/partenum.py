@@ -272,8 +272,9 @@ def _light_pairs(open_rows: DataFrame, heavy: int) -> DataFrame:
 
 
 def linked_in_block(block: pd.DataFrame, similar: Fraction) -> pd.DataFrame:
-    """All links between rows of parts ``low`` and ``high`` (or within the one part) whose groups differ,
-    by counting common bits of the elements that occur more than once."""
+    """Links between rows of parts ``low`` and ``high`` (or within the one part) whose groups differ, by
+    counting common bits of the elements that occur more than once. All pairs are compared; a link
+    between groups that links found before have joined already adds nothing and is left out."""
     sets, groups = block["shingles"].tolist(), block["g"].to_numpy()
     first = block["part"].to_numpy() == block["low"].to_numpy()
     second = block["part"].to_numpy() == block["high"].to_numpy()
@@ -285,14 +286,24 @@ def linked_in_block(block: pd.DataFrame, similar: Fraction) -> pd.DataFrame:
     bits = np.zeros((len(sets), twice // 64 + 1), dtype=np.uint64)
     np.bitwise_or.at(bits, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
     num, den = similar.numerator, similar.denominator
-    found = []
+    found, joined = [], {}
+
+    def group_of(g: int) -> int:
+        while joined.get(g, g) != g:
+            joined[g] = joined.get(joined[g], joined[g])
+            g = joined[g]
+        return g
     for i in np.flatnonzero(first):
         fits = second & (groups != groups[i]) & (den * np.minimum(sizes, sizes[i]) >= num * np.maximum(sizes, sizes[i]))
         if block["low"].iat[0] == block["high"].iat[0]:
             fits[:i + 1] = False
         others = np.flatnonzero(fits)
         same = np.bitwise_count(bits[others] & bits[i]).sum(1, dtype=np.int64)
-        found += [(keys[i], keys[j]) for j in others[den * same >= num * (sizes[others] + sizes[i] - same)]]
+        for j in others[den * same >= num * (sizes[others] + sizes[i] - same)]:
+            a, b = group_of(groups[i]), group_of(groups[j])
+            if a != b:
+                joined[max(a, b)] = min(a, b)
+                found.append((keys[i], keys[j]))
     return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
