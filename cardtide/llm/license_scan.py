@@ -139,15 +139,9 @@ class Scanner:
         for keyword in self.by_keyword:
             self.automaton.add_word(keyword, keyword)
         self.automaton.make_automaton()
-        #: Every rule states a license, a right or a copyright, so one of these must occur as well.
-        self.anchor = re.compile(r"licen[cs]e|licen[cs]ing|creativecommons|rights reserved|copyright|©|\(c\)|warranty"
-                                 r"|public domain|permission|redistribution|proprietary|apache\.org|gnu\.org|opensource\.org"
-                                 r"|(?:released|distributed|available|provided|published|covered) (?:by|under|according)")
 
     def detections(self, text: str) -> list[Detection]:
         """All matches of the rules whose keyword occurs, before suppression."""
-        if not self.anchor.search(text):
-            return []
         tried = sorted({i for _, keyword in self.automaton.iter(text) for i in self.by_keyword[keyword]})
         found = []
         for i in tried:

@@ -60,6 +60,23 @@ def test_license_rules(text, labels):
     assert {d.label for d in found} == labels
 
 
+@pytest.mark.parametrize("text, name, label", [
+    ("this project is gplv3.", "gplv3", "gpl-3.0"), ("gpl-2.0 only", "gpl-2.0", "gpl-2.0"),
+    ("dedicated as cc0 1.0 to all", "cc0 1.0", "cc0"), ("apache 2.0, see notice", "apache 2.0", "apache-2.0"),
+])
+def test_names_with_a_version_need_no_other_word(text, name, label):
+    scanner = license_scan.Scanner(license_scan.default_rules())
+    at = text.index(name)
+    assert [(d.label, d.start, d.end) for d in scanner.scan(text)] == [(label, at, at + len(name))]
+    tail = " and the warranty"
+    assert [d for d in scanner.scan(text + tail) if d.end <= len(text)] == scanner.scan(text)
+
+
+def test_every_rule_is_tried_where_its_keyword_stands():
+    rule = license_scan.Rule("own", r"house terms", 50, 0.5, ("house",))
+    assert [d.label for d in license_scan.Scanner((rule,)).scan("our house terms apply")] == ["own"]
+
+
 def test_license_rules_are_many_and_resolve_by_priority():
     rules = license_scan.default_rules()
     assert len(rules) > 300 and [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
