@@ -6,7 +6,7 @@ are estimated from labelled pages. One pass of sum-product messages from the lea
 one back give exact marginals; text whose nearest block has a marginal above one half is kept.
 
 A null or empty page, and one without article, gives an empty text. Broken markup is read leniently
-(unclosed paragraphs and items close as usual, unknown closing tags are ignored); nesting of any
+(unclosed heads, paragraphs and items close as usual, unknown closing tags are ignored); nesting of any
 depth is handled without recursion. Repeated rows give repeated results; extra columns are ignored.
 """
 
@@ -30,7 +30,9 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td "
     "tfoot th thead tr ul".split())
-_HIDDEN = frozenset("script style noscript template head title iframe object svg math canvas audio video button select textarea".split())
+_HIDDEN = frozenset("script style noscript template head title iframe object svg canvas audio video button select textarea".split())
+# What may stand in a head; any other tag, and text, ends one that is not closed.
+_IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 # An opening tag closes open elements of the second kind, up to one of the third.
 _CLOSES_P = _BLOCK - {"body", "html", "option", "optgroup", "td", "th", "tr", "tbody", "thead", "tfoot"}
 _CLOSES = {
@@ -108,10 +110,14 @@ class _Tree:
         return node
 
     def start(self, tag: str, attrs: str) -> None:
+        if self.held.get("head") and tag not in _IN_HEAD:
+            self._close({"head"}, set())
         if tag == "br":
             self.texts.append((self.open[-1], " "))
         if tag == "html" or tag in _VOID and tag not in ("hr", "input"):
             return
+        if tag == "head" and len(self.open) > 1:  # only the page itself has a head
+            return
         if tag in _CLOSES_P:
             self._close(_P_ONLY, _P_KEEPERS)
         if tag in _CLOSES:
@@ -140,6 +146,8 @@ class _Tree:
 
     def text(self, text: str) -> None:
         if text:
+            if self.open[-1].tag == "head" and not text.isspace():
+                self._cut(len(self.open) - 1)
             self.texts.append((self.open[-1], unescape(text) if "&" in text else text))
 
 

@@ -264,6 +264,23 @@ def test_small_pages(page, text):
     assert dom_marginals.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><article><h1>H</h1><p>x y.</p></article></body></html>", "H\n\nx y."),
+    ("<html><head><meta charset=utf-8><link rel=x><style>p{}</style><article><h1>H</h1><p>x y.</p></article>", "H\n\nx y."),
+    ("<html><head><title>T</title><img src=a><article><h1>H</h1><p>x y.</p></article>", "H\n\nx y."),
+    ("<html><head><title>T</title></head><body><head><article><h1>H</h1><p>x y.</p></article></body></html>", "H\n\nx y."),
+    ("<html><head><title>T</title> <script>var a;</script>\n</head><body><article><p>x y.</p></article></body></html>", "x y."),
+    ("<article><h1>H</h1><p>Where <math><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow></math> holds.</p></article>", "H\n\nWhere a=2 holds."),
+])
+def test_pages_without_the_end_of_the_head_and_with_formulas(page, text):
+    assert dom_marginals.main_text(page) == text
+
+
+def test_text_ends_an_open_head():
+    seen = [t for n, t in dom_marginals.parse("<head><title>T</title> \nplain text").texts if not n.hidden]
+    assert "".join(seen).strip() == "plain text"
+
+
 # shards
 
 def test_shards(llm, medium_dir, corpus):
