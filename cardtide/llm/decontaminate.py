@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import documents, lower_ascii, map_batches
 
-#: Edits allowed per character of an item, and the shortest piece.
-ERROR_RATE, MIN_PIECE = 0.1, 10
+#: Edits allowed per character of an item.
+ERROR_RATE = 0.1
 MIN_CHARS = 20
 #: Characters of items that are searched at once; larger tables of items go block by block.
 BLOCK_CHARS = 4 << 20
@@ -35,9 +35,12 @@ def normalized(text: str) -> str:
     return " ".join(lower_ascii(text).decode("utf-8", "surrogatepass").split())
 
 
-def budget(length: int, rate: float = ERROR_RATE, piece: int = MIN_PIECE) -> int:
-    """Edits allowed in an item; its pieces keep at least ``piece`` characters."""
-    return max(0, min(int(rate * length), length // piece - 1))
+def budget(length: int, rate: float = ERROR_RATE) -> int:
+    """Edits allowed in an item: the rate's share of its characters, rounded down. Pieces are as short
+    as that makes them; a hit is verified in any case."""
+    if not 0 <= rate < 1:
+        raise ValueError("the rate of edits must be at least 0 and below 1")
+    return int(rate * length + 1e-9)
 
 
 class Part(NamedTuple):
@@ -157,7 +160,7 @@ class Searcher:
 
     def search(self, text: str) -> list[Match]:
         """The best match of every item that occurs; ``text`` is normalized, and so are the places."""
-        if not self.items or len(text) < MIN_PIECE:
+        if not self.items or not text:
             return []
         best: dict[int, tuple[int, int]] = {}
         for last, (length, holders) in self.automaton.iter(text):

@@ -168,6 +168,23 @@ def test_items_are_found_within_their_budget(llm):
                 assert edit_distance_in(whole, host[m.start:m.end]) == m.distance >= distance
 
 
+@pytest.mark.parametrize("rate", [0.1, 0.25])
+def test_copies_with_all_the_edits_of_the_rate_are_found(rate):
+    dice = random.Random(5)
+    for length in (20, 25, 30, 95, 100, 233):
+        item = decontaminate.normalized("".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=length)))
+        k = int(rate * length)
+        for edits, found in ((k, True), (k + 1, False)):
+            # Edits at even distances, so that no piece longer than needed stays whole.
+            places = {(2 * i + 1) * length // (2 * edits) for i in range(edits)}
+            host = "".join("#" if i in places else c for i, c in enumerate(item))
+            assert len(places) == edits and edit_distance_in(item, host) == edits
+            got = decontaminate.Searcher([(1, item)], rate).search(f"%% {host} %%")
+            assert [m.distance for m in got] == [edits] * found
+    with pytest.raises(ValueError):
+        decontaminate.budget(50, 1.0)
+
+
 def test_contaminated_documents(llm, medium_dir):
     got = QUERIES["op9_pigeonhole"](llm, medium_dir).collect()
     items = {r.item_id: decontaminate.normalized(r.text) for r in llm.read.parquet(f"{medium_dir}/benchmark.parquet").collect()}
