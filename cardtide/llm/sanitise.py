@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from typing import NamedTuple
 
 import numpy as np
@@ -96,21 +97,23 @@ def term_hash(term: str) -> int:
 
 
 def context_terms(text: str, spans: list[Span]) -> set[tuple[int, int]]:
-    """(entity, term) pairs: words within ``WINDOW`` words of a finding, those inside findings aside."""
+    """(entity, term) pairs: words within ``WINDOW`` words of a finding, those that touch findings aside."""
+    words = list(_WORD.finditer(text))
+    starts, ends = [m.start() for m in words], [m.end() for m in words]
+    free = [True] * len(words)
+    for span in spans:
+        for i in range(bisect_right(ends, span.start), bisect_left(starts, span.end)):
+            free[i] = False
+    terms: dict[int, int] = {}
     pairs = set()
-    taken = sorted((s.start, s.end) for s in spans)
     for span in spans:
         entity = term_hash(f"{span.kind}:{span.value}")
-        # Words are at most a few dozen characters; the slice only has to be wide enough.
-        left = [m for m in _WORD.finditer(text, max(0, span.start - 40 * WINDOW), span.start)][-WINDOW:]
-        right = []
-        for m in _WORD.finditer(text, span.end):
-            if len(right) == WINDOW:
-                break
-            right.append(m)
-        for m in left + right:
-            if not any(start < m.end() and m.start() < end for start, end in taken):
-                pairs.add((entity, term_hash(m.group())))
+        left, right = bisect_right(ends, span.start), bisect_left(starts, span.end)
+        for i in (*range(max(0, left - WINDOW), left), *range(right, min(right + WINDOW, len(words)))):
+            if free[i]:
+                if i not in terms:
+                    terms[i] = term_hash(words[i].group())
+                pairs.add((entity, terms[i]))
     return pairs
 
 
@@ -143,7 +146,8 @@ _TERMS, _PLACES = "text_hash long, term long", "text_hash long, term long, start
 
 
 def _hashes(text: str) -> np.ndarray:
-    words = _WORD.findall(text.lower())
+    """Hashes of the words in order, each lowered by itself: a lowered text can have other words."""
+    words = _WORD.findall(text.lower()) if text.isascii() else [w.lower() for w in _WORD.findall(text)]
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
@@ -169,12 +173,10 @@ def _places(texts: DataFrame, wanted: Membership) -> DataFrame:
     def find(batch: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for key, text in zip(batch["text_hash"], batch["text"]):
-            if not shared.value(_hashes(text)).any():
-                continue
-            words = list(_WORD.finditer(text))
-            lowered = [m.group().lower() for m in words]
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lowered), dtype=np.uint64, count=len(words)).view(np.int64)
-            for i in np.flatnonzero(shared.value(hashes)):
+            hashes = _hashes(text)
+            hits = np.flatnonzero(shared.value(hashes))
+            words = list(_WORD.finditer(text)) if len(hits) else []
+            for i in hits:
                 first = words[i].group()[0]
                 rows.append((key, int(hashes[i]), *words[i].span(), "number" if first.isdigit() else "name" if first.isupper() else "word"))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _PLACES.split(", ")])

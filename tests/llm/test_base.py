@@ -124,6 +124,31 @@ def test_personal_data_patterns(text):
     assert [s[:3] for s in sanitise.base_spans(text)] == brute_spans(text)
 
 
+def test_context_is_counted_in_words_on_both_sides():
+    words = [f"{c * 60}" for c in "abcdefghijklmnop"]
+    for text in (" ".join(words) + " me@x.org", ("-" * 300).join(words[:5]) + " me@x.org", "me@x.org " + " ".join(words)):
+        around = text.replace("me@x.org", " ").replace("-", " ").split()
+        near = around[:sanitise.WINDOW] if text.startswith("me@") else around[-sanitise.WINDOW:]
+        got = sanitise.context_terms(text, sanitise.base_spans(text))
+        assert {t for _, t in got} == {sanitise.term_hash(w) for w in near}
+
+
+@pytest.mark.parametrize("text", ["\u0130stanbul is far", "\u0391\u03a3'\u0392\u0393\u0394 \u0391\u0392\u03a3", "Plain ASCII Words_here 123"])
+def test_words_are_hashed_alike_everywhere(text):
+    words = re.findall(r"[^\W_]{3,}", text)
+    assert sanitise._hashes(text).tolist() == [sanitise.term_hash(w) for w in words]
+
+
+def test_a_term_whose_lower_case_is_longer_is_found(llm):
+    texts = [f"note {i}: ask ann@x.org" + " \u0130stanbul" * (i < 9) if i < 10 else f"text {i} says nothing" for i in range(60)]
+    texts[9] = "only \u0130stanbul"
+    got = sanitise.find_personal_data(llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), generalise=0.5).toPandas()
+    spans = got.set_index("doc_id").spans
+    for i in range(10):
+        at = texts[i].index("\u0130")
+        assert f":{at}:{at + 8}" in spans[i]
+
+
 def test_terms_that_disclose_an_entity(llm):
     told = [f"filler{i} words here Zorbital met ann@x.org at noon number{i}" for i in range(6)]
     plain = [f"words here at noon met other{i} people" for i in range(40)]
