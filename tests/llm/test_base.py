@@ -244,6 +244,17 @@ def test_forest_sets_outliers_apart():
     assert rule_forest.calibrate(scores, np.ones(2000, dtype=bool)) == float("inf")
 
 
+def test_sample_holds_one_row_of_each_id(llm):
+    rows = [(0, f"hot {i % 3}") for i in range(900)] + [(i, f"text {i}") for i in range(1, 60)] + [(99, "unlabelled"), (None, "no id")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    labels = llm.createDataFrame([(i, i % 2) for i in range(60)] + [(0, 1)], "doc_id long, quality int")
+    least = docs.where("doc_id = 0").selectExpr("min_by(text, xxhash64(text))").first()[0]
+    for parts in (1, 7):
+        got = {r.doc_id: (r.text, r.label) for r in rule_forest.labelled_sample(docs.repartition(parts), labels, 1000).collect()}
+        assert got == {0: (least, 1)} | {i: (f"text {i}", i % 2) for i in range(1, 60)}
+        assert rule_forest.labelled_sample(docs.repartition(parts), labels, 1000).count() == 60
+
+
 # pages
 
 def test_pages_keep_the_article(llm, medium_dir):
