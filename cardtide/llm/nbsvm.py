@@ -1,6 +1,6 @@
 """Quality classifier: a linear support vector machine on n-gram indicators scaled by naive Bayes.
 
-A text becomes the set of its n-grams: word n-grams, and n-grams of word shapes (runs of lower-case
+A text becomes the set of its n-grams: single words, and one or two word shapes (runs of lower-case
 letters, capitals, digits; punctuation as it is; a mark for a repeated word) together with the
 power of two their share of the text falls into, so that an indicator says "this shape makes up
 about a quarter of the text". Indicators are hashed. Each is scaled by the log ratio of its smoothed
@@ -62,9 +62,8 @@ def indicators(text: str) -> np.ndarray:
     marked = word_shapes(raw)
     for i in np.flatnonzero(hashes[1:] == hashes[:-1]) + 1:
         marked[i] = b"="
-    least = n / 512
-    grams += [b"1:%s:%d" % (g, _bin(k / n)) for g, k in Counter(marked).items() if k >= least]
-    grams += [b"2:%s %s:%d" % (*g, _bin(k / n)) for g, k in Counter(zip(marked, marked[1:])).items() if k >= least]
+    grams += [b"1:%s:%d" % (g, _bin(k / n)) for g, k in Counter(marked).items()]
+    grams += [b"2:%s %s:%d" % (*g, _bin(k / n)) for g, k in Counter(zip(marked, marked[1:])).items()]
     own = np.unique(hashes)
     grams.append(b"distinct:%d" % int(len(own) / n * 10))
     triples = np.sort(shingle_hashes(hashes, 3))

@@ -361,6 +361,17 @@ def test_classifier_on_held_out_rows(llm, medium_dir):
     assert held[held.quality == 1].predicted.mean() > 0.95
 
 
+@pytest.mark.parametrize("n", [100, 511, 600, 5000])
+def test_rare_shapes_count_in_texts_of_any_length(n):
+    words = [f"{'ab' if i % 2 else 'cd'}" for i in range(n)]
+    words[n // 2] = "A-0"
+    text = " ".join(words)
+    share = nbsvm._bin(1 / n)
+    shape = nbsvm.word_shapes(text.encode())[n // 2]
+    for gram in (b"1:%s:%d" % (shape, share), b"2:%s %s:%d" % (b"a", shape, share)):
+        assert zlib.crc32(gram) % nbsvm.BUCKETS in nbsvm.indicators(text)
+
+
 def test_dual_descent_reaches_the_optimum():
     rng = np.random.default_rng(1)
     good = rng.random(80) < 0.5
