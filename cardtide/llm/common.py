@@ -29,6 +29,17 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     return df.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def quoted(name: str) -> str:
+    """A column name as it stands in expressions, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``: helper columns beside it cannot clash with them, and
+    ``select("row.*")`` brings them back."""
+    return F.struct(*[F.col(quoted(name)) for name in df.columns]).alias("row")
+
+
 def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``function`` over batches of rows of bounded length, partition by partition."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

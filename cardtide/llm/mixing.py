@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import nbsvm
-from .common import stage, word_hashes
+from .common import stage, whole_row, word_hashes
 from .rule_forest import labelled_sample
 
 DOMAINS = ("junk", "good", "toxic")
@@ -90,14 +90,14 @@ def fit_domains(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Doma
     return DomainModel(tuple(nbsvm.train(features, of == d) if len(features) else None for d in range(len(DOMAINS))))
 
 
-def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """``docs`` with ``_tokens`` and ``_p``, the posterior over DOMAINS."""
+def with_posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
+    """``docs`` with ``_tokens`` and ``_p``, the posterior over DOMAINS, of the texts in column ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(texts: pd.Series) -> pd.DataFrame:
         found = [indicators(t) for t in texts]
         return pd.DataFrame({"tokens": [n for n, _ in found], "p": [shared.value.posterior(at) for _, at in found]})
-    judged = F.pandas_udf(judge, "tokens long, p array<double>")(F.coalesce("text", F.lit("")))
+    judged = F.pandas_udf(judge, "tokens long, p array<double>")(F.coalesce(text, F.lit("")))
     return docs.withColumn("_judged", judged).select(
         *docs.columns, F.col("_judged.tokens").alias("_tokens"), F.col("_judged.p").alias("_p"))
 
@@ -176,7 +176,8 @@ def document_rates(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = WEIGHTS, total: float | None = None) -> DataFrame:
     """The documents as often as their copies say, in their columns."""
-    judged = stage(with_posteriors(docs, fit_domains(docs.select("doc_id", "text"), labels)), "posteriors")
-    done = _with_copies(judged, fit_rates(judged, weights, total), [F.col("doc_id"), F.xxhash64("text")])
+    model = fit_domains(docs.select("doc_id", "text"), labels)
+    judged = stage(with_posteriors(docs.select(whole_row(docs)), model, "row.text"), "posteriors")
+    done = _with_copies(judged, fit_rates(judged, weights, total), [F.col("row.doc_id"), F.xxhash64("row.text")])
     repeated = done.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    return repeated.select("row.*")

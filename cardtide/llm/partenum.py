@@ -33,7 +33,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import BATCH_ROWS, Membership, documents, lower_ascii, map_batches, mix, shingle_hashes, stage, word_hashes
+from .common import BATCH_ROWS, Membership, documents, lower_ascii, map_batches, mix, shingle_hashes, stage, whole_row, word_hashes
 
 #: Words per n-gram and least similarity of a link.
 WIDTH, SIMILAR = 4, Fraction(85, 100)
@@ -46,6 +46,8 @@ PIVOT_ROUNDS, PIVOT_SHARE = 2, 8
 #: in up to PARTS parts, and at most so many in more.
 PART_ELEMENTS, PARTS, MAX_PART_ELEMENTS = 1 << 15, 24, 1 << 20
 SALTS = 64
+#: Nodes whose groups a task remembers while it drops edges that close circles.
+FOREST_NODES = 1 << 18
 
 
 class Bands:
@@ -160,10 +162,27 @@ def buckets(docs: DataFrame, width: int, similar: Fraction) -> tuple[DataFrame,
     spare = (F.pmod("info", F.lit(_SPARE)) - 1).alias("spare")
     judged = shared.where("info >= 0").select("*", spare).select(
         "*", (F.count("*").over(of_set) > F.col("spare")).alias("enough"), F.sum("members").over(of_set).alias("weight"))
-    again = judged.where("enough").select(
-        "sig", "key", "info", "spare", F.count("*").over(of_sig).alias("members"),
-        F.max_by("key", F.struct("weight", "key")).over(of_sig).alias("pivot"))
-    return stage(again.where("members > 1"), "buckets"), sizes
+    enough = stage(judged.where("enough").select("sig", "key", "info", "spare", "members", "weight"), "enough")
+    totals = enough.groupBy("sig").agg(F.count("*").alias("members"), F.max_by("key", F.struct("weight", "key")).alias("pivot"))
+    again = told(enough.select("sig", "key", "info", "spare", "members"), totals.where("members > 1"))
+    return stage(again.select("sig", "key", "info", "spare", "members", "pivot"), "buckets"), sizes
+
+
+#: Rows of a signature that one share of it holds, about, and the most shares.
+SHARE_ROWS, SHARES = 1024, 256
+
+
+def told(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``totals``, one row per ``sig``, in place of their own ``members``.
+
+    A signature that very many rows share is dealt in shares by ``members`` (an upper bound known from
+    an earlier step), and its total is handed to each share, so none of its rows meet in one task.
+    """
+    shares = lambda members: F.least(F.floor(members / SHARE_ROWS) + 1, F.lit(SHARES))
+    most = rows.groupBy("sig").agg(F.max("members").alias("most"))
+    copies = totals.join(most, "sig").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), shares(F.col("most")) - 1))).drop("most")
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64("key", F.lit("share")), shares(F.col("members")))).drop("members")
+    return dealt.join(copies, ["sig", "share"]).drop("share")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -194,21 +213,89 @@ def verified(pairs: DataFrame, shingles: DataFrame, similar: Fraction) -> DataFr
     return checked.where(den * F.col("same") >= num * (F.col("sum") - F.col("same"))).select("a", "b")
 
 
+def forest(edges: DataFrame) -> DataFrame:
+    """The edges ``a, b`` of each partition without those that close a circle in it, so that what is
+    exchanged grows with the nodes. Memory is bounded: after FOREST_NODES nodes a new forest begins."""
+    def run(batches):
+        above: dict[int, int] = {}
+
+        def root(n: int) -> int:
+            while (up := above.get(n, n)) != n:
+                above[n] = above.get(up, up)
+                n = up
+            return n
+        for batch in batches:
+            if len(above) > FOREST_NODES:
+                above.clear()
+            kept = []
+            for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+                low, high = sorted((root(a), root(b)))
+                if low != high:
+                    above[high] = low
+                    kept.append((a, b))
+            if kept:
+                yield pd.DataFrame(kept, columns=["a", "b"], dtype=np.int64)
+    return edges.select("a", "b").mapInPandas(run, "a long, b long")
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """``node, label`` with the end of each chain of ``node, label``, where labels never grow; the ends
+    have themselves as label."""
+    while True:
+        onward = parents.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        moved = stage(parents.join(onward, "label").select("node", F.col("further").alias("label"), (F.col("further") < F.col("label")).alias("moved")), "roots")
+        parents = moved.select("node", "label")
+        if not moved.where("moved").limit(1).count():
+            return parents
+
+
+def _through(labels: DataFrame | None, step: DataFrame) -> DataFrame:
+    """``node, label`` after ``step`` renames the labels of ``labels``; nodes new in ``step`` are added."""
+    if labels is None:
+        return step
+    renamed = step.select(F.col("node").alias("label"), F.col("label").alias("lower"))
+    moved = labels.join(renamed, "label", "left").select("node", F.coalesce("lower", "label").alias("label"))
+    return stage(moved.unionAll(step.join(labels, "node", "left_anti").select("node", "label")), "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """``node, label`` with the smallest node of each connected component, by passing labels to
-    neighbours and to the holders of a label until nothing changes."""
-    both = stage(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct(), "edges")
-    labels = stage(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")), "labels")
+    """``node, label`` with the smallest node of each connected component.
+
+    Contraction: every node points to its smallest neighbour, chains of pointers are followed to their
+    ends, and edges are carried over to the ends; those inside one group go. A later round sees only
+    what still joins groups, so the joined rows of all rounds add up to a small multiple of the edges.
+    """
+    live = stage(forest(edges.where("a <> b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels: DataFrame | None = None
+    while live.limit(1).count():
+        ends = live.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(live.select("b", "a"))
+        step = _roots(ends.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")))
+        lower = lambda end: step.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        carried = live.join(lower("a"), "a").join(lower("b"), "b").where("a_label <> b_label").select(
+            F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b"))
+        labels = _through(labels, step)
+        live = stage(forest(carried).distinct(), "edges")
+    return labels if labels is not None else edges.sparkSession.createDataFrame([], "node long, label long")
+
+
+def clusters(rows: DataFrame) -> DataFrame:
+    """``node, label`` with the smallest key of all sets that ``sig, key, members`` connect.
+
+    In a round every set points to one other, the smallest that any of its signatures knows; signatures
+    that one group is left of are done.
+    """
+    live, labels = rows.select("sig", "key", "members"), None
     while True:
-        of_other = labels.select(F.col("node").alias("other"), F.col("label").alias("l"))
-        near = both.join(of_other, "other").groupBy("node").agg(F.min("l").alias("near"))
-        lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        moved = stage(lower.join(jump, "next").select("node", "label", F.least("next", "far").alias("next")), "labels")
-        changed = moved.where("label <> next").limit(1).count()
-        labels = moved.select("node", F.col("next").alias("label"))
-        if not changed:
-            return labels
+        ends = live.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+        open_rows = stage(told(live.select("*", F.col("members").alias("most")), ends.where("low < high")).select(
+            "sig", "key", F.col("most").alias("members"), "low"), "open-signatures")
+        if not open_rows.limit(1).count():
+            break
+        step = _roots(open_rows.groupBy(F.col("key").alias("node")).agg(F.min("low").alias("label")))
+        labels = _through(labels, step)
+        live = stage(open_rows.join(step, F.col("key") == F.col("node")).groupBy("sig", F.col("label").alias("key")).agg(
+            F.max("members").alias("members")), "open-rows")
+    return labels if labels is not None else rows.sparkSession.createDataFrame([], "node long, label long")
 
 
 def _grouped(labels: DataFrame | None, rows: DataFrame, column: str, out: str) -> DataFrame:
@@ -225,12 +312,7 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
     ends = stage(ends.where("a <> b").distinct(), "links")
     if not ends.limit(1).count():
         return labels
-    joined = components(ends)
-    if labels is None:
-        return joined
-    moved = _grouped(joined, labels, "label", "g").select("node", F.col("g").alias("label"))
-    fresh = joined.join(labels, "node", "left_anti")
-    return stage(moved.union(fresh.select("node", "label")), "groups")
+    return _through(labels, components(ends))
 
 
 def _pivot_pairs(rows: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
@@ -254,9 +336,9 @@ def _open_rows(rows: DataFrame, labels: DataFrame | None, heavy: int) -> DataFra
     left = F.greatest(F.col("spare") - F.count_if(F.col("members") > heavy).over(of_set), F.lit(-1))
     kept = rows.select("sig", "key", "members", left.alias("left"), F.shiftright("info", 20).alias("tag"))
     used = kept.where((F.col("members") <= heavy) | (F.col("left") < 0))
-    of_sig = Window.partitionBy("sig")
-    mixed = _grouped(labels, used, "key", "g").select("*", F.min("g").over(of_sig).alias("low"), F.max("g").over(of_sig).alias("high"))
-    return stage(mixed.where("low <> high").drop("low", "high"), "open")
+    named = stage(_grouped(labels, used, "key", "g"), "named")
+    mixed = named.groupBy("sig").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.max("members").alias("members"))
+    return stage(told(named, mixed.where("low <> high").drop("low", "high")), "open")
 
 
 def _light_pairs(open_rows: DataFrame, heavy: int) -> DataFrame:
@@ -310,13 +392,11 @@ def linked_in_block(block: pd.DataFrame, similar: Fraction) -> pd.DataFrame:
 def _stuck_links(open_rows: DataFrame, shingles: DataFrame, similar: Fraction) -> DataFrame:
     """Links among stuck sets: those connected by buckets form a cluster, which is cut into parts of
     bounded size; every two parts are compared in a task of their own. Only links leave it."""
-    stuck = open_rows.where("left < 0").select("sig", "key", "g")
-    star = stuck.select("key", "g", F.min("key").over(Window.partitionBy("sig")).alias("center"))
-    edges = stage(star.where("key <> center").select(F.col("key").alias("a"), F.col("center").alias("b")).distinct(), "stars")
-    if not edges.limit(1).count():
-        return edges
-    clusters = components(edges)
-    members = stuck.select("key", "g").distinct().join(clusters.select(F.col("node").alias("key"), F.col("label").alias("cluster")), "key")
+    stuck = open_rows.where("left < 0").select("sig", "key", "g", "members")
+    found = clusters(stuck)
+    if not found.limit(1).count():
+        return found.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    members = stuck.select("key", "g").distinct().join(found.select(F.col("node").alias("key"), F.col("label").alias("cluster")), "key")
     sized = stage(members.join(shingles, "key"), "stuck")
     total = F.sum(F.size("shingles"))
     parts = F.greatest(F.least(F.ceil(total / PART_ELEMENTS), F.lit(PARTS)), F.ceil(total / MAX_PART_ELEMENTS)).cast("int")
@@ -373,16 +453,15 @@ def drop_near_copies(docs: DataFrame, width: int = WIDTH, similar: Fraction = SI
         "text_key", "doc_id", "wins").agg(F.count("*").alias("n"))
     # A row that wins alone needs no decision; the others are dropped, or kept once of several.
     decided = stage(in_groups.where("not wins or n > 1").select(
-        F.col("text_key").alias("_key"), F.col("doc_id").alias("_id"), F.col("wins").alias("_wins")), "decided")
-    filter_ = docs.sparkSession.sparkContext.broadcast(Membership.build(decided, "_key"))
+        F.col("text_key").alias("key"), F.col("doc_id").alias("id"), "wins"), "decided")
+    filter_ = docs.sparkSession.sparkContext.broadcast(Membership.build(decided, "key"))
     maybe = F.pandas_udf(lambda keys: pd.Series(filter_.value(keys.to_numpy())), "boolean")
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    flagged = keyed.withColumn("_maybe", maybe("_text_key"))
-    here = (F.col("_text_key") == F.col("_key")) & docs["doc_id"].eqNullSafe(F.col("_id"))
-    doubtful = flagged.where("_maybe").join(decided, here, "left")
-    once = doubtful.where("_wins").dropDuplicates(["doc_id", "_text_key"])
+    keyed = docs.select(whole_row(docs), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    flagged = keyed.withColumn("maybe", maybe("text_key"))
+    doubtful = flagged.where("maybe").join(decided, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    once = doubtful.where("wins").dropDuplicates(["doc_id", "text_key"])
     return (
-        flagged.where("not _maybe").select(*docs.columns)
-        .unionAll(doubtful.where("_wins is null").select(*docs.columns))
-        .unionAll(once.select(*docs.columns))
+        flagged.where("not maybe").select("row.*")
+        .unionAll(doubtful.where("wins is null").select("row.*"))
+        .unionAll(once.select("row.*"))
     )

@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Membership, documents, map_batches, stage
+from .common import Membership, documents, map_batches, quoted, stage, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that count as its context.
@@ -271,13 +271,12 @@ def sanitise(text: str, spans: str) -> str:
 
 def sanitised_documents(docs: DataFrame) -> DataFrame:
     """The documents with sanitised texts, in their columns; a null text stays null."""
-    found = find_personal_data(docs).where("spans <> ''").select(
-        F.col("text_hash").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    joined = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).join(
-        found, F.col("_hash") == F.col("_key"), "left")
+    found = find_personal_data(docs).where("spans <> ''").select("text_hash", "spans").dropDuplicates(["text_hash"])
+    rows = docs.select(whole_row(docs), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
 
     def apply(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([sanitise(t, s) if t and s else t for t, s in zip(texts, spans)], dtype=object)
     clean = F.pandas_udf(apply, "string")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        clean("text", "_spans"))).select(*docs.columns)
+    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(clean("row.text", "spans"))
+    joined = rows.join(found, "text_hash", "left").withColumn("clean", text)
+    return joined.select(*[(F.col("clean") if name == "text" else F.col(f"row.{quoted(name)}")).alias(name) for name in docs.columns])

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import stage
+from .common import stage, whole_row
 
 SHARDS = 16
 #: Ranges per shard at least, and bytes of records a range should hold at most.
@@ -156,15 +156,18 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """The documents in their columns, one folder ``shard=<s>`` each, in slot order inside files.
+    """The documents in their columns, one folder ``shard=<s>`` each, in slot order inside files; where
+    a column has that name, the folders are called ``shard_of=<s>``, and so on.
 
     Rows with equal id and text are written as often as they occur.
     """
-    placed = assign_shards(docs, shards).groupBy("doc_id", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("_at"))
-    places = placed.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "_at")
-    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    joined = docs.withColumn("_own", crc).join(
-        places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_crc")))
-    out = joined.select(*docs.columns, F.col("_at.shard").alias("_shard"), F.col("_at.slot").alias("_slot"))
-    ordered = out.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot")
-    ordered.withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)
+    folder = "shard"
+    while folder in map(str.lower, docs.columns):
+        folder += "_of"
+    placed = assign_shards(docs, shards).groupBy("doc_id", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("at"))
+    places = placed.select(F.col("doc_id").alias("id"), F.col("text_crc32").alias("crc"), "at")
+    own = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("own")
+    joined = docs.select(whole_row(docs), "doc_id", own).join(
+        places, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("crc")))
+    ordered = joined.repartitionByRange("at").sortWithinPartitions("at").select("row.*", F.col("at.shard").alias(folder))
+    ordered.write.partitionBy(folder).parquet(path)

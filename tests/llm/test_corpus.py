@@ -281,3 +281,81 @@ def test_pipeline_stages_on_awkward_tables(llm, medium_dir, awkward, nothing):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(llm, docs, medium_dir)
             assert out.count() <= 2 * docs.count() and (name == "sharding" or out.columns == docs.columns)
+
+
+CLASHING = ("row", "key", "id", "wins", "maybe", "text_key", "text_hash", "spans", "clean", "at", "own", "crc", "shard", "slot", "a.b", "c`d",
+            "_p", "_rate", "_copies", "_copy", "_judged", "_tokens", "_key", "_id", "_hash", "_maybe", "_text_key", "_wins", "_spans", "node", "label")
+
+
+def test_columns_of_any_name_keep_their_values(llm, tmp_path):
+    """Every operator that returns documents hands on all their columns, whatever they are called."""
+    from cardtide.llm import sanitise, sharding
+
+    texts = [t for _, t in planted(5, 20)] + ["write to jo@example.org now"] * 2
+    rows = [(i, t, *[f"{name}{i}" for name in CLASHING]) for i, t in enumerate(texts)]
+    docs = llm.createDataFrame(rows, ["doc_id", "text", *CLASHING])
+    labels = llm.createDataFrame([(i, i % 2, 0) for i in range(len(rows))], "doc_id long, quality int, toxic int")
+    before = {r[0]: tuple(r) for r in docs.collect()}
+    for out in (partenum.drop_near_copies(docs), mixing.mixed_documents(docs, labels)):
+        assert out.columns == docs.columns and out.count() > 0
+        assert all(tuple(r) == before[r[0]] for r in out.collect())
+    clean = sanitise.sanitised_documents(docs)
+    assert clean.columns == docs.columns
+    assert all(r[2:] == before[r[0]][2:] for r in map(tuple, clean.collect())) and clean.where("text like '%<email>%'").count() == 2
+    sharding.write_shards(docs, str(tmp_path / "shards"))
+    back = llm.read.parquet(str(tmp_path / "shards"))
+    assert back.columns == [*docs.columns, "shard_of"] and {tuple(r)[:-1] for r in back.collect()} == set(before.values())
+
+
+def test_joined_rows_stay_in_proportion_to_one_large_group(llm):
+    """Chains, stars and near misses: contraction carries each edge over once per round, and few rounds do."""
+    dice = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 3000)] + [(5000, 5000 + i) for i in range(1, 2000)] + [(9000 + i, 8999 - i) for i in range(500)]
+    dice.shuffle(edges)
+    calls = []
+    real = partenum.stage
+
+    def counting(df, name):
+        out = real(df, name)
+        calls.append((name, out.count()))
+        return out
+    partenum.stage = counting
+    try:
+        got = dict(map(tuple, partenum.components(llm.createDataFrame(edges, "a long, b long").repartition(4)).collect()))
+    finally:
+        partenum.stage = real
+    above = {}
+
+    def root(n):
+        while above.get(n, n) != n:
+            n = above[n]
+        return n
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        if low != high:
+            above[high] = low
+    assert got == {n: root(n) for e in edges for n in e}
+    assert sum(n for name, n in calls if name == "edges") <= 2 * len(edges)
+
+
+def test_clusters_join_all_that_signatures_connect(llm):
+    dice = random.Random(4)
+    rows = [(s, k) for s in range(300) for k in {dice.randrange(900) for _ in range(dice.choice([1, 2, 2, 3]))}] + [(-1, k) for k in range(400)]
+    count = {}
+    for s, _ in rows:
+        count[s] = count.get(s, 0) + 1
+    incidence = llm.createDataFrame([(s, k, count[s]) for s, k in rows], "sig long, key long, members long").repartition(3)
+    got = dict(map(tuple, partenum.clusters(incidence).collect()))
+    above = {}
+
+    def root(n):
+        while above.get(n, n) != n:
+            n = above[n]
+        return n
+    first = {}
+    for s, k in rows:
+        low, high = sorted((root(first.setdefault(s, k)), root(k)))
+        if low != high:
+            above[high] = low
+    linked = {k for s, k in rows if count[s] > 1}
+    assert got == {k: root(k) for k in linked}
