@@ -49,17 +49,23 @@ class Spectrum(NamedTuple):
     identity_error: float
 
 
-def _added(slabs: DataFrame, function: Callable[[Slab], np.ndarray], size: int) -> np.ndarray:
-    """Sum over all slabs of ``function``'s ``size`` numbers: added up per task, then in Spark."""
+def _added(slabs: DataFrame, function: Callable[[Slab], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """Sum over all slabs of ``function``'s matrix: added up per task, a row of it a row of the table,
+    then in Spark."""
+    names = [f"v{i}" for i in range(shape[1])]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size)
+        total = None
         for batch in batches:
             for row in batch.itertuples():
-                total += function(Slab(row, by_column=False)).ravel()
-        yield pd.DataFrame({"slot": np.arange(size, dtype=np.int32), "value": total})
-    rows = slabs.mapInPandas(run, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
-    out = np.zeros(size)
-    out[rows["slot"]] = rows["value"]
+                part = function(Slab(row, by_column=False)).reshape(shape)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame(total, columns=names).assign(slot=np.arange(shape[0], dtype=np.int32))[["slot", *names]]
+    parts = slabs.mapInPandas(run, "slot int, " + ", ".join(f"{n} double" for n in names))
+    rows = parts.groupBy("slot").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    out = np.zeros(shape)
+    out[rows["slot"]] = rows[names]
     return out
 
 
@@ -195,23 +201,25 @@ def fit(vectors: DataFrame, wanted: int = 4) -> Spectrum:
         return Spectrum(n, sums, 0.0, np.zeros(0), np.zeros((dims, 0)), 0.0)
     mean = np.array([s / n for s in sums])
     centred = lambda slab: slab.x.astype(np.float64) - mean
-    trace = float(_added(slabs, lambda slab: np.square(centred(slab)).sum()[None], 1)[0]) / n
+    trace = float(_added(slabs, lambda slab: np.square(centred(slab)).sum(), (1, 1))[0, 0]) / n
 
     def product(w: np.ndarray) -> np.ndarray:
         def of_slab(slab: Slab) -> np.ndarray:
             x = centred(slab)
             return x.T @ (x @ w)
-        return _added(slabs, of_slab, w.size).reshape(w.shape) / n
+        return _added(slabs, of_slab, w.shape) / n
     values, found = leading(product, dims, wanted, trace) if trace > 0 else (np.zeros(0), np.zeros((dims, 0)))
     some = values > 2.0 ** -52 * dims * values.max(initial=0.0)
     values, found = values[some], found[:, some]
     p = len(values)
+    if not p:
+        return Spectrum(n, sums, trace, values, found, 0.0)
 
     def moments(slab: Slab) -> np.ndarray:
         z = centred(slab) @ found / np.sqrt(values)
-        return np.concatenate([z.sum(0), (z.T @ z).ravel()])
-    added = _added(slabs, moments, p + p * p) / n
-    covariance = added[p:].reshape(p, p) - np.outer(added[:p], added[:p])
+        return np.vstack([z.sum(0), z.T @ z])
+    added = _added(slabs, moments, (1 + p, p)) / n
+    covariance = added[1:] - np.outer(added[0], added[0])
     return Spectrum(n, sums, trace, values, found, float(np.abs(covariance - np.eye(p)).max(initial=0.0)))
 
 
