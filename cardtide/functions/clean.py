@@ -118,7 +118,7 @@ def cents_double(c: Column) -> Column:
     """Money text to whole cents through a double, halves rounded toward plus infinity.
 
     Cents beyond 64 bits become the largest or smallest 64-bit number, NaN becomes 0; only texts
-    that are no number give NULL. Add them up with ``wide_sum``.
+    that are no number give NULL. Add them up with ``wide_parts`` and ``wide_total``.
     """
     dollars = jtrim(_without(c, '"$,')).try_cast("double")
     cents = dollars * 100.0
@@ -130,15 +130,17 @@ def cents_double(c: Column) -> Column:
     )
 
 
-def wide_sum(cents: Column) -> Column:
-    """Sum of 64-bit cents that may be saturated, itself held to 64 bits.
-
-    Ordinary cents are added as 64-bit numbers; the few beyond 10 trillion dollars as decimals.
-    """
+def wide_parts(cents: Column) -> tuple[Column, Column]:
+    """64-bit cents that may be saturated, in two columns to be added up apart: ordinary ones as 64-bit
+    numbers, the few beyond 10 trillion dollars as decimals."""
     ordinary = F.abs(F.greatest(cents, F.lit(-MAX_LONG))) < F.lit(10**15)
-    plain = F.sum(F.when(ordinary, cents))
-    beyond = F.sum(F.when(~ordinary, cents.cast("decimal(20,0)")))
-    total = F.coalesce(plain.cast("decimal(38,0)"), beyond * 0) + F.coalesce(beyond, F.lit(0).cast("decimal(20,0)"))
+    return F.when(ordinary, cents), F.when(~ordinary, cents.cast("decimal(20,0)"))
+
+
+def wide_total(ordinary: Column, beyond: Column) -> Column:
+    """The sums of ``wide_parts`` as one total, held to 64 bits; NULL when neither has a value."""
+    beyond = beyond.cast("decimal(38,0)")
+    total = F.coalesce(ordinary.cast("decimal(38,0)"), beyond * 0) + F.coalesce(beyond, F.lit(0).cast("decimal(38,0)"))
     return F.greatest(F.least(total, F.lit(MAX_LONG)), F.lit(-MAX_LONG - 1)).cast("bigint")
 
 
@@ -227,14 +229,20 @@ def parse_ts(c: Column) -> Column:
 
 
 def parse_ts_prefix(c: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` at the start of a text to a zone-free timestamp; whatever follows is
-    ignored, as in ``2010-01-01 00:01:00.0``. Impossible dates give NULL."""
+    """``yyyy-MM-dd HH:mm:ss`` at the start of a text to a zone-free timestamp, read leniently.
+
+    Whatever follows is ignored, as in ``2010-01-01 00:01:00.0``. Numbers beyond a field's range carry
+    over into the next larger one: ``2001-02-30`` is 2 March, month 13 is January of the next year, and
+    day 0 is the last of the month before. Fields of more than six digits give NULL.
+    """
     t = F.coalesce(c, F.lit(""))
     canonical = t.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?![0-9])")
-    pattern = r"\A([0-9]+)-([0-9]+)-([0-9]+) ([0-9]+):([0-9]+):([0-9]+)"
-    part = lambda i: F.regexp_extract(t, pattern, i).try_cast("int")
-    loose = F.when(part(6).between(0, 59), F.try_make_timestamp_ntz(*[part(i) for i in range(1, 7)]))
-    return F.when(canonical, t.substr(1, 19).try_cast("timestamp_ntz")).otherwise(loose)
+    pattern = r"\A([0-9]{1,6})-([0-9]{1,6})-([0-9]{1,6}) ([0-9]{1,6}):([0-9]{1,6}):([0-9]{1,6})(?![0-9])"
+    year, month, day, hour, minute, second = (F.regexp_extract(t, pattern, i).try_cast("int") for i in range(1, 7))
+    months = year * 12 + month - 1
+    first = F.try_make_timestamp_ntz(F.floor(months / 12).cast("int"), months % 12 + 1, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    lenient = F.try_add(first, F.make_dt_interval(day - 1, hour, minute, second.cast("decimal(18,6)")))
+    return F.coalesce(F.when(canonical, t.substr(1, 19).try_cast("timestamp_ntz")), lenient)
 
 
 def epoch_ms(ts: Column) -> Column:

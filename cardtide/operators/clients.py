@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import ClientRiskRules
 from ..functions import clean
-from .profiles import bucket_counts, hotspots, owner_profile, state_rollup, with_shares
+from .profiles import Measure, bucket_counts, hotspots, owner_profile, state_rollup, with_shares
 
 
 def client_channel_profile(df: DataFrame) -> DataFrame:
@@ -25,10 +25,10 @@ def client_channel_profile(df: DataFrame) -> DataFrame:
     )
     readable = F.col("cents").isNotNull()
     profile = owner_profile(rows, "client_id", readable, {
-        "online": F.count_if(readable & F.col("is_online")),
-        "errors": F.count_if(readable & F.col("is_error")),
-        "sum_cents": F.sum("cents"),
-        "max_cents": F.max("cents"),
+        "online": Measure(F.count_if(readable & F.col("is_online"))),
+        "errors": Measure(F.count_if(readable & F.col("is_error"))),
+        "sum_cents": Measure(F.sum("cents")),
+        "max_cents": Measure(F.max("cents"), F.max),
     })
     tx = F.col("tx")
     return profile.select(

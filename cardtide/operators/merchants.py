@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import MerchantRules
 from ..functions import clean
 from .categories import top_per_group
-from .profiles import Leading, hotspots, owner_profile, state_rollup, with_shares
+from .profiles import Leading, Measure, hotspots, owner_profile, state_rollup, with_shares
 
 
 def merchant_profile(df: DataFrame) -> DataFrame:
@@ -27,13 +27,16 @@ def merchant_profile(df: DataFrame) -> DataFrame:
         clean.has_error(F.col("errors"), "none_na").alias("is_error"),
     )
     readable = F.col("cents").isNotNull()
+    ordinary, beyond = clean.wide_parts(F.col("cents"))
     profile = owner_profile(rows, "merchant_id", readable, {
-        "sum_cents": clean.wide_sum(F.col("cents")),
-        "max_cents": F.max("cents"),
-        "errors": F.count_if(readable & F.col("is_error")),
-        "online": F.count_if(readable & F.col("is_online")),
+        "ordinary": Measure(F.sum(ordinary)),
+        "beyond": Measure(F.sum(beyond)),
+        "max_cents": Measure(F.max("cents"), F.max),
+        "errors": Measure(F.count_if(readable & F.col("is_error"))),
+        "online": Measure(F.count_if(readable & F.col("is_online"))),
     })
     tx = F.col("tx")
+    profile = profile.withColumn("sum_cents", clean.wide_total(F.col("ordinary"), F.col("beyond")))
     return profile.where(F.col("state") != "").select(
         "merchant_id", "tx", "sum_cents",
         F.greatest(F.col("max_cents"), F.lit(0)).alias("max_cents"),

@@ -1,12 +1,13 @@
 """Building blocks of the client and merchant profiles.
 
-A profile is one aggregation by owner: its partial results merge, so an owner with a large share of
-all rows is reduced on the map side, and one exchange brings the partial results together. Its
-state is bounded by the distinct states and cities the owner was seen at.
+A profile is reduced by owner and place first, in hash aggregates whose partial results merge, so raw
+rows are never sorted and an owner with a large share of them is reduced on the map side. The
+predominant state and city are then found among an owner's places, not among its rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,19 +20,41 @@ BUCKETS = ("LOW", "MED", "HIGH")
 SALTS = 256
 
 
-def owner_profile(rows: DataFrame, owner: str, counted: Column, measures: dict[str, Column]) -> DataFrame:
+class Measure(NamedTuple):
+    """An aggregate over rows, and how its results for parts of the rows are merged."""
+    over_rows: Column
+    merged: Callable[[Column], Column] = F.sum
+
+
+def predominant(value: Column, n: Column) -> Column:
+    """The value of the largest ``n`` among the rows of a group, the smallest one on ties; rows whose
+    ``n`` is NULL take no part. An aggregate over rows that are counted per value already."""
+    return F.min(F.when(n.isNotNull(), F.struct((-n).alias("order"), value.alias("value"))))["value"]
+
+
+def owner_profile(rows: DataFrame, owner: str, counted: Column, measures: dict[str, Measure]) -> DataFrame:
     """One row per owner: ``tx`` (rows for which ``counted`` holds), the measures, and the
     predominant ``state`` and ``city`` of those rows, the smallest on ties.
 
-    ``rows`` has the cleaned owner, state and city. Owners without a counted row or a name are left out.
+    ``rows`` has the cleaned owner, state and city. Owners without a counted row or a name are left
+    out. Rows are counted per (owner, state, city), these per (owner, state) and (owner, city), and
+    those decide the owner's two votes; each step sees only what the one before has reduced.
     """
-    predominant = lambda c: F.mode(F.when(counted, F.col(c)), True).alias(c)
-    profile = rows.groupBy(owner).agg(
-        F.count_if(counted).alias("tx"),
-        *[measure.alias(name) for name, measure in measures.items()],
-        predominant("state"), predominant("city"),
-    )
-    return profile.where((F.col("tx") > 0) & (F.col(owner) != ""))
+    measures = {"tx": Measure(F.count_if(counted)), **measures}
+    named = lambda merge: [merge(name, m).alias(name) for name, m in measures.items()]
+    places = rows.groupBy(owner, "state", "city").agg(*named(lambda _, m: m.over_rows))
+    places = places.where((F.col("tx") > 0) & (F.col(owner) != ""))
+    # Measures travel with the state; the city's entry has its number of rows alone.
+    ballot = lambda kind, *values: F.struct(F.lit(kind).alias("is_state"), F.col("state" if kind else "city").alias("value"), F.col("tx").alias("n"), *values)
+    by_state = ballot(True, *[F.col(name) for name in measures])
+    by_city = ballot(False, *[F.lit(None).cast(places.schema[name].dataType).alias(name) for name in measures])
+    votes = places.select(owner, F.inline(F.array(by_state, by_city)))
+    values = votes.groupBy(owner, "is_state", "value").agg(
+        F.sum("n").alias("n"), *named(lambda name, m: m.merged(F.col(name))))
+    of = lambda test: predominant(F.col("value"), F.when(test, F.col("n")))
+    return values.groupBy(owner).agg(
+        *named(lambda name, m: m.merged(F.col(name))),
+        of(F.col("is_state")).alias("state"), of(~F.col("is_state")).alias("city"))
 
 
 def high_cities(classified: DataFrame, bucket: str, out: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import RfmRules
 from ..functions import clean
-from .profiles import bucket_counts, hotspots, owner_profile, state_rollup, with_shares
+from .profiles import Measure, bucket_counts, hotspots, owner_profile, state_rollup, with_shares
 
 
 def _reference_day(rules: RfmRules) -> Column:
@@ -34,8 +34,8 @@ def rfm_client(df: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
     valid = F.col("ts").isNotNull() & F.col("cents").isNotNull()
     cents = F.when(valid, F.col("cents"))
     profile = owner_profile(rows, "client_id", valid, {
-        "sum_cents": F.sum(cents),
-        "last_ts": F.max(F.when(valid, F.col("ts"))),
+        "sum_cents": Measure(F.sum(cents)),
+        "last_ts": Measure(F.max(F.when(valid, F.col("ts"))), F.max),
     })
     recency = F.date_diff(_reference_day(rules), F.col("last_ts").cast("date"))
     return profile.select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clean, fixed
-from .categories import numbered, top_per_group, totals_with_leaders
+from .categories import numbered
 
 
 # Amounts below this are added up as decimals, exactly; the few others as doubles.
@@ -37,13 +39,12 @@ def client_risk_profile(df: DataFrame, *extra: Column) -> DataFrame:
 
     ``total`` (of absolute amounts) and ``avg`` are rounded half up to two decimals; the scoring
     reads them that way. Sums are decimals, so they do not depend on the order partitions are added
-    up in. Cities and codes are bounded by their dimensions and gathered as sets; cards are not, so
-    they are counted over (client, card) keys, which also spreads a client holding most rows, before
-    a second exchange brings the client together. ``extra`` are further aggregates over the rows.
+    up in. Cities, codes and cards are counted over (client, value) keys, which stay in hash
+    aggregates and spread a client that holds most rows, before a second exchange brings the client
+    together. ``extra`` are further aggregates over the rows.
     """
     valid = F.col("valid")
-    distinct = lambda c, *blanks: F.size(F.collect_set(F.when(valid & ~F.col(c).isin(*blanks), F.col(c)))).cast("bigint").alias(out[c])
-    out = {"city": "cities", "code": "mccs"}
+    distinct = lambda c, *blanks: F.count_distinct(F.when(valid & ~F.col(c).isin(*blanks), F.col(c)))
     profile = risk_rows(df).groupBy("client_id").agg(
         F.count_if(valid).alias("tx"),
         F.sum(F.when(valid, F.col("exact"))).alias("exact"),
@@ -54,8 +55,8 @@ def client_risk_profile(df: DataFrame, *extra: Column) -> DataFrame:
         F.count_if(valid & ~F.col("is_online")).alias("swipe"),
         F.count_if(valid & F.col("is_error")).alias("errors"),
         F.count_if(valid & (F.col("amount") < 0)).alias("chargebacks"),
-        distinct("city", "", fixed.ONLINE),
-        distinct("code", ""),
+        distinct("city", "", fixed.ONLINE).alias("cities"),
+        distinct("code", "").alias("mccs"),
         F.count_distinct(F.when(valid, F.col("card"))).alias("cards"),
         *extra,
     )
@@ -143,25 +144,41 @@ def risk_score(profile: DataFrame) -> DataFrame:
     return with_score(named).select("client_id", "category", "score", "factors", "tx", "total")
 
 
+_LEADER = ("score", "tx", "total", "factors")
+
+
+def _leading(risks: DataFrame, k: int) -> DataFrame:
+    """The ``k`` rows of highest score of each category, equal scores by client id.
+
+    The categories are fixed, so each is a bounded top-k of its own: every task keeps ``k`` rows while
+    it reads, and ``k`` rows of each task are merged. No row is sorted beyond that. ``risks`` is read
+    once per category, so it should be a written table.
+    """
+    best = [
+        risks.where(F.col("category") == name).orderBy(F.desc("score"), "client_id").limit(k)
+        for name, *_ in fixed.RISK_CATEGORIES]
+    rows = reduce(DataFrame.unionAll, best)
+    entry = F.struct((-F.col("score")).alias("worst"), "client_id", *_LEADER)
+    return rows.groupBy("category").agg(F.array_sort(F.collect_list(entry)).alias("leaders"))  # k per category
+
+
 def top_risk_clients(risks: DataFrame, k: int = 10) -> DataFrame:
     """``category, rank, client_id, score, tx, total, factors``: highest scores per category."""
-    top = top_per_group(risks, ["category"], [F.desc("score"), F.asc("client_id")], k)
-    return top.select("category", "rank", "client_id", "score", "tx", "total", "factors")
+    ranked = _leading(risks, k).select("category", F.inline(numbered("leaders", ["client_id", *_LEADER])))
+    return ranked.select("category", "rank", "client_id", *_LEADER)
 
 
-def risk_report(risks: DataFrame, k: int = 10, salts: int = 256) -> DataFrame:
+def risk_report(risks: DataFrame, k: int = 10) -> DataFrame:
     """Clients, mean score, total and mean amount, mean transactions and top clients per category,
-    most severe category first; one pass over the scored clients, each category in ``salts`` parts."""
-    ordered = risks.withColumn("worst", -F.col("score"))
-    totals = {
-        "clients": F.count("*"),
-        "points": F.sum("score"),
-        "dollars": F.sum(F.when(F.abs("total") < _EXACT_BELOW, F.col("total")).try_cast("decimal(28,2)")),
-        "huge": F.sum(F.when(~(F.abs("total") < _EXACT_BELOW), F.col("total"))),
-        "transactions": F.sum("tx"),
-    }
-    fields = ["score", "tx", "total", "factors"]
-    merged = totals_with_leaders(ordered, "category", "client_id", ["worst", "client_id"], fields, totals, k, salts=salts)
+    most severe category first. Totals are partial aggregates, leaders bounded lists. ``risks`` is
+    read once for the totals and once per category: hand in a stage, not a plan still to be computed."""
+    merged = risks.groupBy("category").agg(
+        F.count("*").alias("clients"),
+        F.sum("score").alias("points"),
+        F.sum(F.when(F.abs("total") < _EXACT_BELOW, F.col("total")).try_cast("decimal(28,2)")).alias("dollars"),
+        F.sum(F.when(~(F.abs("total") < _EXACT_BELOW), F.col("total"))).alias("huge"),
+        F.sum("tx").alias("transactions"),
+    ).join(_leading(risks, k), "category")
     amount = F.coalesce(F.col("dollars").cast("double"), F.lit(0.0)) + F.coalesce("huge", F.lit(0.0))
     report = merged.select(
         "category", "clients",
@@ -169,6 +186,6 @@ def risk_report(risks: DataFrame, k: int = 10, salts: int = 256) -> DataFrame:
         amount.alias("total_amount"),
         (amount / F.col("clients")).alias("avg_amount"),
         (F.col("transactions") / F.col("clients")).alias("avg_tx"),
-        numbered("leaders", ["client_id", *fields]).alias("top_clients"),
+        numbered("leaders", ["client_id", *_LEADER]).alias("top_clients"),
     )
     return report.orderBy(F.desc(clean.severity_rank(F.col("category"))))

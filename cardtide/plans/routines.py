@@ -1,9 +1,10 @@
 """The 15 analyses end to end: read lines, compute the table, write the report.
 
 Each entry names its CSV dialect, the profile stage shared by its outputs (if any), the result
-table, the report lines and their order. Without a stage path an analysis is one lazy plan. With
-one, the profile is written there as a typed table first and everything after reads it, which
-also bounds what must be recomputed when executors are lost.
+table, the report lines and their order. Without a stage path an analysis is one lazy plan, except
+where the result reads its stage several times: that is a table in the shared folder then. With a
+path, the profile is written there as a typed table first and everything after reads it, which also
+bounds what must be recomputed when executors are lost.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ClientRiskRules, MerchantRules, RfmRules
 from ..operators import categories, city, clients, merchants, rfm, risk, totals
 from ..sinks import files as sink, render
+from ..sinks.stages import session_stages
 from ..sources.lines import read_transactions
 
 Properties = Mapping[str, str]
@@ -29,6 +31,7 @@ class Routine:
     stage: Callable[[DataFrame, Properties], DataFrame] | None = None
     order: tuple[str, ...] = ("key",)
     mode: str = "errorifexists"
+    read_often: bool = False
 
 
 def _client_stage(df: DataFrame, p: Properties) -> DataFrame:
@@ -88,7 +91,7 @@ ROUTINES: dict[str, Routine] = {
     "risk_analysis": Routine(
         "naive", stage=lambda df, p: risk.risk_score(risk.client_risk_profile(df)),
         table=lambda r, p: risk.risk_report(r), lines=render.render_risk_report,
-        order=("severity",), mode="overwrite"),
+        order=("severity",), mode="overwrite", read_often=True),
 }
 
 
@@ -101,6 +104,8 @@ def result_table(spark: SparkSession, name: str, *inputs: str, properties: Prope
         df = routine.stage(df, properties)
         if stage:
             df = sink.write_table(df, stage, routine.mode)
+        elif routine.read_often:
+            df = session_stages(spark).keep(df, name)
     return routine.table(df, properties)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def write_report(lines: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists",
@@ -20,6 +20,35 @@ def write_report(lines: DataFrame, path: str, files: int | None = None, mode: st
     lines.select(F.concat_ws("\t", "key", "text").alias("value")).write.mode(mode).text(path)
 
 
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """``part, line, position, text`` of a written report: the number of the file and of the line in it,
+    and the line's place when the files are read one after the other.
+
+    Lines are numbered by where their split of the file starts and their place in it; each file is
+    numbered on its own, and only one number per file meets in one task.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("text"), F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    line = F.row_number().over(Window.partitionBy("part").orderBy("start", "at"))
+    numbered = lines.select("part", line.cast("long").alias("line"), "text")
+    sizes = numbered.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    return numbered.join(starts, "part").select("part", "line", (F.col("before") + F.col("line")).alias("position"), "text")
+
+
+def write_lines(lines: DataFrame, path: str, files: int, header: str | None = None) -> None:
+    """Raw lines as ``files`` folders of text files, each starting with ``header`` where given."""
+    number = F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("file")
+    body = lines.select(number, F.lit(1).alias("body"), "value")
+    if header is not None:
+        heads = lines.sparkSession.range(files).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("body"), F.lit(header).alias("value"))
+        body = body.unionAll(heads)
+    sorted_ = body.repartition(files, "file").sortWithinPartitions("file", "body")
+    sorted_.select("file", "value").write.partitionBy("file").text(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Write a typed table and return it as read back, so later steps do not recompute it."""
     df.write.mode(mode).parquet(path)

@@ -18,7 +18,7 @@ _MARK, _ESCAPE = "\u0001", "\u0002"
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Text files, directories or globs as one ``value`` column, one row per line."""
-    return spark.read.text(list(paths))
+    return spark.read.text(list(paths)).select("value")
 
 
 def is_header(line: Column, mode: str = "id_field") -> Column:

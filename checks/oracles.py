@@ -97,11 +97,12 @@ t AS (SELECT *,
    cast(round(dollars*100) AS bigint) AS cents,
    CASE WHEN amount LIKE '%"%' THEN NULL ELSE try_cast(replace(trim(amount),'$','') AS double) END AS amt,
    try_cast(CASE WHEN regexp_full_match(date,'[0-9]+-[0-9]+-[0-9]+ [0-9:]+') THEN date END AS timestamp) AS ts,
-   try_cast(regexp_extract(date,'^[0-9]+-[0-9]+-[0-9]+ [0-9]+:[0-9]+:[0-9]+') AS timestamp) AS ts_k,
+   make_timestamp(d6[1],1,1,0,0,0.0)+to_months(d6[2]-1)+to_days(d6[3]-1)+to_hours(d6[4])+to_minutes(d6[5])+to_seconds(d6[6]) AS ts_k,
    ee<>'' AND upper(trim(ee))<>'NO_ERROR' AS err_m, trim(errors)<>'' AS err_c,
    upper(trim(ee)) NOT IN ('','NONE','N/A') AS err_r, trim(errors) NOT IN ('','N/A') AND lower(trim(errors))<>'null' AS err_k,
    uu='ONLINE TRANSACTION' AS on_c, uu IN ('ONLINE TRANSACTION','ONLINE') AS on_m, contains(use_chip,'Online') AS on_k
-   FROM (SELECT *, try_cast(split_part(split_part(trim(date),' ',2),':',1) AS int) AS hh FROM q))"""
+   FROM (SELECT *, try_cast(split_part(split_part(trim(date),' ',2),':',1) AS int) AS hh,
+     [try_cast(nullif(part,'') AS int) FOR part IN regexp_extract_all(regexp_extract(date,'^[0-9]+-[0-9]+-[0-9]+ [0-9]+:[0-9]+:[0-9]+'),'[0-9]+')] AS d6 FROM q))"""
 
 
 _T = _cleaned(_PLAIN)
@@ -544,3 +545,39 @@ ORACLES: dict[str, str] = {
     "report_risk_score": _sel(_RISK, f"SELECT category AS key, concat_ws('\t',client_id,concat(score,'.00'),factors,tx,{_money('tc')}) AS text FROM risks"),
     "report_risk": _sel(_TOP_RISK, f"SELECT category AS key, {_RISK_BLOCK} AS text FROM rep"),
 }
+
+
+def _placed(sql: str, order: str) -> str:
+    """The statement's rows with their position in an order."""
+    chain, _, body = sql.rpartition("\nSELECT")
+    return f"{chain}\nSELECT *, row_number() OVER (ORDER BY {order}) AS position FROM (SELECT{body})"
+
+
+_RANKED = {
+    "city_statistics": "tx DESC, total_cents DESC, city", "city_time_period": "total DESC, greatest(morning,afternoon,night) DESC, city",
+    "top_categories": "total DESC, city", "client_risk_by_state": "high::DOUBLE/total DESC, state",
+    "client_risk_profile": "total DESC, tx DESC, client_id", "client_risk": "score DESC, client_id",
+}
+_SEVERITY = "CASE key WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END"
+_OWN_ORDER = {"report_risk": f"{_SEVERITY}, text"}
+ORACLES |= {f"ranked_{name}": _placed(ORACLES[f"ranked_{name}"], order) for name, order in _RANKED.items()}
+ORACLES |= {name: _placed(sql, _OWN_ORDER.get(name, "key, text")) for name, sql in ORACLES.items() if name.startswith("report_")}
+ORACLES["report_top_categories_by_city_period"] = _sel(
+    _top(_CITY_PERIOD, "city, period"), f"""SELECT key, text, row_number() OVER (ORDER BY city, {_PERIOD_ORDER}) AS position
+ FROM (SELECT city, period, {_PERIOD_LABEL} AS key, {_TOP_TEXT} AS text FROM top GROUP BY city, period)""")
+
+
+def _in_files(chain: str, key: str, text: str) -> str:
+    return _sel(chain, f"SELECT row_number() OVER (ORDER BY {key}) AS position, concat({key},'\t',{text}) AS text FROM agg")
+
+
+ORACLES |= {f"{name}_from_files": ORACLES[f"{name}_from_lines"] for name in ("amount_by_city", "amount_by_client", "client_risk")}
+ORACLES |= {
+    f"{name}_staged": ORACLES[name] for name in ("client_risk_by_state", "merchant_health_by_state", "rfm_by_state")}
+ORACLES |= {
+    "top_categories_by_city_period_staged": _sel(_top(_CITY_PERIOD, "city, period"), "SELECT * FROM top"),
+    "report_in_one_file": _sel(_BY_CITY, f"SELECT 0 AS part, row_number() OVER (ORDER BY city) AS line, concat(city,'\t',{_money('total_cents')}) AS text FROM agg"),
+    "report_in_three_files": _in_files(_BY_CLIENT, "client_id", _money("total_cents")),
+    "report_in_any_files": _in_files(_BY_MCC, "mcc", "cast(errors AS string)"),
+    "report_written_over": _in_files(_BY_STATE, "state", "cast(tx AS string)"),
+}

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardtide.functions import clean
+from cardtide.functions import clean, fixed
 from cardtide.operators import categories, city, clients, keyed, merchants, quality, rfm, risk, summaries, totals, words
-from cardtide.sinks import render
-from cardtide.sources.lines import parse_house_lines, parse_transactions
+from cardtide.operators.positions import positioned
+from cardtide.sinks import files, render
+from cardtide.sinks.stages import session_stages
+from cardtide.sources.lines import parse_house_lines, parse_transactions, read_transactions
 from cardtide.sources.star import card_lines, card_transactions, house_lines, read_table
 
 from . import rules
@@ -60,6 +62,10 @@ def _spots(count: str) -> Callable[[Column], Column]:
     return lambda s: F.format_string("%d. %s: %d", s["rank"], s["city"], s[count])
 
 
+def _leader_entry(m: Column) -> Column:
+    return F.format_string("%d. %s: %d (%s, %s)", m["rank"], m["merchant_id"], m["sum_cents"], m["health"], m["risk"])
+
+
 def _classified_clients(df: DataFrame) -> DataFrame:
     return clients.classify_client_risk(clients.client_channel_profile(df), rules.CLIENT)
 
@@ -149,12 +155,49 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.word_count(read_table(spark, sf_dir, "documents"), "text")
 
 
-def _ordered(order: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: summaries.ranked(df, order)
+def _staged(df: DataFrame) -> DataFrame:
+    """The typed hand-off between two jobs."""
+    return session_stages(df.sparkSession).keep(df, "stage")
+
+
+def _ordered(order: str, *ties: str) -> Callable[[DataFrame], DataFrame]:
+    """A declared order with the position of each row; equal rows go by the columns named last."""
+    def step(df: DataFrame) -> DataFrame:
+        by = [*summaries.ORDERS[order](), *map(F.asc, ties)]
+        return positioned(df, by, session_stages(df.sparkSession)).orderBy("position")
+    return step
 
 
 def _report(df: DataFrame) -> DataFrame:
-    return df.select("key", "text")
+    """Report lines with their position: by the report's own order where it has one, else by key."""
+    own = [c for c in ("severity", "city", "period_order") if c in df.columns]
+    placed = positioned(df, [F.asc(c) for c in [*(own or ["key"]), "text"]], session_stages(df.sparkSession))
+    return placed.select("key", "text", "position").orderBy("position")
+
+
+def _from_files(dialect: str, *steps: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query over real text files: the raw lines written to several files, each with a header."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = session_stages(spark).path("lines")
+        files.write_lines(card_lines(spark, sf_dir), path, 6, ",".join(fixed.COLUMNS))
+        df = read_transactions(spark, path, dialect=dialect)
+        for step in steps:
+            df = step(df)
+        return df
+    return query
+
+
+def _written(count: int | None, again: bool = False) -> Callable[[DataFrame], DataFrame]:
+    """A report written to ``count`` files (None: as many as Spark chooses) and read back; with
+    ``again`` it replaces another report."""
+    def step(df: DataFrame) -> DataFrame:
+        path = session_stages(df.sparkSession).path("report")
+        if again:
+            files.write_report(df.limit(1), path, 1)
+        files.write_report(df, path, count, "overwrite" if again else "errorifexists")
+        back = files.read_report(df.sparkSession, path)
+        return back.select("part", "line", "text") if count == 1 else back.select("position", "text")
+    return step
 
 
 def _counts(by: str) -> Callable[[DataFrame], DataFrame]:
@@ -177,6 +220,26 @@ QUERIES: dict[str, Query] = {
     "amount_by_city_from_lines": _on_lines(_parse("toggle"), totals.amount_by_city),
     "amount_by_client_from_lines": _on_lines(_parse("even_quotes"), totals.amount_by_client),
     "client_risk_from_lines": _on_lines(_parse("naive"), _risks),
+    # real files
+    "amount_by_city_from_files": _from_files("toggle", totals.amount_by_city),
+    "amount_by_client_from_files": _from_files("even_quotes", totals.amount_by_client),
+    "client_risk_from_files": _from_files("naive", _risks),
+    "report_in_one_file": _on(_CITY_AMOUNT, totals.amount_by_city, lambda d: render.render_amount(d, "city"), _written(1)),
+    "report_in_three_files": _on(
+        ("amount", "client_id"), totals.amount_by_client, lambda d: render.render_amount(d, "client_id"), _written(3)),
+    "report_in_any_files": _on(
+        ("mcc", "errors"), totals.error_count_by_mcc, lambda d: render.render_count(d, "mcc", "errors"), _written(None)),
+    "report_written_over": _on(_STATE, totals.count_by_state, lambda d: render.render_count(d, "state", "tx"), _written(2, again=True)),
+    # two jobs with a typed stage between them
+    "top_categories_by_city_period_staged": _on(
+        _CITY_PERIOD, categories.city_period_category_counts, _staged, lambda d: categories.top_categories(d, ["city", "period"])),
+    "client_risk_by_state_staged": _on(
+        _CLIENT, _classified_clients, _staged, clients.client_risk_by_state, lambda d: _flat(d, hotspots=_spots("clients"))),
+    "merchant_health_by_state_staged": _on(
+        _MERCHANT, _classified_merchants, _staged, _merchant_states,
+        lambda d: _flat(d, hotspots=_spots("merchants"), top_merchants=_leader_entry)),
+    "rfm_by_state_staged": _on(
+        _RFM, _classified_rfm, _staged, lambda d: rfm.rfm_by_state(d, rules.RFM), lambda d: _flat(d, hotspots=_spots("clients"))),
     # lookups
     "mcc_lookup": _on(("mcc",), categories.mcc_lookup),
     "state_lookup": _on(_STATE, totals.count_by_state, summaries.state_lookup),
@@ -209,8 +272,7 @@ QUERIES: dict[str, Query] = {
         _MERCHANT, merchants.merchant_profile, lambda d: merchants.classify_merchant_risk(d, rules.MERCHANT)),
     "merchant_health_by_state": _on(
         _MERCHANT, _classified_merchants, _merchant_states,
-        lambda d: _flat(d, hotspots=_spots("merchants"), top_merchants=lambda m: F.format_string(
-            "%d. %s: %d (%s, %s)", m["rank"], m["merchant_id"], m["sum_cents"], m["health"], m["risk"]))),
+        lambda d: _flat(d, hotspots=_spots("merchants"), top_merchants=_leader_entry)),
     "top_merchants_by_state": _on(_MERCHANT, _classified_merchants, merchants.top_merchants_by_state),
     "merchant_hotspots": _on(_MERCHANT, _classified_merchants, merchants.merchant_hotspots),
     # recency, frequency, monetary value
@@ -223,9 +285,9 @@ QUERIES: dict[str, Query] = {
     # scored risk
     "client_risk_profile": _on(_RISK, risk.client_risk_profile),
     "risk_score": _on(_RISK, _risks),
-    "top_risk_clients": _on(_RISK, _risks, risk.top_risk_clients),
+    "top_risk_clients": _on(_RISK, _risks, _staged, risk.top_risk_clients),
     "risk_report": _on(
-        _RISK, _risks, risk.risk_report,
+        _RISK, _risks, _staged, risk.risk_report,
         lambda d: _flat(d, top_clients=lambda c: F.format_string(
             "%d. %s %d %d %.2f", c["rank"], c["client_id"], c["score"], c["tx"], c["total"]))),
     # text and composite keys
@@ -250,13 +312,13 @@ QUERIES: dict[str, Query] = {
     "summary_city_period": _on(_CITY_PERIOD, categories.city_period_category_counts, summaries.summary_city_period),
     "period_totals": _on(_CITY_PERIOD, categories.city_period_category_counts, summaries.period_totals),
     # declared orders
-    "ranked_city_statistics": _on(_CITY_AMOUNT, city.city_statistics, _ordered("city_statistics")),
-    "ranked_city_time_period": _on(_PERIOD, city.city_time_period, _ordered("city_time_period")),
+    "ranked_city_statistics": _on(_CITY_AMOUNT, city.city_statistics, _ordered("city_statistics", "city")),
+    "ranked_city_time_period": _on(_PERIOD, city.city_time_period, _ordered("city_time_period", "city")),
     "ranked_top_categories": _on(
         ("merchant_city", "mcc"), categories.top_categories_by_city,
-        lambda d: render.render_top_categories(d, ["city"]), _ordered("top_categories")),
+        lambda d: render.render_top_categories(d, ["city"]), _ordered("top_categories", "city")),
     "ranked_client_risk_by_state": _on(
-        _CLIENT, _classified_clients, clients.client_risk_by_state, lambda d: d.drop("hotspots"), _ordered("client_risk_by_state")),
+        _CLIENT, _classified_clients, clients.client_risk_by_state, lambda d: d.drop("hotspots"), _ordered("client_risk_by_state", "state")),
     "ranked_client_risk_profile": _on(_RISK, risk.client_risk_profile, _ordered("client_risk_profile")),
     "ranked_client_risk": _on(_RISK, _risks, _ordered("client_risk")),
     # data quality
@@ -298,5 +360,5 @@ QUERIES: dict[str, Query] = {
     "report_client_risk_profile": _on(
         _RISK, risk.client_risk_profile, render.render_client_risk_profile, _report),
     "report_risk_score": _on(_RISK, _risks, render.render_client_risk_score, _report),
-    "report_risk": _on(_RISK, _risks, risk.risk_report, render.render_risk_report, _report),
+    "report_risk": _on(_RISK, _risks, _staged, risk.risk_report, render.render_risk_report, _report),
 }

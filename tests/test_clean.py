@@ -91,8 +91,13 @@ def test_timestamps(evaluate):
     assert dict(zip(cases, evaluate(clean.parse_ts, list(cases)))) == cases
     prefix = {
         "2010-01-01 00:01:00": at(2010, 1, 1, 0, 1), "2010-01-01 00:01": None, "2010-01-01 00:01:00.0": at(2010, 1, 1, 0, 1),
-        "2010-01-01 00:01:00Z": at(2010, 1, 1, 0, 1), "2010-1-2 5:7:9 x": at(2010, 1, 2, 5, 7, 9), "2010-02-30 00:01:00": None,
-        "x2010-01-01 00:01:00": None, "2010-01-01 00:01:60": None, "": None, None: None,
+        "2010-01-01 00:01:00Z": at(2010, 1, 1, 0, 1), "2010-1-2 5:7:9 x": at(2010, 1, 2, 5, 7, 9), "2010-02-30 00:01:00": at(2010, 3, 2, 0, 1),
+        "x2010-01-01 00:01:00": None, "2010-01-01 00:01:60": at(2010, 1, 1, 0, 2), "": None, None: None,
+        # numbers beyond a field's range carry over
+        "2001-02-30 18:00:00": at(2001, 3, 2, 18, 0), "2000-02-30 00:00:00": at(2000, 3, 1), "2010-13-01 00:00:00": at(2011, 1, 1),
+        "2010-00-10 00:00:00": at(2009, 12, 10), "2010-03-00 00:00:00": at(2010, 2, 28), "2010-01-01 24:00:00": at(2010, 1, 2),
+        "2010-12-31 23:59:61": at(2011, 1, 1, 0, 0, 1), "2010-25-400 30:70:80": at(2013, 2, 4, 7, 11, 20), "2010-1-1 0:0:9999999": None,
+        "10-01-01 00:00:00": at(10, 1, 1), "99999999-01-01 00:00:00": None,
     }
     assert dict(zip(prefix, evaluate(clean.parse_ts_prefix, list(prefix)))) == prefix
     assert evaluate(lambda c: clean.epoch_ms(clean.parse_ts(c)), ["2010-01-01 00:01:00"]) == [1262304060000]

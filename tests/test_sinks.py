@@ -3,6 +3,7 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardtide.__main__ import main
 from cardtide.config import ClientRiskRules, RfmRules
@@ -95,3 +96,62 @@ def test_compact_lines(spark):
     assert render.render_top_categories(top, ["city"], compact=True).first().text == "5411:3\t9:1"
     period = spark.createDataFrame([("A", 1, 0, 0, 1, "Manhã")], "city string, morning long, afternoon long, night long, total long, peak string")
     assert render.render_city_time_period(period, compact=True).first().text == "1\t0\t0\t1\tManhã"
+
+
+def test_positions_over_many_parts(spark):
+    """Skewed and repeated keys, descending order, empty table; no part sees more than its range."""
+    from cardtide.operators.positions import positioned
+    from cardtide.sinks.stages import Stages
+
+    rows = [(i % 7 if i % 3 else 3, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(9)
+    with Stages(spark) as stages:
+        got = positioned(df, [F.desc("k"), F.asc("v")], stages)
+        assert got.columns == ["k", "v", "position"]
+        placed = sorted((r.position, r.k, r.v) for r in got.collect())
+        assert placed == [(i + 1, k, v) for i, (k, v) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))]
+        ties = sorted((r.position, r.k) for r in positioned(df.select("k"), [F.asc("k")], stages).collect())
+        assert ties == [(i + 1, k) for i, k in enumerate(sorted(k for k, _ in rows))]
+        assert positioned(df.where("false"), [F.asc("k")], stages).count() == 0
+
+
+def test_stages_are_written_read_and_dropped(spark, tmp_path):
+    from cardtide.sinks.stages import Stages
+
+    df = spark.range(5).selectExpr("id", "cast(id as decimal(28,2)) d", "array(struct(id a, 'x' b)) s")
+    with Stages(spark, f"file://{tmp_path}") as stages:
+        kept, other = stages.keep(df, "one"), stages.keep(df, "one")
+        assert kept.dtypes == df.dtypes and kept.count() == other.count() == 5
+        assert len(list(tmp_path.glob("stages-*/one-*"))) == 2
+    assert not list(tmp_path.glob("stages-*"))
+
+
+@pytest.mark.parametrize("count", [1, 3, None])
+def test_reports_are_read_back_line_by_line(spark, tmp_path, count):
+    from cardtide.sinks.files import read_report, write_report
+
+    lines = spark.range(4000).selectExpr("lpad(id * 7919 % 4000, 5, '0') key", "repeat('x', cast(id % 50 as int)) text")
+    write_report(lines, f"{tmp_path}/r", count)
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # several splits of one file
+    try:
+        got = sorted((r.position, r.part, r.line, r.text[:5]) for r in read_report(spark, f"{tmp_path}/r").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert [g[3] for g in got] == [f"{i:05}" for i in range(4000)] and [g[0] for g in got] == list(range(1, 4001))
+    assert count is None or len({g[1] for g in got}) == count
+    for part in {g[1] for g in got}:
+        own = [g[2] for g in got if g[1] == part]
+        assert own == list(range(1, len(own) + 1))
+
+
+def test_lines_in_several_files_with_headers(spark, tmp_path):
+    from cardtide.sinks.files import write_lines
+    from cardtide.sources.lines import read_lines
+
+    write_lines(spark.range(900).selectExpr("concat('line ', id) value"), f"{tmp_path}/l", 5, "id,date")
+    files = sorted(tmp_path.glob("l/file=*/*.txt"))
+    texts = [f.read_text().splitlines() for f in files]
+    assert len(files) == 5 and all(t[0] == "id,date" and "id,date" not in t[1:] for t in texts)
+    back = read_lines(spark, f"{tmp_path}/l")
+    assert back.columns == ["value"] and back.count() == 905 and back.rdd.getNumPartitions() > 1
