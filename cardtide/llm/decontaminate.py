@@ -130,6 +130,7 @@ class Searcher:
                 if part.errors == 0:
                     pieces.setdefault(text[part.start:part.end], []).append(len(self.parts))
                 self.parts.append(part._replace(parent=parent))
+        self.roots = [i for i, part in enumerate(self.parts) if part.parent < 0]  # one per item, in their order
         self.automaton = ahocorasick.Automaton()
         for piece, holders in pieces.items():
             self.automaton.add_word(piece, (len(piece), holders))
@@ -163,16 +164,28 @@ class Searcher:
         if not self.items or not text:
             return []
         best: dict[int, tuple[int, int]] = {}
+        searched: dict[int, tuple[int, int]] = {}
         for last, (length, holders) in self.automaton.iter(text):
             start, end = last + 1 - length, last + 1
             for piece in holders:
-                item = self.parts[piece].item
-                known = best.get(item)
-                if known and (known[0] == 0 or start < known[1]):
-                    continue  # the piece lies in the match already found
-                hit = self._climb(text, piece, start, end)
-                if hit and (known is None or hit[0] < known[0]):
-                    best[item] = (hit[0], hit[2])
+                part = self.parts[piece]
+                item, root = part.item, self.roots[part.item]
+                known, errors = best.get(item), self.parts[root].errors
+                if known and known[0] == 0:
+                    continue
+                # Whatever match holds this piece lies between these two places.
+                low, high = start - part.start - errors, end + len(self.items[item][1]) - part.end + errors
+                done = searched.get(item)
+                if done and done[0] <= low and high <= done[1]:
+                    continue
+                if self._climb(text, piece, start, end) is None:
+                    continue
+                # The least distance around, far enough for the match's other pieces to lie inside.
+                low, high = low - errors, high + errors
+                distance, stop = self._pattern(root).best(text[max(0, low):high], errors)
+                searched[item] = (low, high)
+                if known is None or distance < known[0]:
+                    best[item] = (distance, max(0, low) + stop)
         out = []
         for item, (distance, end) in sorted(best.items()):
             item_id, whole = self.items[item]
@@ -215,8 +228,8 @@ def _free_of(search: Callable[[str], list[Match]]) -> Callable[[Column], Column]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id, item_id, distance, start, end, item_chars``: for every row and item the best match
-    within the budget; places are in the normalized text."""
+    """``doc_id, item_id, distance, start, end, item_chars``: for every row and item the match of least
+    distance within the budget, the first of equal ones as pieces are met; places are in the normalized text."""
     found = None
     for block in _blocks(items, block_chars):
         search = _searching(docs, block, rate)

@@ -3,11 +3,13 @@
 Every element is a variable: part of the article or of the page's frame. Its own evidence (tag, words
 of class and id, share of linked text, length) and the link to its parent are factors whose values
 are estimated from labelled pages. One pass of sum-product messages from the leaves to the root and
-one back give exact marginals; text whose nearest block has a marginal above one half is kept.
+one back give exact marginals; text whose nearest block has a marginal above one half is kept. Elements
+that can never be article (hidden ones such as icons and buttons, forms, menus) tell nothing about the
+element around them, so they send no message up.
 
 A null or empty page, and one without article, gives an empty text. Broken markup is read leniently
-(unclosed heads, paragraphs and items close as usual, unknown closing tags are ignored); nesting of any
-depth is handled without recursion. Repeated rows give repeated results; extra columns are ignored.
+(unclosed heads, paragraphs and items close as usual, unknown closing tags are ignored, a tag that never
+ends is text); pages of any length and nesting take time in proportion to their length. Repeated rows give repeated results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,12 +64,13 @@ _KINDS = {
 
 
 class Node:
-    __slots__ = ("tag", "parent", "names", "mark", "own", "length", "linked", "hidden")
+    __slots__ = ("tag", "parent", "names", "mark", "own", "length", "linked", "hidden", "block")
 
     def __init__(self, tag: str, parent: Node | None, names: frozenset[str], mark: bool | None) -> None:
         self.tag, self.parent, self.names, self.mark = tag, parent, names, mark
         self.own = self.length = self.linked = 0
         self.hidden = tag in _HIDDEN or (parent is not None and parent.hidden)
+        self.block: Node = self if parent is None or tag in _BLOCK else parent.block
 
 
 # Comments, declarations, elements whose content is no markup, tags; quotes in a tag may hold ">".
@@ -76,6 +79,8 @@ _TOKEN = re.compile(
     r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S | re.I)
+_RAW_END = re.compile(r"</[a-z]+\s*>\Z", re.I)
+_DECLARATION = re.compile(r"<[!?]")
 _ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
@@ -87,22 +92,20 @@ class _Tree:
         self.nodes = [self.root]
         self.texts: list[tuple[Node, str]] = []
         self.open = [self.root]
-        self.held = {"html": 1}  # open elements per tag
+        self.places = defaultdict(list, html=[0])  # where each tag is open, outermost first
 
     def _cut(self, i: int) -> None:
         for node in self.open[i:]:
-            self.held[node.tag] -= 1
+            self.places[node.tag].pop()
         del self.open[i:]
 
+    def _innermost(self, tags: set[str] | frozenset[str]) -> int:
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
     def _close(self, closing: set[str] | frozenset[str], until: set[str]) -> None:
-        if not any(self.held.get(tag) for tag in closing):
-            return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in until:
-                return
-            if self.open[i].tag in closing:
-                self._cut(i)
-                return
+        i = self._innermost(closing)
+        if i > self._innermost(until):
+            self._cut(i)
 
     def _add(self, tag: str, names: frozenset[str], mark: bool | None) -> Node:
         node = Node(tag, self.open[-1], names, mark)
@@ -110,7 +113,7 @@ class _Tree:
         return node
 
     def start(self, tag: str, attrs: str) -> None:
-        if self.held.get("head") and tag not in _IN_HEAD:
+        if self.places.get("head") and tag not in _IN_HEAD:
             self._close({"head"}, set())
         if tag == "br":
             self.texts.append((self.open[-1], " "))
@@ -131,15 +134,13 @@ class _Tree:
         node = self._add(tag, names, mark)
         node.hidden |= hidden
         if tag not in _VOID:
+            self.places[tag].append(len(self.open))
             self.open.append(node)
-            self.held[tag] = self.held.get(tag, 0) + 1
 
     def end(self, tag: str) -> None:
-        if tag != "html" and self.held.get(tag):
-            for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag == tag:
-                    self._cut(i)
-                    return
+        if tag != "html" and self.places.get(tag):
+            self._cut(self.places[tag][-1])
+            return
         if tag == "p":  # a closing tag alone makes an empty paragraph, so text before and after it is apart
             self._add("p", frozenset(), self.open[-1].mark)
             self.texts.append((self.nodes[-1], ""))
@@ -154,10 +155,14 @@ class _Tree:
 def parse(html: str) -> _Tree:
     """The tree of a page, with the lengths of text and linked text below every element."""
     tree, at = _Tree(), 0
-    for m in _TOKEN.finditer(html):
+    # No tag ends behind the last ">", so none is looked for there.
+    end, unclosed = html.rfind(">") + 1, False
+    for m in _TOKEN.finditer(html, 0, end):
         if m.start() > at:
             tree.text(html[at:m.start()])
         at = m.end()
+        if at == end:
+            unclosed = m[0].startswith("<!--") and not m[0].endswith("-->") or bool(m["raw"]) and not _RAW_END.search(m[0])
         tag = m["tag"] or m["tag2"]
         if tag is None:
             continue
@@ -165,7 +170,10 @@ def parse(html: str) -> _Tree:
             tree.end(tag.lower())
         else:
             tree.start(tag.lower(), m["attrs"] or m["attrs2"] or "")
-    tree.text(html[at:])
+    if not unclosed:
+        rest = html[at:]
+        opened = _DECLARATION.search(rest)
+        tree.text(rest[:opened.start()] if opened else rest)
     for node, text in tree.texts:
         if not node.hidden:
             node.own += len(text.strip())
@@ -209,10 +217,12 @@ def messages(nodes: list[Node], potentials: Potentials) -> tuple[list[float], li
     parent = [place[n.parent] if n.parent is not None else -1 for n in nodes]
     (e00, e01), (e10, e11) = np.exp(potentials.pair).tolist()
     weights = potentials.unary.get
-    below = [
-        _NEVER if node.hidden or node.tag in _FRAME_TAGS else sum(weights(e, 0.0) for e in evidence(node)) for node in nodes]
+    never = [node.hidden or node.tag in _FRAME_TAGS for node in nodes]
+    below = [_NEVER if fixed else sum(weights(e, 0.0) for e in evidence(node)) for node, fixed in zip(nodes, never)]
     up = [0.0] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):  # children stand after their parents
+        if never[i]:
+            continue
         odds = exp(min(max(below[i], -30.0), 30.0))
         up[i] = log((e10 + e11 * odds) / (e00 + e01 * odds))
         below[parent[i]] += up[i]
@@ -273,12 +283,6 @@ def marginals(nodes: list[Node], potentials: Potentials) -> dict[Node, float]:
     return {n: 1.0 / (1.0 + exp(-min(max(b, -30.0), 30.0))) for n, b in zip(nodes, messages(nodes, potentials)[0])}
 
 
-def _block_of(node: Node) -> Node:
-    while node.parent is not None and node.tag not in _BLOCK:
-        node = node.parent
-    return node
-
-
 def main_text(html: str, potentials: Potentials | None = None) -> str:
     """The article's blocks in page order, joined by a blank line."""
     if not html:
@@ -297,7 +301,7 @@ def main_text(html: str, potentials: Potentials | None = None) -> str:
     for node, text in tree.texts:
         if node.hidden:
             continue
-        block = _block_of(node)
+        block = node.block
         if block is not current:
             flush()
             current = block

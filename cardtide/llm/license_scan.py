@@ -191,8 +191,8 @@ def base_scan(lowered: bytes) -> tuple[int, list[tuple[int, str]]]:
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     hits = [(m.start(), label) for label, first, pattern in _BASE if first in lowered for m in pattern.finditer(lowered)]
-    places = [(int(np.count_nonzero(starts[:at])), label) for at, label in hits]
-    return int(np.count_nonzero(starts)), places
+    before = np.cumsum(starts)  # a hit begins at a word, which is the last one counted there
+    return int(np.count_nonzero(starts)), [(int(before[at]) - 1, label) for at, label in hits]
 
 
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "

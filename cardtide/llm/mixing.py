@@ -8,7 +8,11 @@ squares so that these totals match the targets: start at rate 1, step against th
 The gradient of a document's rate is its posterior times the domains' residuals, so a round only has
 to know one residual per domain. The rounds' residuals are all the state there is: a worker replays
 them for its rows, and a lost executor loses nothing. With residuals scaled by the domains' sizes a
-unit step never overshoots (the scaled problem's largest curvature is at most 1).
+unit step never overshoots (the scaled problem's largest curvature is at most 1). Rounds carry on part
+of the last move (Nesterov's momentum, dropped whenever the objective rises). They end when the targets
+are reached to TOLERANCE, or when CHECKED rounds lower the objective by less than SETTLED of it: then
+nonnegative rates come no closer. ``reached`` tells the totals the fit ended with; a fit that ROUNDS
+do not suffice for gives a warning.
 
 ``copies`` rounds a rate by a hash of the row, so that its mean is the rate and a rerun repeats it.
 Tokens are words between white space. A null or empty text has no tokens, the posterior of the bias
@@ -19,6 +23,7 @@ rates and copies each. Extra columns are ignored by ``document_rates`` and kept
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -37,8 +42,10 @@ _DOMAIN_OF = "case when toxic = 1 then 2 when quality = 1 then 1 when quality =
 WEIGHTS = (0.0, 0.96, 0.04)
 #: Labelled rows at most from which the classifier is fitted.
 SAMPLE = 8_000
-#: Rounds at most, and the summed residual (of shares) at which they end earlier.
-ROUNDS, TOLERANCE = 60, 5e-4
+#: Rounds at most, and the summed residual (of shares) at which the targets count as reached.
+ROUNDS, TOLERANCE = 600, 5e-4
+#: Rounds over which progress is judged, and the share of the objective they must gain.
+CHECKED, SETTLED = 20, 0.01
 
 _RATES = (("symbol", b"#*$%&|<>"), ("upper", bytes(range(65, 91))), ("bang", b"!"), ("pipe", b"|"), ("digit", b"0123456789"))
 _CLASS_OF = np.zeros((len(_RATES), 256), dtype=bool)
@@ -102,24 +109,31 @@ def with_posteriors(docs: DataFrame, model: DomainModel, text: str = "text") ->
         *docs.columns, F.col("_judged.tokens").alias("_tokens"), F.col("_judged.p").alias("_p"))
 
 
-def replayed_rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """Rates after the given rounds; a step is the scaled residual of each domain."""
-    rates = np.ones(len(p))
+class Step(NamedTuple):
+    """One round: the share of the last move that is carried on, and the scaled residual per domain."""
+    momentum: float
+    residual: np.ndarray
+
+
+def replayed_rates(p: np.ndarray, steps: list[Step]) -> np.ndarray:
+    """Rates after the given rounds."""
+    rates = last = np.ones(len(p))
     for step in steps:
-        rates = np.maximum(0.0, rates - p @ step)
+        rates, last = np.maximum(0.0, rates + step.momentum * (rates - last) - p @ step.residual), rates
     return rates
 
 
 class Plan(NamedTuple):
-    steps: list[np.ndarray]
-    reached: np.ndarray  # shares of the target total that the domains end with
+    steps: list[Step]
+    reached: np.ndarray  # shares of all tokens that the domains end with
     target: np.ndarray
+    converged: bool = True
 
     def rates(self, posteriors: pd.Series) -> np.ndarray:
         return replayed_rates(np.array(posteriors.tolist()).reshape(len(posteriors), len(self.target)), self.steps)
 
 
-def _shares(judged: DataFrame, steps: list[np.ndarray]) -> tuple[float, np.ndarray]:
+def _shares(judged: DataFrame, steps: list[Step]) -> tuple[float, np.ndarray]:
     """All tokens, and expected tokens per domain under the rates of the rounds so far."""
     width = len(DOMAINS)
 
@@ -146,12 +160,24 @@ def fit_rates(judged: DataFrame, weights: tuple[float, ...] = WEIGHTS, total: fl
     goal = np.array(weights) / sum(weights) * (total / all_tokens if total else 1.0)
     size = held / all_tokens
     usable = size > 1e-9
-    steps: list[np.ndarray] = []
-    reached = size
-    while len(steps) < rounds and np.abs((reached - goal)[usable]).sum() > tolerance:
+    scale = np.where(usable, np.maximum(size, 1e-9), np.inf)
+    objective = lambda at: float((np.square(at - goal) / scale).sum() / 2)
+    steps: list[Step] = []
+    reached, before, turn, values = size, size, 0, [objective(size)]
+    while np.abs((reached - goal)[usable]).sum() > tolerance:
+        if len(values) > CHECKED and min(values[-CHECKED:]) > (1 - SETTLED) * min(values[:-CHECKED]):
+            break
+        if len(steps) == rounds:
+            warnings.warn(f"{rounds} rounds do not suffice to fit the rates; shares reached: {reached.tolist()}", RuntimeWarning)
+            return Plan(steps, reached, goal, False)
+        # Totals are linear in the rates, so those of the point ahead need no job of their own.
+        momentum = turn / (turn + 3)
+        ahead = reached + momentum * (reached - before)
         # Residuals are rounded, so a step is the same whatever order the parts were summed in.
-        steps.append(np.where(usable, np.round((reached - goal) / np.maximum(size, 1e-9), 12), 0.0))
-        reached = _shares(judged, steps)[1] / all_tokens
+        steps.append(Step(momentum, np.round((ahead - goal) / scale, 12)))
+        reached, before = _shares(judged, steps)[1] / all_tokens, reached
+        values.append(objective(reached))
+        turn = 0 if values[-1] > values[-2] else turn + 1
     return Plan(steps, reached, goal)
 
 
@@ -163,15 +189,18 @@ def _with_copies(judged: DataFrame, plan: Plan, row_key: list[Column]) -> DataFr
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = WEIGHTS, total: float | None = None) -> DataFrame:
-    """``doc_id, tokens, p_<domain>..., rate, copies`` of every row."""
+    """``doc_id, tokens, p_<domain>..., rate, copies`` of every row, with ``reached_<domain>`` and
+    ``target_<domain>``, the shares of all tokens that the fit ended with and aimed at."""
     own = docs.select("doc_id", "text")
     model = fit_domains(own, labels)
     judged = with_posteriors(own.withColumn("_key", F.xxhash64("text")), model).drop("text")
     judged = stage(judged, "posteriors")
-    done = _with_copies(judged, fit_rates(judged, weights, total), [F.col("doc_id"), F.col("_key")])
+    plan = fit_rates(judged, weights, total)
+    done = _with_copies(judged, plan, [F.col("doc_id"), F.col("_key")])
+    told = lambda name, shares: [F.lit(float(x)).alias(f"{name}_{d}") for d, x in zip(DOMAINS, shares)]
     return done.select(
         "doc_id", F.col("_tokens").alias("tokens"), *[F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
-        F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
+        F.col("_rate").alias("rate"), F.col("_copies").alias("copies"), *told("reached", plan.reached), *told("target", plan.target))
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = WEIGHTS, total: float | None = None) -> DataFrame:

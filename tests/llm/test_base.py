@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -412,3 +413,36 @@ def test_awkward_texts_by_rule(awkward):
     for row in rule_forest.judge(awkward, rule_forest.fit(awkward, labels)).collect():
         got = (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words)
         assert got in [rule_counts(t) for t in texts[row.doc_id]]
+
+
+_P = "word " * 42 + "end."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>T</h1><p>{_P}</p>{'<svg></svg>' * 5}</article>", f"T\n\n{_P}"),
+    (f"<div class='post'><h1>T</h1><p>{_P}</p>{'<svg></svg>' * 5}</div>", f"T\n\n{_P}"),
+    *[(f"<article>{f'<p>{_P}</p>' * 3}{icon * 5}</article>", "\n\n".join([_P] * 3)) for icon in ("<svg></svg>", "<button>b</button>", "<input>")],
+    ("<article><p>x y<button>b</button></p></article>", "x y"),
+    ("<article><p>x y</p><form><input></form></article>", "x y"),
+    (f"<article><p>{_P}</p></article> a < b <!-- never ends <p>no</p>", _P),
+    (f"<article><p>{_P} <a </p>", f"{_P} <a"),
+])
+def test_icons_and_buttons_do_not_cost_the_article(page, text):
+    got = dom_marginals.main_text(page)
+    assert got == text or text.endswith("<a") and got.startswith(_P)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<b>x" * 250_000, "<p><table>" + "<b>" * 150_000 + "<hr>" * 100_000, "<a '\">" * 170_000, "<script " * 120_000,
+    "<!-- " * 200_000, "<div>" * 200_000, "</b>" * 250_000])
+def test_long_pages_take_time_in_proportion(page):
+    begun = time.process_time()
+    dom_marginals.main_text(page)
+    assert time.process_time() - begun < 10
+
+
+def test_base_places_of_a_long_text_take_time_in_proportion():
+    begun = time.process_time()
+    n, places = license_scan.base_scan(b"cc by " * 200_000)
+    assert n == 400_000 and len(places) == 200_000 and places[-1] == (399_998, "cc-by")
+    assert time.process_time() - begun < 5

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -165,7 +166,27 @@ def test_items_are_found_within_their_budget(llm):
             assert (item_id in found) == (distance <= k)
             if item_id in found:
                 m = found[item_id]
-                assert edit_distance_in(whole, host[m.start:m.end]) == m.distance >= distance
+                assert edit_distance_in(whole, host[m.start:m.end]) == m.distance == distance
+
+
+def test_the_least_distance_of_periodic_items():
+    """Worse matches of the same item stand right before, after and across the best one."""
+    dice = random.Random(8)
+    for _ in range(400):
+        item = (dice.choice(["abcab", "ab", "abcd efg ", "aab"]) * 40)[:dice.randint(25, 60)]
+        item = decontaminate.normalized(item)
+        k = decontaminate.budget(len(item))
+        copies = []
+        for _ in range(3):
+            changed = list(item)
+            for _ in range(dice.choice([0, 0, 1, k, k + 2])):
+                changed[dice.randrange(len(changed))] = dice.choice("abcxyz")
+            copies.append("".join(changed)[dice.choice([0, 0, 3]):])
+        host = decontaminate.normalized(dice.choice(["", " ", "ab"]).join(copies))
+        found = decontaminate.Searcher([(1, item)]).search(host)
+        distance = edit_distance_in(item, host)
+        assert [m.distance for m in found] == [distance] * (distance <= k)
+        assert all(edit_distance_in(item, host[m.start:m.end]) == m.distance for m in found)
 
 
 @pytest.mark.parametrize("rate", [0.1, 0.25])
@@ -222,16 +243,36 @@ def test_rates_reach_the_targets(llm, medium_dir):
     assert (labels[(labels.quality == 1) & (labels.toxic == 0)].copies >= 1).mean() > 0.97
 
 
-def test_rounds_solve_the_least_squares_problem():
+def plain_rates(p, tokens, goal, rounds=40_000):
+    """The least-squares problem by very many plain projected-gradient rounds; the objective it ends with."""
+    share = tokens / tokens.sum()
+    size = share @ p
+    rates = np.ones(len(p))
+    for _ in range(rounds):
+        rates = np.maximum(0.0, rates - p @ (((share * rates) @ p - goal) / size))
+    return (((share * rates) @ p - goal) ** 2 / size).sum() / 2
+
+
+@pytest.mark.parametrize("sharpness, goal", [(0.3, (0.2, 0.5, 0.3)), (0.3, (0.0, 0.96, 0.04)), (3.0, (0.0, 0.96, 0.04)), (0.05, (0.0, 0.5, 0.5))])
+def test_fitted_rates_solve_the_least_squares_problem(llm, sharpness, goal):
     rng = np.random.default_rng(0)
-    p = rng.dirichlet([0.3, 0.5, 0.4], 300)
+    p = rng.dirichlet(sharpness * np.array([0.4, 1.0, 0.5]), 300)
     tokens = rng.integers(1, 500, 300).astype(float)
-    goal, size = np.array([0.2, 0.5, 0.3]), tokens @ p / tokens.sum()
-    steps, reached = [], size
-    for _ in range(300):
-        steps.append((reached - goal) / size)
-        reached = (tokens * mixing.replayed_rates(p, steps)) @ p / tokens.sum()
-    assert np.abs(reached - goal).max() < 1e-6 and (mixing.replayed_rates(p, steps) >= 0).all()
+    judged = llm.createDataFrame([(int(t), [float(x) for x in row]) for t, row in zip(tokens, p)], "_tokens long, _p array<double>")
+    plan = mixing.fit_rates(judged, goal)
+    rates = plan.rates(pd.Series(list(p)))
+    reached = (tokens * rates) @ p / tokens.sum()
+    assert plan.converged and (rates >= 0).all() and np.allclose(plan.reached, reached, atol=1e-9)
+    size = tokens @ p / tokens.sum()
+    objective = ((reached - np.array(goal)) ** 2 / size).sum() / 2
+    assert objective <= 1.05 * plain_rates(p, tokens, np.array(goal)) + 1e-8
+
+
+def test_rounds_that_do_not_suffice_are_told(llm):
+    judged = llm.createDataFrame([(5, [0.4, 0.5, 0.1]), (9, [0.3, 0.3, 0.4])], "_tokens long, _p array<double>")
+    with pytest.warns(RuntimeWarning, match="3 rounds"):
+        plan = mixing.fit_rates(judged, (0.0, 0.5, 0.5), rounds=3)
+    assert not plan.converged and len(plan.steps) == 3
 
 
 def test_mixing_awkward_tables(llm, awkward, nothing):
