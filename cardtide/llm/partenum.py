@@ -2,13 +2,16 @@
 
 A document's set holds the hashes of its distinct word n-grams. Two sets of similarity at least
 ``similar`` have sizes in the same or in neighbouring size bands, and differ in at most ``k``
-elements, ``k`` following from the larger band. The feature domain is cut by a hash into
-``n = k + 1 + m`` parts, so similar sets agree on at least ``m + 1`` parts. A signature is one part's
-content (subsets of one part: the second level of the scheme is trivial with this many parts). The
+elements, ``k`` following from the larger band. A hash cuts the feature domain into groups, and a group
+into ``p`` parts; a signature is the content of all parts of a group but one. Where ``k`` is small, ``p``
+is 3 and all three pairs of parts are enumerated: a group in which at most one part differs gives one
+signature to both sets, so fewer groups than differences do. For larger ``k`` that would take one and a
+half times the signatures, so ``p`` is 2 there and each part is a signature. Either way there are
+enough groups for similar sets to agree on at least ``m + 1`` signatures (``Bands.plan``). The
 margin ``m`` lets a set leave out signatures and still meet every partner:
 
-- up to ``m`` empty parts are left out;
-- signatures shared by very many sets (heavy) are left out where empty and heavy parts together are
+- up to ``m`` empty signatures are left out;
+- signatures shared by very many sets (heavy) are left out where empty and heavy ones together are
   at most ``m``; other sets ("stuck") keep them;
 - sharing fewer signatures than the margin guarantees rules a pair out without reading its sets.
 
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,10 @@ from .common import BATCH_ROWS, Membership, documents, lower_ascii, map_batches,
 
 #: Words per n-gram and least similarity of a link.
 WIDTH, SIMILAR = 4, Fraction(85, 100)
+#: Largest difference for which pairs of parts are enumerated. A signature of two parts in three holds
+#: about a third more elements than one part of as many differences, so short texts that share a
+#: passage meet less often.
+ENUMERATED = 64
 #: Members from which a bucket counts as heavy.
 HEAVY = 12
 #: Rounds that join large groups by pivots before the remaining pairs are compared, and the share of
@@ -50,8 +58,17 @@ SALTS = 64
 FOREST_NODES = 1 << 18
 
 
+class Plan(NamedTuple):
+    """How a size band is enumerated: ``groups`` of ``parts`` parts, a signature for all parts of a group
+    but one. Sets that differ in at most ``difference`` elements agree on more than ``margin`` signatures."""
+    difference: int
+    margin: int
+    groups: int
+    parts: int
+
+
 class Bands:
-    """Size bands and, per band, the largest difference ``k``, the margin ``m`` and ``n`` parts."""
+    """Size bands and the plan of each."""
 
     def __init__(self, similar: Fraction) -> None:
         self.similar = similar
@@ -68,10 +85,13 @@ class Bands:
             self.band(self.last[-1] + 1 if self.last else 1)
         return self.last[band]
 
-    def parts(self, band: int) -> tuple[int, int, int]:
+    def plan(self, band: int) -> Plan:
         k = int(2 * self.largest(band) * (1 - self.similar) / (1 + self.similar))
-        m = int(0.15 * (k + 1)) + 2
-        return k, m, k + 1 + m
+        parts = 3 if k <= ENUMERATED else 2
+        # Of p signatures a group loses p - 1 to the first part that differs in it and the last one to the
+        # second. At worst each group has one such part, then some have two: p * g - (p - 2) * g - k are left.
+        groups = -(-(k + int(0.15 * (k + 1)) + 3) // 2)
+        return Plan(k, 2 * groups - k - 1, groups, parts)
 
 
 def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
@@ -97,19 +117,24 @@ def signatures(shingles: np.ndarray, bands: Bands) -> list[tuple[int, int, np.nd
         return []
     own, out = bands.band(size), []
     for tag in (own, own + 1):
-        k, m, n = bands.parts(tag)
-        if not k:  # only equal sets can link here
+        plan = bands.plan(tag)
+        if not plan.difference:  # only equal sets can link here
             if tag == own:
                 out.append((tag, 0, mix(np.array([fingerprint(shingles)], dtype=np.uint64))))
             continue
         scattered = mix(shingles + np.uint64(tag * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        n = plan.groups * plan.parts
         part = ((scattered >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
         content = np.zeros(n, dtype=np.uint64)
         np.add.at(content, part, mix(scattered))
-        filled = np.bincount(part, minlength=n) > 0
+        held = np.bincount(part, minlength=n)
+        if plan.parts > 2:  # all parts of a group but one
+            by_group = lambda cells: (cells.reshape(-1, plan.parts).sum(1, dtype=cells.dtype, keepdims=True) - cells.reshape(-1, plan.parts)).ravel()
+            content, held = by_group(content), by_group(held)
         marks = mix(content + np.arange(n, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(tag))
+        filled = held > 0
         empty = n - int(np.count_nonzero(filled))
-        out.append((tag, m - empty, marks[filled]) if empty <= m else (tag, -1, marks))
+        out.append((tag, plan.margin - empty, marks[filled]) if empty <= plan.margin else (tag, -1, marks))
     return out
 
 

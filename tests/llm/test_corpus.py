@@ -105,6 +105,39 @@ def test_signatures_meet_for_every_similar_pair():
                 assert any(len(left[t][1] & right[t][1]) > max(left[t][0], right[t][0]) for t in left.keys() & right.keys())
 
 
+@pytest.mark.parametrize("band_of", [3, 10, 40, 150, 600])
+def test_a_band_agrees_on_more_signatures_than_its_margin(band_of):
+    """The plan's bound against the worst spread of differing parts over the groups."""
+    for similar in (partenum.Fraction(85, 100), partenum.Fraction(80, 100)):
+        bands = partenum.Bands(similar)
+        plan = bands.plan(bands.band(band_of))
+        assert plan.difference == max(
+            a + b - 2 * same for a in [bands.largest(bands.band(band_of))] for b in range(1, a + 1)
+            for same in range(1, b + 1) if same >= similar * (a + b - same)) or plan.difference < 2
+        left = np.full(plan.groups, plan.parts)  # differing parts fall where they cost most
+        cost = lambda parts_hit: {2: (1, 1), 3: (2, 1, 0)}[plan.parts][parts_hit]
+        hit = np.zeros(plan.groups, dtype=int)
+        for _ in range(plan.difference):
+            g = max(range(plan.groups), key=lambda i: cost(hit[i]) if hit[i] < plan.parts else -1)
+            left[g] -= cost(hit[g])
+            hit[g] += 1
+        assert left.sum() > plan.margin >= 2
+
+
+def test_small_bands_enumerate_pairs_of_parts():
+    bands = partenum.Bands(partenum.SIMILAR)
+    some = np.arange(1, 61, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    plan = bands.plan(bands.band(60))
+    assert plan.parts == 3
+    tag, spare, marks = partenum.signatures(some, bands)[0]
+    assert spare >= 0 and plan.groups * 3 - plan.margin <= len(marks) <= plan.groups * 3
+    # One element more changes one part, which two of the group's three signatures hold.
+    more = np.append(some, np.uint64(5))
+    assert bands.band(61) == bands.band(60)
+    other = partenum.signatures(more, bands)[0][2]
+    assert len(np.setdiff1d(marks, other)) in (1, 2)
+
+
 def test_awkward_rows_form_groups(awkward, nothing):
     rows = [(r.doc_id, r.text) for r in awkward.select("doc_id", "text").collect()]
     got = partenum.jaccard_groups(awkward).collect()
