@@ -3,9 +3,10 @@
 A text becomes the set of its n-grams: single words, and one or two word shapes (runs of lower-case
 letters, capitals, digits; punctuation as it is; a mark for a repeated word) together with the
 power of two their share of the text falls into, so that an indicator says "this shape makes up
-about a quarter of the text". Indicators are hashed. Each is scaled by the log ratio of its smoothed
-class counts; a hinge-loss model is fitted to the scaled indicators by dual coordinate descent; a
-sigmoid fitted to held-back margins turns margins into scores.
+about a quarter of the text". Indicators are hashed; words enter one by one, runs of words only as
+shapes. Each is scaled by the log ratio of its smoothed class counts (0 for those that fewer than
+MIN_SEEN sampled rows hold); a hinge-loss model is fitted to the scaled indicators by dual coordinate
+descent; a sigmoid fitted to held-back margins turns margins into scores.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, drawn by a hash of their id; every row is
 scored. Without rows of both classes every score is 0.5. A null text counts as empty and is scored
@@ -31,6 +32,8 @@ SAMPLE = 8_000
 #: Rows whose ``crc32(doc_id) mod FOLDS`` is HELD_OUT never take part in learning.
 FOLDS, HELD_OUT = 3, 1
 BUCKETS = 1 << 17
+#: An indicator that fewer sampled rows hold has no weight: its ratio would be chance.
+MIN_SEEN = 3
 
 _SHAPES = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
@@ -91,7 +94,7 @@ def log_ratios(rows: list[np.ndarray], good: np.ndarray, smoothing: float = 1.0)
     present = [smoothing * 2 + (good == side).sum() for side in (True, False)]
     ratio = np.log(counts[0] / present[0]) - np.log(counts[1] / present[1])
     seen = counts[0] + counts[1] - 2 * smoothing
-    return np.where(seen >= 3, ratio, 0.0)
+    return np.where(seen >= MIN_SEEN, ratio, 0.0)
 
 
 def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], good: np.ndarray, cost: float = 1.0,
