@@ -48,4 +48,7 @@ PAGES = (
     f"""<html><body drop><div class="cookie" drop>We use cookies.</div><main keep><p>{_Q}</p><p>{_Q}</p></main><footer drop>{_Q}</footer></body></html>""",
     f"""<html><body drop><header drop>{_Q}</header><main keep><h1>Title</h1><p>{_Q}</p><ul><li>One.</li><li>Two.</li></ul></main><aside drop>{_Q}</aside></body></html>""",
     f"""<html><body drop><nav drop>{_MENU}</nav><div class="content" keep><h1>Title</h1><p>{_Q}</p><p>{_Q}</p></div><div class="notice" drop>{_P}</div></body></html>""",
+    f"""<article keep><p>{_P}</p></article>""",
+    f"""<html><body drop><article keep><p>{_P}</p></article></body></html>""",
+    f"""<html><body drop><nav drop>{_MENU}</nav><article keep><p>{_Q}</p></article><footer drop><p>{_P}</p></footer></body></html>""",
 )
