@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate, dom_marginals, license_scan, mixing, nbsvm, partenum, rule_forest, sanitise, sharding, token_store, topk, variants, whitening
 from .common import table
+from .statements import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,42 +66,3 @@ QUERIES: dict[str, Query] = {
     "op12_jacobi_davidson": _on("embeddings", whitening.whiten),
     "op13_variant_tiles": _on("documents", variants.variants),
 }
-
-#: Results that DuckDB can state whole. The others have columns that only their method gives; tests
-#: compare them with brute force.
-ORACLES: dict[str, str] = {
-    "op7_partenum": r"""
-        WITH RECURSIVE words AS (
-          SELECT doc_id, regexp_extract_all(
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
-          FROM documents),
-        shingles AS (
-          SELECT DISTINCT doc_id, unnest(CASE
-            WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle
-          FROM words),
-        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-        common AS (
-          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same
-          FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
-        links AS (
-          SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-          WHERE 100 * same >= 85 * (p.n + q.n - same)),
-        reached AS (
-          SELECT a AS doc_id, b AS other FROM links
-          UNION SELECT doc_id, b FROM reached JOIN links ON other = a)
-        SELECT words.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(words.doc_id, min(other)) AS component_id
-        FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN reached USING (doc_id) GROUP BY words.doc_id""",
-    "op11_columnar_topk": """
-        WITH whole AS (
-          SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
-          FROM embeddings
-          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
-        scored AS (
-          SELECT q.vec_id AS query_id, c.vec_id,
-                 list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS score
-          FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
-        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
-        WHERE rank <= 5""",
-}

@@ -1,10 +1,15 @@
 """Sharding by sampled splitters: near equal bytes per shard, equal texts side by side.
 
-Records are ordered by the key (hash of the text, doc_id). A size-weighted sample of keys gives
-quantile boundaries, which cut the records into many more ranges than shards. Exact sizes per range
-and running sums inside each range then place every record, so the sample decides only how even the
-work is, never the result's balance. A range that turns out overfull is subdivided by a second
-sample drawn inside it. Everything is DataFrame expressions.
+Records are ordered by the key (first 60 bits of the text's MD5, then doc_id). A size-weighted sample
+of keys gives quantile boundaries, which cut the records into many more ranges than shards. Exact
+sizes per range and running sums inside each range then place every record, so the sample decides
+only how even the work is, never the result, which SQL can state as one running sum. A range that
+turns out overfull is subdivided by a second sample drawn inside it. Rows equal in text and id travel
+as counts and are dealt out again at the end, so even a third of all rows being equal is no single
+task's work. Everything is DataFrame expressions.
+
+Beyond MAX_RANGES * RANGE_BYTES of text (1 TB) ranges grow with the input; what a range holds of a
+document is some 60 bytes, sorted with spilling.
 
 Ties and nulls: a null text counts as no bytes (size 1) and is grouped with empty texts; repeated
 rows each get a slot of their own; an empty table gives an empty result. Extra columns are ignored.
@@ -12,7 +17,7 @@ rows each get a slot of their own; an empty table gives an empty result. Extra c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stage, whole_row
 
@@ -25,6 +30,12 @@ BUCKET_BITS = 12
 LOWEST = -(1 << 63)
 #: A group of equal texts up to this share of a shard is never cut.
 WHOLE_GROUP_SHARE = 0.01
+#: Copies of a row that travel as one record at most.
+COPIES = 1024
+
+
+def _bytes() -> Column:
+    return F.col("size") * F.col("copies")
 
 
 def records(docs: DataFrame) -> DataFrame:
@@ -34,15 +45,23 @@ def records(docs: DataFrame) -> DataFrame:
         "doc_id",
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("key"),
+        # Sixty bits, moved to the range of a long so that the sign takes part in the order of ranges.
+        ((F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long") - (1 << 59)) * 16).alias("key"),
     )
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Equal rows as one record with ``copies``; records of more than COPIES rows lie in chunks."""
+    equal = rows.groupBy("key", "doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    chunked = equal.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")).alias("chunk"))
+    return chunked.withColumn("copies", F.least(F.lit(COPIES), F.col("n") - F.col("chunk") * COPIES)).drop("n")
+
+
 def _sampled_keys(rows: DataFrame, total: int, wanted: int) -> DataFrame:
     """Keys drawn with probability in proportion to weight; a record much larger than the step counts
     as often as it holds steps. The draw hashes the record, so a rerun repeats it."""
     step = max(total / wanted, 1.0)
-    dice = F.pmod(F.xxhash64(F.col("key"), F.col("doc_id"), F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
+    dice = F.pmod(F.xxhash64("key", "doc_id", "chunk", F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
     hits = F.floor(F.col("weight") / step + dice).cast("int")
     return rows.select("key", F.coalesce("doc_id", F.lit(LOWEST)).alias("doc_id"), hits.alias("hits")).where("hits > 0")
 
@@ -87,27 +106,34 @@ def _with_range(rows: DataFrame, cuts: DataFrame) -> DataFrame:
 
 
 def range_partitioned(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``rows`` with ``part``, the range of each record; ranges follow the key order.
+    """Counted ``rows`` with ``part``, the range of each record, and ``cut``, whether its group of equal
+    texts is larger than a group that stays whole and lies in several ranges; ranges follow the key order.
 
     A record weighs its size plus the mean size, so neither bytes nor rows pile up in one range,
     even where a third of all texts are empty.
     """
-    total, count = rows.agg(F.sum("size"), F.count("*")).first()
-    total = total or 0
-    weighed = rows.withColumn("weight", F.col("size") + total // max(count, 1))
+    total, count = rows.agg(F.sum(_bytes()), F.sum("copies")).first()
+    total, count = total or 0, count or 0
+    weighed = rows.withColumn("weight", _bytes() + F.col("copies") * (total // max(count, 1)))
     ranges = int(min(MAX_RANGES, max(shards * RANGES_PER_SHARD, total // RANGE_BYTES)))
     cuts = stage(_quantiles(_sampled_keys(weighed, 2 * total, ranges * SAMPLES_PER_RANGE), ranges), "cuts")
-    ranged = _with_range(weighed, cuts)
     # Subdivide ranges that hold far more than their share, where the sample missed a dense stretch.
-    held = ranged.groupBy("part").agg(F.sum("weight").alias("held"))
+    held = _with_range(weighed, cuts).groupBy("part").agg(F.sum("weight").alias("held"))
     overfull = stage(held.where(F.col("held") > 8 * total / ranges), "overfull")
     found, inside = overfull.agg(F.count("*"), F.sum("held")).first()
     if found:
-        dense = ranged.join(F.broadcast(overfull.select("part")), "part").select(*weighed.columns)
+        dense = _with_range(weighed, cuts).join(F.broadcast(overfull.select("part")), "part").select(*weighed.columns)
         more = min(ranges, 64 * found)
         finer = _quantiles(_sampled_keys(dense, inside, more * SAMPLES_PER_RANGE), more)
-        ranged = _with_range(weighed, stage(cuts.union(finer), "cuts"))
-    return ranged.drop("weight")
+        cuts = stage(cuts.union(finer), "cuts")
+    # A cut inside a group that has to stay whole moves to the group's start. There are at most as many
+    # such groups as cuts.
+    entered = F.broadcast(cuts.where(F.col("doc_id") != LOWEST).select("key").distinct())
+    sizes = rows.join(entered, "key").groupBy("key").agg(F.sum(_bytes()).alias("held"))
+    large = stage(sizes.where(F.col("held") > total / shards * WHOLE_GROUP_SHARE).select("key", F.lit(True).alias("cut")), "large")
+    kept = cuts.join(F.broadcast(large), "key", "left").select("key", F.when(F.col("cut"), F.col("doc_id")).otherwise(F.lit(LOWEST)).alias("doc_id"))
+    ranged = _with_range(rows, stage(kept.distinct(), "cuts")).join(F.broadcast(large), "key", "left")
+    return ranged.withColumn("cut", F.coalesce("cut", F.lit(False)))
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -118,39 +144,43 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     against a shard is placed by the middle of the group, so it stays whole. ``slot`` numbers the
     records of a shard without gaps.
     """
-    rows = stage(records(docs), "records")
-    ranged = range_partitioned(rows, shards)
-    sizes = ranged.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    # At most MAX_RANGES (plus subdivisions) rows from here on: one small window.
+    rows = stage(counted(records(docs)), "records")
+    ranged = stage(range_partitioned(rows, shards), "ranged")
+    sizes = ranged.groupBy("part").agg(F.sum(_bytes()).alias("bytes"), F.sum("copies").alias("n"))
+    # At most MAX_RANGES (plus subdivisions) rows: one small window.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "part",
         F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
         F.sum("bytes").over(Window.partitionBy()).alias("total"),
     )
-    inside = Window.partitionBy("part").orderBy("key", "doc_id")
+    upto = Window.partitionBy("part").orderBy("key", "doc_id", "chunk").rowsBetween(Window.unboundedPreceding, 0)
     group = Window.partitionBy("part", "key")
     at = ranged.join(F.broadcast(offsets), "part").select(
-        "*", (F.col("bytes_before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("start"))
-    grouped = at.select(
-        "*", F.min("start").over(group).alias("group_start"), F.sum("size").over(group).alias("group_bytes"))
+        "*", (F.col("bytes_before") + F.sum(_bytes()).over(upto) - _bytes()).alias("start"),
+        (F.col("rows_before") + F.sum("copies").over(upto) - F.col("copies")).alias("position"))
+    grouped = at.select("*", F.min("start").over(group).alias("group_start"), F.sum(_bytes()).over(group).alias("group_bytes"))
     target = F.col("total") / F.lit(float(shards))
-    whole = F.col("group_bytes") <= target * WHOLE_GROUP_SHARE
-    middle = F.when(whole, F.col("group_start") + F.col("group_bytes") / 2).otherwise(F.col("start") + F.col("size") / 2)
-    placed = grouped.select(
-        "doc_id", "size", "text_crc32", "part", "key",
-        F.least(F.floor(middle / target), F.lit(shards - 1)).cast("int").alias("shard"))
-    # Slots: rows of the same shard in earlier ranges, plus the rank inside the range.
-    placed = stage(placed, "placed")
-    counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("shard", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    rank = F.row_number().over(Window.partitionBy("part", "shard").orderBy("key", "doc_id")) - 1
-    return placed.withColumn("rank", rank).join(F.broadcast(bases), ["shard", "part"]).select(
+    whole = ~F.col("cut") & (F.col("group_bytes") <= target * WHOLE_GROUP_SHARE)
+    places = stage(grouped.select(
+        "key", "doc_id", "chunk", "size", "text_crc32", "copies", "start", "position", target.alias("target"),
+        F.when(whole, F.col("group_start") + F.col("group_bytes") / 2).alias("group_middle")), "places")
+    # Copies are dealt over all tasks before they become rows again.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = places.repartition(tasks, "key", "doc_id", "chunk").select(
+        "*", F.explode(F.expr("sequence(0L, copies - 1)")).alias("copy"))
+    middle = F.coalesce("group_middle", F.col("start") + F.col("copy") * F.col("size") + F.col("size") / 2)
+    placed = copies.select(
+        "doc_id", "size", "text_crc32", (F.col("position") + F.col("copy")).alias("position"),
+        F.least(F.floor(middle / F.col("target")), F.lit(shards - 1)).cast("int").alias("shard"))
+    # Shards follow the key order, so a slot is the distance from the shard's first record.
+    firsts = placed.groupBy("shard").agg(F.min("position").alias("first"))
+    return placed.join(F.broadcast(firsts), "shard").select(
         "doc_id", "size", "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        (F.col("base") + F.col("rank")).cast("long").alias("slot"),
+        (F.col("position") - F.col("first")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cardtide.llm import dom_marginals, license_scan, nbsvm, rule_forest, sanitise, sharding, token_store
+from cardtide.llm import dom_marginals, license_scan, nbsvm, rule_forest, sanitise, sharding, statements, token_store
 from cardtide.llm.queries import QUERIES
 
 
@@ -343,6 +343,46 @@ def test_shards_with_one_text_in_a_third_of_the_rows(llm):
     assert len(got) == 6000 and per_shard.max() - per_shard.min() <= 0.03 * per_shard.mean()
 
 
+def laid_out(rows, shards):
+    """(doc_id, shard, slot) by one running sum over the rows in order."""
+    key = lambda text: hashlib.md5(text.encode()).hexdigest()[:15]
+    rows = sorted(((key(t or ""), i is not None, i or 0, len((t or "").encode()) + 1) for i, t in rows))
+    target, groups = sum(r[3] for r in rows) / shards, collections.defaultdict(int)
+    for k, *_, size in rows:
+        groups[k] += size
+    at, starts, slots, out = 0, {}, collections.Counter(), []
+    for k, known, i, size in rows:
+        start = starts.setdefault(k, at)
+        middle = start + groups[k] / 2 if groups[k] <= target * 0.01 else at + size / 2
+        shard = min(int(middle // target), shards - 1)
+        out.append((i if known else None, shard, slots[shard]))
+        slots[shard] += 1
+        at += size
+    return out
+
+
+@pytest.mark.parametrize("repeated", [7, None])
+def test_shards_with_one_row_in_a_third_of_the_table(llm, repeated):
+    """The same id and text thousands of times: dealt as counts, every copy with a place of its own."""
+    rows = [(repeated, "the same row " * 3)] * 4000 + [(i, f"text {i % 2500} " * (1 + i % 9)) for i in range(8000)] + [(None, None)] * 3
+    got = sharding.assign_shards(llm.createDataFrame(rows, "doc_id long, text string"), 5).toPandas()
+    found = [(None if pd.isna(i) else int(i), s, n) for i, s, n in zip(got.doc_id, got["shard"], got["slot"])]
+    by = lambda r: (r[1], r[2], r[0] is not None, r[0] or 0)
+    assert sorted(found, key=by) == sorted(laid_out(rows, 5), key=by)
+
+
+@pytest.mark.parametrize("name", sorted(statements.ORACLES))
+def test_queries_against_their_sql(llm, small_dir, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{small_dir}/{table}.parquet')")
+    want = con.execute(statements.ORACLES[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(map(repr, want.fetchall())) == sorted(repr(tuple(r)) for r in QUERIES[name](llm, small_dir).select(*columns).collect())
+
+
 def test_written_shards_hold_all_documents(llm, medium_dir, corpus, tmp_path):
     docs = llm.read.parquet(f"{medium_dir}/documents.parquet")
     sharding.write_shards(docs.select("doc_id", "text").unionAll(docs.select("doc_id", "text").limit(1)), f"{tmp_path}/s", 4)
