@@ -347,10 +347,10 @@ def laid_out(rows, shards):
     """(doc_id, shard, slot) by one running sum over the rows in order."""
     key = lambda text: hashlib.md5(text.encode()).hexdigest()[:15]
     rows = sorted(((key(t or ""), i is not None, i or 0, len((t or "").encode()) + 1) for i, t in rows))
-    target, groups = sum(r[3] for r in rows) / shards, collections.defaultdict(int)
+    target, groups = sum(r[3] for r in rows) / shards, Counter()
     for k, *_, size in rows:
         groups[k] += size
-    at, starts, slots, out = 0, {}, collections.Counter(), []
+    at, starts, slots, out = 0, {}, Counter(), []
     for k, known, i, size in rows:
         start = starts.setdefault(k, at)
         middle = start + groups[k] / 2 if groups[k] <= target * 0.01 else at + size / 2
