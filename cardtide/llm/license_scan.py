@@ -3,8 +3,8 @@
 A rule is a regular expression over lower-cased text with a label, a priority and the keywords one
 of which must occur before the expression is tried. Keywords of all rules are searched in one
 Aho-Corasick pass; most texts hold none and cost nothing more. Detections are resolved in order of
-priority: one that lies inside an accepted detection, or that overlaps one of a higher priority, is
-suppressed. Base phrases (three fixed labels) are found at all their places and always kept.
+priority: one that lies inside an accepted detection is suppressed; detections that overlap in part
+say different things and both stay. Base phrases (three fixed labels) are found at all their places and always kept.
 
 Nulls count as empty texts; empty texts have zero counts, null places and empty labels. Repeated
 rows give repeated results; extra columns are ignored.
@@ -13,7 +13,7 @@ rows give repeated results; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -155,18 +155,22 @@ class Scanner:
 
 
 def suppress(found: list[Detection]) -> list[Detection]:
-    """Accepts detections by priority, then length, then order of the rules; one that lies inside an accepted one
-    or overlaps it goes. Accepted intervals are disjoint, so only two neighbours are looked at."""
+    """Accepts detections by priority, then length, then order of the rules; one that lies inside an
+    accepted one goes.
+
+    Kept in mind are the accepted intervals that lie in no other: their starts and ends rise together,
+    so only the last one that starts in time has to be looked at.
+    """
     starts: list[int] = []
     ends: list[int] = []
     accepted: list[Detection] = []
     for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.order, d.start)):
-        at = bisect_left(starts, d.start)
-        if (at and ends[at - 1] > d.start) or (at < len(starts) and starts[at] < d.end):
+        at = bisect_right(starts, d.start)
+        if at and ends[at - 1] >= d.end:
             continue
-        starts.insert(at, d.start)
-        ends.insert(at, d.end)
         accepted.append(d)
+        low, high = bisect_left(starts, d.start), bisect_right(ends, d.end)
+        starts[low:high], ends[low:high] = [d.start], [d.end]
     return sorted(accepted)
 
 

@@ -1,10 +1,10 @@
 """Quality classifier: a linear support vector machine on n-gram indicators scaled by naive Bayes.
 
-A text becomes the set of its n-grams: single words, and one or two word shapes (runs of lower-case
+A text becomes the set of its n-grams: one or two words, and one or two word shapes (runs of lower-case
 letters, capitals, digits; punctuation as it is; a mark for a repeated word) together with the
 power of two their share of the text falls into, so that an indicator says "this shape makes up
-about a quarter of the text". Indicators are hashed; words enter one by one, runs of words only as
-shapes. Each is scaled by the log ratio of its smoothed class counts (0 for those that fewer than
+about a quarter of the text". Indicators are hashed, those with a share and those of words into ranges
+of their own. Each is scaled by the log ratio of its smoothed class counts (0 for those that fewer than
 MIN_SEEN sampled rows hold); a hinge-loss model is fitted to the scaled indicators by dual coordinate
 descent; a sigmoid fitted to held-back margins turns margins into scores.
 
@@ -31,7 +31,8 @@ from .rule_forest import labelled_sample
 SAMPLE = 8_000
 #: Rows whose ``crc32(doc_id) mod FOLDS`` is HELD_OUT never take part in learning.
 FOLDS, HELD_OUT = 3, 1
-BUCKETS = 1 << 17
+#: Buckets of indicators with a share, and of all indicators.
+MARKS, BUCKETS = 1 << 16, 1 << 19
 #: An indicator that fewer sampled rows hold has no weight: its ratio would be chance.
 MIN_SEEN = 3
 
@@ -60,7 +61,7 @@ def indicators(text: str) -> np.ndarray:
     n = len(words)
     grams = [b"size:%d" % int(np.log2(n + 1))]
     if not n:
-        return np.array([zlib.crc32(grams[0]) % BUCKETS], dtype=np.int32)
+        return np.array([zlib.crc32(grams[0]) % MARKS], dtype=np.int32)
     hashes = word_hashes(words)
     marked = word_shapes(raw)
     for i in np.flatnonzero(hashes[1:] == hashes[:-1]) + 1:
@@ -74,8 +75,9 @@ def indicators(text: str) -> np.ndarray:
     lines = [line for line in raw.split(b"\n") if line.strip()]
     grams.append(b"lines:%d" % _bin((len(lines) - len(set(lines))) / len(lines)))
     grams.append(b"line:%d" % int(np.log2(n / len(lines) + 1)))
-    named = np.fromiter((zlib.crc32(g) % BUCKETS for g in grams), dtype=np.int32, count=len(grams))
-    return np.unique(np.concatenate([named, (own % np.uint64(BUCKETS)).astype(np.int32)]))
+    named = np.fromiter((zlib.crc32(g) % MARKS for g in grams), dtype=np.int32, count=len(grams))
+    of_words = np.concatenate([own, shingle_hashes(hashes, 2)]) % np.uint64(BUCKETS - MARKS) + np.uint64(MARKS)
+    return np.unique(np.concatenate([named, of_words.astype(np.int32)]))
 
 
 class Model(NamedTuple):

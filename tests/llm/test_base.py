@@ -83,7 +83,19 @@ def test_license_rules_are_many_and_resolve_by_priority():
     assert len(rules) > 300 and [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
     d = license_scan.Detection
     found = [d(0, 10, "a", 5, 1), d(2, 8, "b", 9, 1), d(8, 12, "c", 1, 1), d(20, 30, "d", 1, 1), d(20, 25, "e", 1, 1)]
-    assert [x.label for x in license_scan.suppress(found)] == ["b", "c", "d"]
+    assert [x.label for x in license_scan.suppress(found)] == ["a", "b", "c", "d"]
+
+
+def test_suppression_against_all_pairs():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        spans = [(int(a), int(a + w)) for a, w in zip(rng.integers(0, 40, 25), rng.integers(1, 15, 25))]
+        found = [license_scan.Detection(a, b, "x", int(p), 1, i) for i, ((a, b), p) in enumerate(zip(spans, rng.integers(0, 4, 25)))]
+        kept = []
+        for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.order)):
+            if not any(k.start <= d.start and d.end <= k.end for k in kept):
+                kept.append(d)
+        assert license_scan.suppress(found) == sorted(kept)
 
 
 # personal data
