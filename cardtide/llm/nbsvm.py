@@ -163,7 +163,7 @@ def train(rows: list[np.ndarray], good: np.ndarray) -> Classifier | None:
 
     def once(rows: list[np.ndarray], good: np.ndarray) -> Classifier:
         ratios = log_ratios(rows, good)
-        values = [ratios[r] / max(np.sqrt(ratios[r] @ ratios[r]), 1e-9) for r in rows]
+        values = [(ratios[r] / max(np.sqrt(ratios[r] @ ratios[r]), 1e-9)).astype(np.float32) for r in rows]
         w, bias = dual_descent(rows, values, good)
         return Classifier(ratios, Model(w, bias, 1.0, 0.0))
 
@@ -186,9 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Classifier |
 
     def read(batch: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
-                             "at": [indicators(t) for t in batch["text"]]})
-    rows = map_batches(sample, read, "doc_id long, label int, at array<int>").toPandas().sort_values("doc_id", kind="stable")
-    return train([np.asarray(a, dtype=np.int32) for a in rows["at"]], rows["label"].to_numpy() == 1)
+                             "at": [indicators(t).tobytes() for t in batch["text"]]})
+    rows = map_batches(sample, read, "doc_id long, label int, at binary").toPandas().sort_values("doc_id", kind="stable")
+    return train([np.frombuffer(a, dtype=np.int32) for a in rows["at"]], rows["label"].to_numpy() == 1)
 
 
 def scored(docs: DataFrame, classifier: Classifier | None, *more: str) -> DataFrame:
