@@ -155,3 +155,31 @@ def test_lines_in_several_files_with_headers(spark, tmp_path):
     assert len(files) == 5 and all(t[0] == "id,date" and "id,date" not in t[1:] for t in texts)
     back = read_lines(spark, f"{tmp_path}/l")
     assert back.columns == ["value"] and back.count() == 905 and back.rdd.getNumPartitions() > 1
+
+
+def test_large_lines_are_written_by_many_tasks(spark, tmp_path):
+    """A folder is not one task's work: its lines come in as many files as their size asks for, each with the header."""
+    from cardtide.sinks.files import write_lines
+    from cardtide.sources.lines import read_lines
+
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows = spark.range(0, 60_000, 1, 4).selectExpr("if(id % 3 = 0, 'same line', concat('line ', id, ' ', sha2(cast(id as string), 512))) value")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_lines(rows, f"{tmp_path}/l", 2, "id,date")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    texts = [f.read_text().splitlines() for f in tmp_path.glob("l/file=*/*.txt")]
+    assert len(texts) > 8 and max(map(len, texts)) < 10_000
+    assert all(t[0] == "id,date" and "id,date" not in t[1:] for t in texts)
+    got = read_lines(spark, f"{tmp_path}/l").where("value <> 'id,date'")
+    assert got.exceptAll(rows).isEmpty() and rows.exceptAll(got).isEmpty()
+
+
+def test_no_lines_give_a_header_per_folder(spark, tmp_path):
+    from cardtide.sinks.files import write_lines
+
+    write_lines(spark.range(0).selectExpr("concat('line ', id) value"), f"{tmp_path}/l", 3, "id,date")
+    assert [f.read_text() for f in tmp_path.glob("l/file=*/*.txt")] == ["id,date\n"] * 3
+    write_lines(spark.createDataFrame([("a",), (None,), ("",)], "value string"), f"{tmp_path}/n", 2)
+    assert sorted(line for f in tmp_path.glob("n/file=*/*.txt") for line in f.read_text().splitlines()) == ["", "", "a"]
