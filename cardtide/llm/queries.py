@@ -55,7 +55,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": _on("documents", license_scan.scan_documents),
     "op2_personal_data": _on("documents", lambda d: sanitise.find_personal_data(d).drop("text_hash")),
     "op3_token_store": _on("documents", _tokens),
-    "op4_rule_forest": _with_labels(lambda d, l: rule_forest.judge(d, rule_forest.fit(d, l))),
+    "op4_rule_forest": _with_labels(rule_forest.judged),
     "op5_mixing": _with_labels(mixing.document_rates),
     "op6_dom_marginals": _on("pages", dom_marginals.extract),
     "op7_partenum": _on("documents", partenum.jaccard_groups),

@@ -257,6 +257,21 @@ def test_forest_sets_outliers_apart():
     assert rule_forest.calibrate(scores, np.ones(2000, dtype=bool)) == float("inf")
 
 
+def test_threshold_comes_from_all_labelled_rows(llm):
+    rng = np.random.default_rng(3)
+    for n, digits, share in ((400, 2, 0.2), (3000, 3, 0.01), (3000, 12, 0.3), (50, 1, 0.5), (20, 6, 0.0)):
+        bad = rng.random(n) < share
+        scores = np.clip(np.round(rng.normal(0.4, 0.02, n) + 0.05 * bad * rng.random(n), digits), 0.0, 1.0)
+        table = llm.createDataFrame([(float(s), not b) for s, b in zip(scores, bad)], "score double, good boolean")
+        assert rule_forest.calibrated(table) == rule_forest.calibrate(scores, ~bad)
+    # The trees draw from few rows here, the threshold must not.
+    texts = [" ".join(f"w{(i * 7 + j) % (90 if i % 4 else 12 + i % 9)}" for j in range(100)) + "#" * (i % 4 == 0) * (i % 23) for i in range(400)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    verdicts = rule_forest.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 4 > 0 as int) quality"), 60)
+    x = np.array([rule_forest.statistics(text)[1] for text in texts])
+    assert verdicts.threshold == rule_forest.calibrate(verdicts.forest.scores(x), np.arange(400) % 4 > 0)
+
+
 def test_sample_holds_one_row_of_each_id(llm):
     rows = [(0, f"hot {i % 3}") for i in range(900)] + [(i, f"text {i}") for i in range(1, 60)] + [(99, "unlabelled"), (None, "no id")]
     docs = llm.createDataFrame(rows, "doc_id long, text string")
