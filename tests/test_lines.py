@@ -118,3 +118,24 @@ def test_adapter_foreign_keys_hold(spark, small_dir):
     assert orders.select("o_orderkey").distinct().count() == orders.count()
     assert card_transactions(spark, small_dir).count() == items.count()
     assert card_transactions(spark, small_dir, "mcc").columns == ["mcc"]
+
+
+def test_size_decides_the_parts_of_an_exchange(spark, small_dir):
+    """Not the session's number of shuffle partitions, which would be the number of tasks of any input; what the session names itself stands."""
+    from cardtide.sources.lines import parts_by_size
+
+    initial, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = {key: spark.conf.get(key, None) for key in (initial, size)}
+    try:
+        for key in kept:
+            spark.conf.unset(key)
+        plan = card_transactions(spark, small_dir, "client_id").groupBy("client_id").count()._jdf.queryExecution().executedPlan().toString()
+        assert "l_orderkey" in plan and plan.count(", 200)") >= 2
+        assert (spark.conf.get(initial), spark.conf.get(size)) == ("200", "8m")
+        spark.conf.set(initial, "9")
+        spark.conf.set(size, "3m")
+        parts_by_size(spark)
+        assert (spark.conf.get(initial), spark.conf.get(size)) == ("9", "3m")
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
