@@ -1,5 +1,8 @@
 """Text input: headers, the three CSV dialects, arity, lookups."""
 
+import os
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +142,44 @@ def test_size_decides_the_parts_of_an_exchange(spark, small_dir):
     finally:
         for key, value in kept.items():
             spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("off", ["spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled"])
+def test_files_decide_the_parts_where_none_are_joined(spark, small_dir, monkeypatch, off):
+    """Without joining, the session's number of shuffle partitions would be the number of tasks of any input."""
+    number = "spark.sql.shuffle.partitions"
+    kept = {key: spark.conf.get(key) for key in (number, off)}
+    size = os.path.getsize(f"{small_dir}/lineitem.parquet")
+    parts = lambda: int(re.search(r"hashpartitioning\(client_id#\d+, (\d+)\)", card_transactions(
+        spark, small_dir, "client_id").groupBy("client_id").count()._jdf.queryExecution().executedPlan().toString())[1])
+    try:
+        spark.conf.set(off, "false")
+        spark.conf.set(number, "3")
+        assert parts() == 3  # small files leave the session's number
+        monkeypatch.setattr(lines, "FILE_BYTES", size // 7 + 1)
+        assert parts() == 7
+        monkeypatch.setattr(lines, "FILE_BYTES", size // 5000)
+        assert parts() == lines.PARTS
+        spark.conf.set(number, "211")
+        assert parts() == 211
+        spark.conf.set(number, "3")
+        lines.read_lines(spark, f"{small_dir}/line*.parquet")  # globs, as the reader takes them
+        assert spark.conf.get(number) == str(lines.PARTS)
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("usual", ["64m", "64MB", "67108864"])
+def test_the_usual_part_size_counts_as_not_named(spark, usual):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = spark.conf.get(size)
+    try:
+        spark.conf.set(size, usual)
+        lines.parts_by_size(spark)
+        assert spark.conf.get(size) == "8m"
+        spark.conf.set(size, "128m")
+        lines.parts_by_size(spark)
+        assert spark.conf.get(size) == "128m"
+    finally:
+        spark.conf.set(size, kept)
