@@ -15,12 +15,15 @@ ignored.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
+import string
 import struct
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, compress, islice, repeat
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -45,11 +48,25 @@ _ENTRY = np.dtype([("at", "<u4"), ("before", "<u4"), ("tokens", "<u4"), ("wide",
 # A space between two characters that are no space begins a new piece in the byte-level split, so a
 # text may be cut there and the ids of its parts joined.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+# Marks behind a word of letters are a piece of their own there. An apostrophe may begin one with letters.
+_MARKS = string.punctuation.replace("'", "")
+
+
+def byte_characters() -> str:
+    """The character with which a byte-level vocabulary writes each byte: its own where that is visible."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(others)) for b in range(256))
+
+
+_CHARACTERS = byte_characters()
+_SPACE, _LINE = _CHARACTERS[ord(" ")], _CHARACTERS[ord("\n")]
 
 
 def _for_letters(path: str):
-    """A tokenizer of the library with the same model that cuts at spaces only, for rows of words of
-    letters, where the byte-level split does no more; None for other kinds of tokenizers."""
+    """Tokenizers of the library with the same model for rows of words of letters, behind spaces and in
+    lines of their own, where the byte-level split does no more than cut there; they take byte
+    characters. None for other kinds of tokenizers."""
     from tokenizers import Tokenizer, pre_tokenizers
     from tokenizers.models import BPE
 
@@ -61,10 +78,11 @@ def _for_letters(path: str):
         return None
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     # Every row is new, so remembering words inside the library would only cost.
-    plain = Tokenizer(BPE(vocab=model["vocab"], merges=merges, cache_capacity=0))
-    plain.pre_tokenizer = pre_tokenizers.Sequence(
-        [pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-    return plain
+    plain = BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
+    behind_spaces, in_lines = Tokenizer(plain), Tokenizer(plain)
+    behind_spaces.pre_tokenizer = pre_tokenizers.Split(_SPACE, "merged_with_next")
+    in_lines.pre_tokenizer = pre_tokenizers.Split(_LINE, "isolated")
+    return behind_spaces, in_lines
 
 
 class Encoder:
@@ -79,35 +97,38 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = _for_letters(path) or self.tokenizer
+        self.letters = _for_letters(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # A byte-level token is written with one character per byte.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.begins = {" ": self.lengths > 0, "\n": self.lengths > 0}  # whether a token begins with a space, is a line end
         for token, i in vocabulary.items():
-            self.lengths[i] = len(token)
+            self.lengths[i], self.begins[" "][i], self.begins["\n"][i] = len(token), token[:1] == _SPACE, token == _LINE
         self.type = np.dtype("<u2" if len(self.lengths) <= 1 << 16 else "<u4")
         #: Ids of pieces by their text behind the space, or behind a NUL for the first piece of a text;
         #: None where that text is no plain piece.
         self.cache: dict[str, bytes | None] = {}
+        self.line_end = self._whole(["\n"])[0].tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned integers."""
         split = [t.split(" ") for t in texts]
         for parts in split:
             parts[0] = "\0" + parts[0]
-        new = set(chain.from_iterable(split)).difference(self.cache)
+        new = set().union(*split).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_PIECES:
             # The pieces met first are the frequent ones.
             self.cache = dict(islice(self.cache.items(), CACHE_PIECES // 3))
-            new = set(chain.from_iterable(split)).difference(self.cache)
+            new = set().union(*split).difference(self.cache)
         self._learn(new)
-        known, out = self.cache.__getitem__, []
+        known, out = self.cache, []
         for text, parts in zip(texts, split):
             try:
-                ids = np.frombuffer(b"".join(map(known, parts)), dtype=self.type)
+                found = itemgetter(*parts)(known) if len(parts) > 1 else [known[parts[0]]]
+                ids = np.frombuffer(b"".join(found), dtype=self.type)
             except TypeError:  # a piece that is None
                 ids = self._apart(text)
             if "\0" in text or any(map(text.__contains__, self.added)):
@@ -126,22 +147,71 @@ class Encoder:
         return np.concatenate(self._whole([first, *(" " + piece for piece in rest)]))
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encodes new pieces, many in a row, and cuts the row where the bytes of its tokens add up to
-        a piece."""
-        heads = [p for p in pieces if p[:1] == "\0"]
+        """Encodes new pieces. Where the split is known, words with marks behind them, or with the first
+        word of the next line, are put together from their parts, which are far fewer."""
+        words = set(filter(str.isalpha, pieces)) if self.letters else set()
+        rest = pieces.difference(words)
+        heads = {p for p in rest if p[:1] == "\0"}
+        rest -= heads
+        odd = [p for p in rest if not p or p[0].isspace() or p[-1].isspace()]
+        self.cache.update(dict.fromkeys(odd))
+        rest.difference_update(odd)
+        # Plain lists of strings: a tuple per piece would keep the garbage collector busy.
+        marked, stems, lines = [], [], []
+        if self.letters:
+            others = list(rest)
+            stems = list(map(str.rstrip, others, repeat(_MARKS)))
+            whole = list(map(str.isalpha, stems))
+            marked, stems = list(compress(others, whole)), list(compress(stems, whole))
+            lines = [p for p in others if "\n" in p and all(part.rstrip(_MARKS).isalpha() for part in p.split("\n", 1))]
+            firsts, seconds = [p.partition("\n")[0] for p in lines], [p.partition("\n")[2] for p in lines]
+            first_words, second_words = (list(map(str.rstrip, x, repeat(_MARKS))) for x in (firsts, seconds))
+            # Behind a word or a line end, no space before it, a part has the ids of a text that begins with it.
+            tails = {p[len(w):] for p, w in zip(chain(marked, firsts, seconds), chain(stems, first_words, second_words))}
+            tails.update(second_words)
+            tails.discard("")
+            heads |= {"\0" + t for t in tails}.difference(self.cache)
+            words.update(set(chain(stems, first_words)).difference(self.cache))
+            rest.difference_update(marked, lines)
+            openings = [p[1:] for p in heads if p[1:].isalpha()]
+            heads.difference_update(["\0" + p for p in openings])
+            self._learn_words(openings, "\n")
+            self._learn_words(list(words), " ")
         for p, ids in zip(heads, self._whole([p[1:] for p in heads])):
             self.cache[p] = None if p == "\0" or p[-1].isspace() else ids.tobytes()
-        pieces = pieces.difference(heads)
-        odd = [p for p in pieces if not p or p[0].isspace() or p[-1].isspace()]
-        self.cache.update(dict.fromkeys(odd))
-        plain = pieces.difference(odd) if odd else pieces
-        words = list(filter(str.isalpha, plain))
-        self._learn_rows(self.letters, words)
-        self._learn_rows(self.tokenizer, list(plain.difference(words)))
+        self._learn_rows(list(rest))
+        known = self.cache
+        for p, w in zip(marked, stems):
+            known[p] = known[w] + known["\0" + p[len(w):]]
+        marks = lambda part, w: b"" if part == w else known["\0" + part[len(w):]]
+        for p in lines:
+            first, _, second = p.partition("\n")
+            w, v = first.rstrip(_MARKS), second.rstrip(_MARKS)
+            known[p] = known[w] + marks(first, w) + self.line_end + known["\0" + v] + marks(second, v)
+
+    def _learn_words(self, words: list[str], before: str) -> None:
+        """Encodes words of letters behind a space, or at the beginning of a line, many in a row. A word
+        begins where a token begins with a space, or behind the token of a line end."""
+        line = before == "\n"
+        rows = [words[i:i + 1000] for i in range(0, len(words), 1000)]
+        texts = [codecs.charmap_decode((before + before.join(r)).encode(), "strict", _CHARACTERS)[0] for r in rows]
+        encoded = self.letters[line].encode_batch_fast(texts, add_special_tokens=False)
+        size, begins, name = self.type.itemsize, self.begins[before], "\0" if line else ""
+        for row, encoding in zip(rows, encoded):
+            names = [name + p for p in row] if line else row
+            ids = np.array(encoding.ids, dtype=self.type)
+            starts = np.flatnonzero(begins[ids])
+            if len(starts) == len(row) and starts[0] == 0:
+                data, starts = ids.tobytes(), (starts * size).tolist()
+                skip = size if line else 0
+                self.cache.update(zip(names, [data[a + skip:b] for a, b in zip(starts, [*starts[1:], len(data)])]))
+            else:
+                self.cache.update(zip(names, [ids.tobytes() for ids in self._whole([p if line else " " + p for p in row])]))
 
-    def _learn_rows(self, tokenizer, pieces: list[str]) -> None:
+    def _learn_rows(self, pieces: list[str]) -> None:
+        """Encodes pieces, many in a row, and cuts the row where the bytes of its tokens add up to a piece."""
         rows = [pieces[i:i + 1000] for i in range(0, len(pieces), 1000)]
-        encoded = tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False)
         for row, encoding in zip(rows, encoded):
             ids = np.array(encoding.ids, dtype=np.int64)
             ends = np.cumsum(self.lengths[ids])

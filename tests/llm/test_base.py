@@ -207,6 +207,48 @@ def test_pieces_join_to_the_tokenizers_ids():
         assert ids.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_of_words_marks_and_lines_join_to_the_tokenizers_ids():
+    import random
+
+    import public_tokenizers
+
+    e = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    dice = random.Random(5)
+    alphabet = ["haus", "Wir", "élan", "ß", "ñ", "ª", "日本", "e\u0301", "7", "²", "×", "'", "'s", "_", "\u201d", *",.#%<|>-`~", "\n", "\n", "\r", "\0", " ", " "]
+    texts = ["".join(dice.choices(alphabet, k=dice.randint(0, 12))) for _ in range(6000)]
+    for _ in range(2):  # with new pieces and with known ones
+        for text, ids in zip(texts, e.encode(texts)):
+            assert ids.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_with_marks_are_put_together_from_their_parts(monkeypatch):
+    """Most new pieces of a text are known words with marks or line ends; encoding each anew was the larger part of the time."""
+    import public_tokenizers
+
+    e = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    e.encode(["haus haus. Wir,", "Wir", "wort ende wort", "wort"])
+    encoded = []
+    counted = lambda own: type("Counted", (), {"encode_batch_fast": lambda self, texts, **more: encoded.extend(texts) or own.encode_batch_fast(texts, **more)})()
+    monkeypatch.setattr(e, "tokenizer", counted(e.tokenizer))
+    if isinstance(e.letters, tuple):
+        monkeypatch.setattr(e, "letters", tuple(map(counted, e.letters)))
+    texts = ["wort wort. ende, haus,", "wort haus.\nWir, ende.\nWir,"]
+    got = [ids.tolist() for ids in e.encode(texts)]
+    monkeypatch.undo()
+    assert not any(encoded)
+    assert got == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_byte_characters_are_those_of_the_library():
+    from tokenizers import pre_tokenizers
+
+    own = token_store.byte_characters()
+    assert sorted(own) == sorted(pre_tokenizers.ByteLevel.alphabet())
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    for c in ["\0", "\n", " ", "a", "\x7f", "\x80", "\xad", "é", "日", "😀"]:
+        assert split.pre_tokenize_str(c)[0][0] == "".join(own[b] for b in c.encode())
+
+
 def test_short_documents_are_read_alone(llm, medium_dir, corpus):
     import public_tokenizers
 
